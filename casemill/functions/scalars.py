@@ -244,18 +244,8 @@ def field(v: Column, path: str) -> Column:
 
 
 def truthy(v: Column) -> Column:
-    """Truth of a JSON value: non-zero, non-empty, not null."""
-    kind = F.schema_of_variant(v)
-    text = v.cast("string")
-    return F.coalesce(
-        F.when(kind == "VOID", F.lit(False))
-        .when(kind == "STRING", F.length(text) > 0)
-        .when(kind == "BOOLEAN", text == "true")
-        .when(F.startswith(kind, F.lit("ARRAY")), text != "[]")
-        .when(F.startswith(kind, F.lit("OBJECT")), text != "{}")
-        .otherwise(text.try_cast("double") != 0),
-        F.lit(False),
-    )
+    """Truth of a JSON value (VARIANT): present, not null, not false, zero or empty."""
+    return F.coalesce(~F.to_json(v).isin("null", "false", "0", "0.0", "-0.0", '""', "[]", "{}"), F.lit(False))
 
 
 def unwrap_answer(raw: Column) -> Column:

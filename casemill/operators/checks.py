@@ -27,30 +27,38 @@ def evidence(path: str | Column, value: str | Column, source: str = RULE) -> Col
     return F.struct(F.lit(source).alias("source"), as_col(path).alias("path"), as_col(value).alias("value"))
 
 
-def failure(route: str, subcode: str | Column, *notes: Column) -> Column:
-    """The failing half of an outcome; the first failing condition decides."""
+def failure(route: str, subcode: str | Column, *notes: Column) -> tuple[Column, Column, Column]:
+    """What a check reports when a condition fails it: route, subcode and evidence."""
     sub = subcode if isinstance(subcode, Column) else F.lit(subcode)
-    return F.struct(
-        F.lit(route).alias("route_code"),
-        sub.alias("subcode"),
-        (F.array(*notes) if notes else F.array()).cast(schemas.EVIDENCE).alias("evidence"),
-    )
+    return F.lit(route), sub, (F.array_compact(F.array(*notes)) if notes else F.array()).cast(schemas.EVIDENCE)
 
 
-def outcome(check_id: str, *failures: tuple[Column, Column]) -> Column:
+def outcome(check_id: str, *failures: tuple[Column, tuple[Column, Column, Column]]) -> Column:
     """A check result: the first condition that holds fails the check, none passes it."""
-    first = F.lit(None).cast(
-        "struct<route_code:string,subcode:string,evidence:array<struct<source:string,path:string,value:string>>>"
-    )
+
+    def result(passed: bool, route: Column, subcode: Column, notes: Column) -> Column:
+        return F.struct(
+            F.lit(check_id).alias("check_id"), F.lit(passed).alias("passed"), route.alias("route_code"),
+            subcode.alias("subcode"), notes.alias("evidence"),
+        ).cast(OUTCOME)
+
+    out = result(True, F.lit("accept"), F.lit(None).cast("string"), F.array().cast(schemas.EVIDENCE))
     for condition, failed in reversed(failures):
-        first = F.when(F.coalesce(condition, F.lit(False)), failed).otherwise(first)
-    return F.struct(
-        F.lit(check_id).alias("check_id"),
-        first.isNull().alias("passed"),
-        F.coalesce(first["route_code"], F.lit("accept")).alias("route_code"),
-        first["subcode"].alias("subcode"),
-        F.coalesce(first["evidence"], F.array().cast(schemas.EVIDENCE)).alias("evidence"),
-    ).cast(OUTCOME)
+        out = F.when(F.coalesce(condition, F.lit(False)), result(False, *failed)).otherwise(out)
+    return out
+
+
+def prepared(cands: DataFrame) -> DataFrame:
+    """Candidates with their JSON columns parsed once, for the row rules to share."""
+    agent = F.col("agent_artifact")
+    return cands.select(
+        "*",
+        F.try_parse_json(agent["benchmark_case"]).alias("_case"),
+        F.try_parse_json(agent["runtime_requirements"]).alias("_runtime"),
+        F.try_parse_json(agent["environment_artifact"]["payload"]).alias("_payload"),
+        F.try_parse_json("ability_z").alias("_ability"),
+        F.try_parse_json("environment_y").alias("_environment"),
+    )
 
 
 def as_checks(df: DataFrame, *outcomes: Column, id_col: str = "id", first_ord: int = 0) -> DataFrame:
@@ -94,8 +102,8 @@ def taxonomy_outcome(domain: Domain) -> Column:
     )
 
 
-def _named(json_col: str) -> Column:
-    return truthy(field(F.try_parse_json(F.col(json_col)), "$.name"))
+def _named(parsed_col: str) -> Column:
+    return truthy(field(F.col(parsed_col), "$.name"))
 
 
 def contract_outcome(domain: Domain) -> Column:
@@ -148,14 +156,13 @@ def contract_outcome(domain: Domain) -> Column:
             empty(judge("scoring_contract.credit")) | empty(judge("scoring_contract.penalties")),
             fail("vague_scoring_contract", "scoring_contract needs credit and penalties"),
         ),
-        (~_named("ability_z"), fail("weak_proxy_validity", "ability_z.name is missing")),
-        (~_named("environment_y"), fail("irrelevant_environment", "environment_y.name is missing")),
+        (~_named("_ability"), fail("weak_proxy_validity", "ability_z.name is missing")),
+        (~_named("_environment"), fail("irrelevant_environment", "environment_y.name is missing")),
     )
 
 
 def oracle_outcome(domain: Domain) -> Column:
-    case = F.try_parse_json(F.col("agent_artifact.benchmark_case"))
-    oracle = field(case, "$.oracle")
+    oracle = field(F.col("_case"), "$.oracle")
 
     def short_list(name: str, rule: str) -> Column:
         listed = field(oracle, f"$.{name}")
@@ -231,8 +238,7 @@ def container_problem(runtime: Column) -> Column:
 def runtime_outcome(domain: Domain) -> Column:
     if not domain.required("require_runtime_requirements"):
         return outcome("runtime_requirements")
-    runtime = F.try_parse_json(F.col("agent_artifact.runtime_requirements"))
-    payload = F.try_parse_json(F.col("agent_artifact.environment_artifact.payload"))
+    runtime, payload = F.col("_runtime"), F.col("_payload")
     problem = container_problem(runtime)
     command = field(runtime, "$.commands.test")
     workspace_command = F.when(
@@ -304,15 +310,15 @@ def check_taxonomy(df: DataFrame, domain: Domain) -> DataFrame:
 
 
 def check_contract(df: DataFrame, domain: Domain) -> DataFrame:
-    return as_checks(df, contract_outcome(domain))
+    return as_checks(prepared(df), contract_outcome(domain))
 
 
 def check_oracle(df: DataFrame, domain: Domain) -> DataFrame:
-    return as_checks(df, oracle_outcome(domain))
+    return as_checks(prepared(df), oracle_outcome(domain))
 
 
 def check_runtime(df: DataFrame, domain: Domain) -> DataFrame:
-    return as_checks(df, runtime_outcome(domain))
+    return as_checks(prepared(df), runtime_outcome(domain))
 
 
 # ------------------------------------------------------------------ text hygiene
@@ -425,15 +431,24 @@ def deterministic_verdict(checks: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ designs
 
 
+def parsed_designs(df: DataFrame) -> DataFrame:
+    """Designs with their premise and runtime blocks parsed once."""
+    return df.select(
+        "*",
+        F.try_parse_json(F.coalesce("environment_premise", F.lit("{}"))).alias("_premise"),
+        F.try_parse_json(F.coalesce("runtime_requirements", F.lit("{}"))).alias("_runtime"),
+    )
+
+
 def code_design_problem() -> Column:
-    """The subcode an executable design fails with; null when it is deep enough."""
-    premise = F.try_parse_json(F.coalesce("environment_premise", F.lit("{}")))
-    runtime = F.try_parse_json(F.coalesce("runtime_requirements", F.lit("{}")))
+    """The subcode an executable design (``parsed_designs``) fails with; null when it is deep enough."""
+    premise, runtime = F.col("_premise"), F.col("_runtime")
     filesystem = _text_of(runtime, "$.kind").eqNullSafe(F.lit("filesystem_task"))
     execution, commands = field(runtime, "$.execution"), field(runtime, "$.commands")
     thin = reduce(lambda a, b: a | b, [~truthy(field(premise, f"$.{f}")) for f in fixed.DESIGN_PREMISE_FIELDS])
     missing_lists = reduce(lambda a, b: a | b, [empty(F.col(f)) for f in fixed.DESIGN_LIST_FIELDS])
     core = F.lower(F.concat_ws(" ", *[_text_of(premise, f"$.{f}") for f in fixed.DESIGN_PREMISE_FIELDS]))
+    toy = F.exists(F.array(*[F.lit(m) for m in fixed.TOY_MARKERS]), lambda m: F.contains(core, m))
     return (
         F.when(F.coalesce(~is_json_object(premise), F.lit(True)), F.lit("weak_diagnostic_pressure"))
         .when(~is_json_object(runtime) | ~truthy(field(runtime, "$.kind")), F.lit("missing_runtime_requirements"))
@@ -450,14 +465,14 @@ def code_design_problem() -> Column:
             filesystem & (~is_json_object(commands) | ~truthy(field(commands, "$.test"))),
             F.lit("missing_runtime_requirements"),
         )
-        .when(thin | missing_lists | contains_any(core, fixed.TOY_MARKERS), F.lit("weak_diagnostic_pressure"))
+        .when(thin | missing_lists | toy, F.lit("weak_diagnostic_pressure"))
     )
 
 
 def check_code_design(df: DataFrame) -> DataFrame:
     """(id, passed, subcode) of executable designs."""
-    problem = code_design_problem()
-    return df.select("id", problem.isNull().alias("passed"), problem.alias("subcode"))
+    judged = parsed_designs(df).select("id", code_design_problem().alias("subcode"))
+    return judged.select("id", F.col("subcode").isNull().alias("passed"), "subcode")
 
 
 def design_problem(domain: Domain) -> Column:
@@ -481,6 +496,7 @@ def partition_designs(designs: DataFrame, domain: Domain) -> DataFrame:
     is wrong with it. Only hashes that occur more than once are joined back, so a hot hash costs one
     partial aggregate and a skew-splittable join rather than one big group.
     """
+    designs = parsed_designs(designs) if domain.executable else designs
     judged = designs.select("id", "ord", "content_hash", design_problem(domain).alias("problem"))
     groups = judged.groupBy("content_hash").agg(
         F.count("*").alias("n"), F.min(F.when(F.col("problem").isNull(), F.col("ord"))).alias("kept_ord")
@@ -502,6 +518,7 @@ def partition_designs(designs: DataFrame, domain: Domain) -> DataFrame:
 
 def check_designs(designs: DataFrame, domain: Domain) -> DataFrame:
     """(verdict, route_code, subcode) of a whole batch: the first failing design in order decides."""
+    designs = parsed_designs(designs) if domain.executable else designs
     judged = designs.select("ord", "content_hash", design_problem(domain).alias("problem"))
     taxonomy = F.col("problem.route_code") == "reject_coverage_mismatch"
     firsts = judged.groupBy("content_hash").agg(F.min("ord").alias("first_ord"))
@@ -617,25 +634,26 @@ def failed_test_files(stdout: Column, stderr: Column) -> Column:
 def check_exec_results(results: DataFrame, domain: Domain) -> DataFrame:
     """Recorded test runs. Exit 1 is the wanted initial failure unless too many files fail."""
     path = "environment_artifact.payload.commands.test"
-    output = command_output(F.col("stdout"), F.col("stderr"))
-    files = failed_test_files(F.col("stdout"), F.col("stderr"))
     most = domain.minimum("max_initial_failure_files", 0)
     timeout = float(domain.rules.get("workspace_test_timeout_seconds", 10))
+    read = results.select(
+        "candidate_id",
+        F.col("returncode").alias("code"),
+        F.coalesce("timed_out", F.lit(False)).alias("timed_out"),
+        command_output(F.col("stdout"), F.col("stderr")).alias("output"),
+        failed_test_files(F.col("stdout"), F.col("stderr")).alias("files"),
+    )
+    code, files, output = F.col("code"), F.col("files"), F.col("output")
+    shown = evidence(path, output, "workspace_command")
 
-    def fail(subcode: str, why: str | Column) -> Column:
-        notes = F.array(evidence(path, why), F.when(output != "", evidence(path, output, "workspace_command")))
-        return F.struct(
-            F.lit("reject_schema").alias("route_code"), F.lit(subcode).alias("subcode"),
-            F.array_compact(notes).cast(schemas.EVIDENCE).alias("evidence"),
-        )
+    def fail(subcode: str, why: str | Column) -> tuple[Column, Column, Column]:
+        return failure("reject_schema", subcode, evidence(path, why), F.when(output != "", shown))
 
-    code = F.col("returncode")
-    wide = F.lit(most > 0) & (F.size(files) > most)
     result = outcome(
         "environment_artifact",
         (F.col("timed_out"), fail("workspace_test_timeout", f"workspace test command timed out after {timeout:g}s")),
         (
-            (code == 1) & wide,
+            (code == 1) & F.lit(most > 0) & (F.size(files) > most),
             fail(
                 "workspace_test_command_failed",
                 F.concat(F.lit("workspace starter tests fail across too many test files: "), F.array_join(files, ", ")),
@@ -660,7 +678,10 @@ def check_exec_results(results: DataFrame, domain: Domain) -> DataFrame:
             ),
         ),
     )
-    noted = F.when(
-        result["passed"], result.withField("evidence", F.array(evidence(path, output, "workspace_command")).cast(schemas.EVIDENCE))
-    ).otherwise(result)
-    return as_checks(results, noted, id_col="candidate_id")
+    # a passing run keeps its output as evidence
+    rows = read.select("candidate_id", "output", result.alias("check"))
+    notes = F.when(F.col("check.passed"), F.array(shown).cast(schemas.EVIDENCE)).otherwise(F.col("check.evidence"))
+    return rows.select(
+        "candidate_id", F.lit(0).alias("check_ord"), "check.check_id", "check.passed", "check.route_code", "check.subcode",
+        notes.alias("evidence"),
+    )

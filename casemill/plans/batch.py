@@ -76,7 +76,7 @@ def validate_candidates(
             structure = structure.join(ran.select("candidate_id"), "candidate_id", "left_anti").unionByName(ran)
         parts.append(structure)
         parts.append(check_leakage(candidate_texts(cands, files), ids=ids))
-    parts.append(C.as_checks(cands, *row_rules))
+    parts.append(C.as_checks(C.prepared(cands), *row_rules))
     every = reduce(DataFrame.unionByName, parts)
     position = F.lit(len(CHECK_ORDER))
     for at, name in enumerate(CHECK_ORDER):
