@@ -10,6 +10,11 @@ from casemill import fixed
 WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body mentions it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strings(*values: str) -> Column:
     """A literal array of strings (typed even when empty)."""
     return F.array(*[F.lit(v) for v in values]).cast("array<string>")
@@ -61,8 +66,12 @@ def round4(col: Column) -> Column:
 
 def clip(col: Column, limit: int) -> Column:
     """Collapse whitespace and cut to ``limit - 1`` characters plus an ellipsis."""
-    flat = F.btrim(F.regexp_replace(col, WHITESPACE, " "))
-    return F.when(F.length(flat) <= limit, flat).otherwise(F.concat(F.substring(flat, 1, limit - 1), F.lit("...")))
+    return let(
+        F.btrim(F.regexp_replace(col, WHITESPACE, " ")),
+        lambda flat: F.when(F.length(flat) <= limit, flat).otherwise(
+            F.concat(F.substring(flat, 1, limit - 1), F.lit("..."))
+        ),
+    )
 
 
 def short_id(col: Column) -> Column:
@@ -211,10 +220,14 @@ def cosine(a: Column, b: Column) -> Column:
 
 def strip_fence(col: Column) -> Column:
     """Drop a surrounding Markdown code fence."""
-    text = F.btrim(col, F.lit(" \t\r\n\x0b\x0c"))
-    opened = F.regexp_replace(text, r"^```[^\n]*\n?", "")
-    closed = F.regexp_replace(opened, r"(?:^|\n)[ \t]*```[ \t]*$", "")
-    return F.when(F.startswith(text, F.lit("```")), F.btrim(closed, F.lit(" \t\r\n\x0b\x0c"))).otherwise(text)
+    blanks = " \t\r\n\x0b\x0c"
+
+    def strip(text: Column) -> Column:
+        opened = F.regexp_replace(text, r"^```[^\n]*\n?", "")
+        closed = F.regexp_replace(opened, r"(?:^|\n)[ \t]*```[ \t]*$", "")
+        return F.when(F.startswith(text, F.lit("```")), F.btrim(closed, F.lit(blanks))).otherwise(text)
+
+    return let(F.btrim(col, F.lit(blanks)), strip)
 
 
 def parse_fenced_json(col: Column) -> Column:
@@ -254,30 +267,34 @@ def unwrap_answer(raw: Column) -> Column:
     ``raw`` is JSON text; the result is a VARIANT. A string value is parsed again, and skipped when it
     is not JSON.
     """
-    v = F.try_parse_json(raw)
-    inner = F.lit(None).cast("variant")
-    for key in reversed(fixed.ANSWER_ENVELOPE_KEYS):
-        value = field(v, f"$.{key}")
-        parsed = F.try_parse_json(F.try_variant_get(value, "$", "string"))
-        inner = (
-            F.when(is_json_object(value), value)
-            .when(is_json_string(value) & parsed.isNotNull(), parsed)
-            .otherwise(inner)
+
+    def inner(v: Column) -> Column:
+        values = F.array(*[field(v, f"$.{key}") for key in fixed.ANSWER_ENVELOPE_KEYS])
+        usable = F.transform(
+            values,
+            lambda x: F.when(is_json_object(x), x).when(is_json_string(x), F.try_parse_json(F.try_variant_get(x, "$", "string"))),
+        )
+        return F.get(F.filter(usable, lambda x: x.isNotNull()), F.lit(0))
+
+    def unwrap(v: Column) -> Column:
+        return (
+            F.when(is_json_object(v) & field(v, "$.decision").isNotNull(), v)
+            .when(is_json_object(v), F.coalesce(inner(v), v))
+            .when(is_json_string(v), F.try_parse_json(F.try_variant_get(v, "$", "string")))
+            .otherwise(v)
         )
-    nested = F.try_parse_json(F.try_variant_get(v, "$", "string"))
-    return (
-        F.when(is_json_object(v) & field(v, "$.decision").isNotNull(), v)
-        .when(is_json_object(v), F.coalesce(inner, v))
-        .when(is_json_string(v), nested)
-        .otherwise(v)
-    )
+
+    return let(F.try_parse_json(raw), unwrap)
 
 
 def unwrap_response(raw: Column) -> Column:
     """The scan answer: the object inside a JSON-text ``response`` field, else the document itself."""
-    v = F.try_parse_json(raw)
-    inner = F.when(is_json_string(field(v, "$.response")), F.try_parse_json(F.try_variant_get(v, "$.response", "string")))
-    return F.when(is_json_object(inner), inner).otherwise(v)
+
+    def unwrap(v: Column) -> Column:
+        text = F.when(is_json_string(field(v, "$.response")), F.try_variant_get(v, "$.response", "string"))
+        return let(F.try_parse_json(text), lambda inner: F.when(is_json_object(inner), inner).otherwise(v))
+
+    return let(F.try_parse_json(raw), unwrap)
 
 
 def error_route(message: Column, structured: Column | None = None) -> Column:

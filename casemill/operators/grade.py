@@ -15,6 +15,7 @@ from casemill.functions.scalars import (
     invented_record,
     is_json_array,
     is_json_object,
+    let,
     overlaps,
     round4,
     strings,
@@ -93,17 +94,19 @@ def _alert(a: Column) -> Column:
 
 def parse_scans(df: DataFrame, raw_col: str = "raw") -> DataFrame:
     """(case_id, schema_valid, has_scan, scan) from submitted JSON text, envelope included."""
-    v = field(unwrap_response(F.col(raw_col)), "$.scan")
+    kept = [c for c in df.columns if c != raw_col]
+    v = F.col("_scan")
+    read = df.select(*kept, field(unwrap_response(F.col(raw_col)), "$.scan").alias("_scan"))
     alerts = F.coalesce(F.try_variant_get(v, "$.alerts", "array<variant>"), F.array().cast("array<variant>"))
     scan = F.struct(
         F.try_variant_get(v, "$.result", "string").alias("result"),
         F.try_variant_get(v, "$.no_alert_rationale", "string").alias("no_alert_rationale"),
         F.transform(alerts, _alert).alias("alerts"),
     )
-    return df.select(
-        "case_id",
+    return read.select(
+        *kept,
         scan_schema_valid(v).alias("schema_valid"),
-        F.coalesce(is_json_object(v) & (v.cast("string") != "{}"), F.lit(False)).alias("has_scan"),
+        F.coalesce(is_json_object(v) & (F.to_json(v) != "{}"), F.lit(False)).alias("has_scan"),
         scan.alias("scan"),
     )
 
@@ -111,31 +114,34 @@ def parse_scans(df: DataFrame, raw_col: str = "raw") -> DataFrame:
 # ------------------------------------------------------------------ alert scoring
 
 
+def _latent_text(alert: Column) -> Column:
+    parts = ("latent_edge_hypothesis", "real_world_prior", "reasoning")
+    return F.lower(F.concat_ws(" ", *[F.coalesce(alert[f], F.lit("")) for f in parts]))
+
+
 def alert_checks(alert: Column, expected: Column) -> Column:
     """Six booleans: how a submitted alert meets an expected one."""
-    latent = F.lower(
-        F.concat_ws(
-            " ",
-            *[F.coalesce(alert[f], F.lit("")) for f in ("latent_edge_hypothesis", "real_world_prior", "reasoning")],
-        )
-    )
     concepts = F.coalesce(expected["required_concepts"], strings())
     path = F.coalesce(alert["enterprise_path"], strings())
-    path_text = F.lower(F.array_join(path, " "))
-    on_path = F.forall(
-        F.coalesce(expected["hidden_dependency_path"], strings()),
-        lambda item: F.array_contains(path, item) | F.contains(path_text, F.lower(item)),
+    on_path = let(
+        F.lower(F.array_join(path, " ")),
+        lambda text: F.forall(
+            F.coalesce(expected["hidden_dependency_path"], strings()),
+            lambda item: F.array_contains(path, item) | F.contains(text, F.lower(item)),
+        ),
     )
+    latent = _latent_text(alert)
+    enough = let(latent, lambda text: concept_hits(concepts, text)) >= F.greatest(F.lit(2), F.size(concepts) - 1)
     uncertainty = F.coalesce(alert["uncertainty"], strings())
-    hedged = F.concat(latent, F.lit(" "), F.lower(F.array_join(uncertainty, " ")))
+    hedged = let(F.concat(latent, F.lit(" "), F.lower(F.array_join(uncertainty, " "))), has_marker)
     cited = lambda f: F.size(F.coalesce(alert["citations"][f], strings())) > 0
     return F.struct(
         overlaps(alert["source_headlines"], expected["source_headlines"]).alias("source_headline"),
-        (concept_hits(concepts, latent) >= F.greatest(F.lit(2), F.size(concepts) - 1)).alias("latent_edge"),
+        enough.alias("latent_edge"),
         on_path.alias("enterprise_path"),
         exposure_matches(alert["business_exposure"], expected["business_exposure"]).alias("business_exposure"),
         (cited("headlines") & cited("records")).alias("citations"),
-        ((F.size(uncertainty) > 0) & has_marker(hedged)).alias("calibrated_uncertainty"),
+        ((F.size(uncertainty) > 0) & hedged).alias("calibrated_uncertainty"),
     )
 
 
@@ -148,26 +154,30 @@ def check_count(checks: Column) -> Column:
 
 def _scored(alerts: Column, expected: Column) -> Column:
     """Every alert with its checks and score against one expected alert, best first."""
-    pairs = F.transform(
-        alerts,
-        lambda a, i: F.struct((-i).alias("earlier"), F.coalesce(a["id"], F.lit("")).alias("id"), alert_checks(a, expected).alias("checks")),
-    )
-    return F.transform(
-        pairs,
-        lambda p: F.struct(check_count(p["checks"]).alias("score"), p["earlier"].alias("earlier"), p["id"].alias("id"), p["checks"].alias("checks")),
-    )
+
+    def score(a: Column, i: Column) -> Column:
+        return let(
+            alert_checks(a, expected),
+            lambda c: F.struct(
+                check_count(c).alias("score"), (-i).alias("earlier"), F.coalesce(a["id"], F.lit("")).alias("id"), c.alias("checks")
+            ),
+        )
+
+    return F.transform(alerts, score)
 
 
 def best_match(alerts: Column, expected: Column) -> Column:
     """The best alert for one expected alert; the first alert wins ties."""
-    best = F.array_max(_scored(alerts, expected))
     none = F.struct(*[F.lit(False).alias(c) for c in ALERT_CHECKS])
-    return F.struct(
-        expected["id"].alias("expected_alert_id"),
-        best["id"].alias("submitted_alert_id"),
-        (F.coalesce(best["score"], F.lit(0)) >= fixed.ALERT_MATCH_SCORE).alias("matched"),
-        F.coalesce(best["score"], F.lit(0)).alias("match_score"),
-        F.coalesce(best["checks"], none).alias("checks"),
+    return let(
+        F.array_max(_scored(alerts, expected)),
+        lambda best: F.struct(
+            expected["id"].alias("expected_alert_id"),
+            best["id"].alias("submitted_alert_id"),
+            (F.coalesce(best["score"], F.lit(0)) >= fixed.ALERT_MATCH_SCORE).alias("matched"),
+            F.coalesce(best["score"], F.lit(0)).alias("match_score"),
+            F.coalesce(best["checks"], none).alias("checks"),
+        ),
     )
 
 
@@ -182,13 +192,13 @@ def best_alert_match(scans: DataFrame, oracles: DataFrame) -> DataFrame:
     return rows.select("case_id", best_match(F.col("alerts"), F.col("expected")).alias("m")).select("case_id", "m.*")
 
 
-def _unmatched(alerts: Column, expected: Column, best: Column | None = None) -> Column:
+def _unmatched(alerts: Column, expected: Column, best: Column) -> Column:
     """Alerts that neither are any expected alert's best match nor match one well enough."""
-    ids = F.transform(F.filter(best, lambda b: b["matched"]), lambda b: b["submitted_alert_id"]) if best is not None else strings()
+    ids = F.transform(F.filter(best, lambda b: b["matched"]), lambda b: b["submitted_alert_id"])
     return F.filter(
         alerts,
         lambda a: ~F.array_contains(ids, F.coalesce(a["id"], F.lit("None")))
-        & ~F.exists(expected, lambda e: check_count(alert_checks(a, e)) >= fixed.ALERT_MATCH_SCORE),
+        & ~F.exists(expected, lambda e: let(alert_checks(a, e), check_count) >= fixed.ALERT_MATCH_SCORE),
     )
 
 
@@ -227,6 +237,10 @@ def _zero_alert_checks(alerts: Column, rationale: Column) -> dict[str, Column]:
     }
 
 
+def _meets(check: str):
+    return lambda b: b["checks"][check]
+
+
 def grade_scans(scans: DataFrame, oracles: DataFrame) -> DataFrame:
     """One grade per submitted scan: score, pass, the seven checks, false positives and hard failures.
 
@@ -250,7 +264,7 @@ def grade_scans(scans: DataFrame, oracles: DataFrame) -> DataFrame:
     ).withColumn("best", F.transform("expected", lambda e: best_match(F.col("alerts"), e)))
     on_zero = _zero_alert_checks(F.col("alerts"), F.col("rationale"))
     checks = {
-        name: F.when(F.col("zero"), on_zero[name]).otherwise(F.exists("best", lambda b, n=name: b["checks"][n]))
+        name: F.when(F.col("zero"), on_zero[name]).otherwise(F.exists("best", _meets(name)))
         for name in ALERT_CHECKS
     }
     checks["result_correct"] = F.col("result").eqNullSafe(
@@ -334,11 +348,12 @@ EVIDENCE_ITEMS = "array<struct<key:string,source:string,value:string>>"
 
 def parse_decisions(df: DataFrame, raw_col: str = "raw") -> DataFrame:
     """(case_id, body, answer): the decision object as JSON text and as a typed struct."""
-    v = unwrap_answer(F.col(raw_col))
+    read = df.select("case_id", unwrap_answer(F.col(raw_col)).alias("_answer"))
+    v = F.col("_answer")
     item = lambda e: F.struct(
         F.try_variant_get(e, "$.key", "string").alias("key"),
         F.try_variant_get(e, "$.source", "string").alias("source"),
-        field(e, "$.value").cast("string").alias("value"),
+        F.to_json(field(e, "$.value")).alias("value"),
     )
     evidence = F.transform(F.coalesce(F.try_variant_get(v, "$.evidence", "array<variant>"), F.array().cast("array<variant>")), item)
     answer = F.struct(
@@ -349,8 +364,7 @@ def parse_decisions(df: DataFrame, raw_col: str = "raw") -> DataFrame:
         F.try_variant_get(v, "$.confidence", "double").alias("confidence"),
         F.try_variant_get(v, "$.memo_summary", "string").alias("memo_summary"),
     )
-    return df.select("case_id", F.to_json(v).alias("body"), answer.alias("answer"))
-
+    return read.select("case_id", F.to_json(v).alias("body"), answer.alias("answer"))
 
 
 def grade_vendor(answers: DataFrame, oracles: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from casemill import schemas
 from casemill.functions.scalars import strings
+from casemill.session import spread
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -43,7 +44,12 @@ def _k() -> Column:
 
 
 def stage_records(spark: SparkSession, sf: str) -> DataFrame:
-    e = table(spark, sf, "events").withColumn("k", _k())
+    return stage_records_from(table(spark, sf, "events"))
+
+
+def stage_records_from(events: DataFrame) -> DataFrame:
+    """Stage records of an events table, read as a batch or as a stream."""
+    e = events.withColumn("k", _k())
     reject = F.col("k") % 4 == 0
     route = choose(F.col("k") % 3, {0: "reject_schema", 1: "reject_leakage"}, "reject_duplicate")
     code = choose(F.col("k") % 3, {0: "schema_violation", 1: "shortcut_leakage"}, "near_duplicate")
@@ -83,8 +89,12 @@ def stage_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def board_events(spark: SparkSession, sf: str) -> DataFrame:
+    return board_events_from(table(spark, sf, "events"))
+
+
+def board_events_from(events: DataFrame) -> DataFrame:
     """Progress starts and results per run, as a board sees them."""
-    e = table(spark, sf, "events").withColumn("k", _k())
+    e = events.withColumn("k", _k())
     begins = F.col("event_type").isin("view", "signup")
     stage = choose(
         F.col("k") % 6,
@@ -136,7 +146,7 @@ def designs(spark: SparkSession, sf: str) -> DataFrame:
 
 def candidates(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as candidates: what the rules look at varies with the document's length and id."""
-    d = table(spark, sf, "documents")
+    d = spread(table(spark, sf, "documents"))
     n = F.col("n_chars")
     listed = lambda text, count: F.array_repeat(F.lit(text), count)
     criterion = lambda when: F.when(when, F.lit("")).otherwise(F.lit("criterion"))
@@ -310,7 +320,7 @@ def region_requests(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _order_facts(spark: SparkSession, sf: str) -> DataFrame:
-    order = table(spark, sf, "orders")
+    order = spread(table(spark, sf, "orders"))
     key = F.col("o_orderkey")
     return order.select(
         F.concat(F.lit("SO-"), key.cast("string")).alias("case_id"),
@@ -405,7 +415,7 @@ def vendor_oracles(spark: SparkSession, sf: str) -> DataFrame:
 
 def raw_decisions(spark: SparkSession, sf: str) -> DataFrame:
     """(case_id, raw): decision documents, varying by customer key and balance."""
-    c = table(spark, sf, "customer")
+    c = spread(table(spark, sf, "customer"))
     k = F.col("c_custkey")
     decision = choose(k % 4, {0: "approve", 1: "Hold", 2: "escalate"}, "hold")
     item = lambda key, source, value: F.struct(

@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from casemill import fixed, schemas
 from casemill.functions.scalars import cell_key
@@ -34,11 +30,6 @@ def stream_artifact(
 
 # ------------------------------------------------------------------ node status
 
-NODE_STATUS = T.StructType(
-    [T.StructField("run_id", T.StringType()), T.StructField("node", T.StringType()), T.StructField("status", T.StringType())]
-)
-
-
 def _lookup(table: dict[str, str], key: Column) -> Column:
     out = F.lit(None).cast("string")
     for k, v in table.items():
@@ -106,58 +97,13 @@ def node_status(events: DataFrame) -> DataFrame:
     return boards.select("run_id", F.explode(F.array(*rows)).alias("r")).select("run_id", "r.*")
 
 
-_BOARD = T.StructType(
-    [
-        T.StructField("node", T.StringType()),
-        T.StructField("ord", T.LongType()),
-        T.StructField("mark", T.StringType()),
-        T.StructField("start", T.LongType()),
-    ]
-)
-
-
-class BoardProcessor(StatefulProcessor):
-    """Keeps each run's latest mark and latest start per node; idle runs expire."""
-
-    def __init__(self, idle_ms: int):
-        self.idle_ms = idle_ms
+def stream_node_status(events: DataFrame) -> DataFrame:
+    """The board of every run a micro-batch touches (update mode).
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.board = handle.getMapState("board", "node string", _BOARD, self.idle_ms)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        board = {k[0]: (v[1], v[2], v[3]) for k, v in self.board.iterator()}
-        for batch in rows:  # each Arrow batch folds into at most one entry per node
-            latest = batch.loc[batch.groupby("node")["ord"].idxmax()]
-            begun = batch[batch["starts"]].groupby("node")["ord"].max()
-            for node, at, mark in zip(latest["node"], latest["ord"], latest["mark"]):
-                old = board.get(node, (-1, "pending", -1))
-                start = max(old[2], int(begun.get(node, -1)))
-                board[node] = (int(at), mark, start) if at > old[0] else (old[0], old[1], start)
-        for node, (at, mark, start) in board.items():
-            self.board.updateValue((node,), (node, at, mark, start))
-        out = []
-        for node in fixed.BOARD_NODES:
-            at, mark, _ = board.get(node, (-1, "pending", -1))
-            rival = max([s for o, (_, _, s) in board.items() if o != node and not _parallel(o, node)], default=-1)
-            out.append((key[0], node, _displaced(node) if mark == "running" and rival > at else mark))
-        yield pd.DataFrame(out, columns=NODE_STATUS.names)
-
-    def close(self) -> None:
-        pass
-
-
-def stream_node_status(events: DataFrame, idle_ms: int = 6 * 3600 * 1000) -> DataFrame:
-    """The board of every run an event batch touches (update mode; RocksDB state store).
-
-    State is one small map per run with a time-to-live, so runs that stop logging do not accumulate.
+    The same aggregate as the batch form: state is one row of a few dozen numbers per run, merged in any
+    order, with no Python worker and no per-run event list.
     """
-    return node_marks(events).groupBy("run_id").transformWithStateInPandas(
-        statefulProcessor=BoardProcessor(idle_ms),
-        outputStructType=NODE_STATUS,
-        outputMode="Update",
-        timeMode="ProcessingTime",
-    )
+    return node_status(events)
 
 
 # ------------------------------------------------------------------ counters and dedup
