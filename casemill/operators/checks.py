@@ -372,10 +372,11 @@ def candidate_document() -> Column:
 def hygiene_hits(df: DataFrame, json_col: str, id_col: str, root: str) -> DataFrame:
     """(candidate_id, evidence): the first disallowed character of each document that has one.
 
-    Only documents whose text holds such a character, or a JSON escape that could spell one, are walked.
+    Only documents whose text holds such a character, or a JSON escape that could spell one (``\\uXXXX``,
+    backspace, form feed), are walked.
     """
     body = F.col(json_col)
-    suspect = df.where(has_disallowed(body) | F.contains(body, F.lit("\\"))).select(F.col(id_col).alias("candidate_id"), body.alias("body"))
+    suspect = df.where(has_disallowed(body) | body.rlike(r"\\[ubf]")).select(F.col(id_col).alias("candidate_id"), body.alias("body"))
     nodes = json_nodes(suspect, "body", "candidate_id")
     key = F.when(~F.endswith("wild", F.lit("[]")), F.regexp_extract("index_path", r"\.([^.]*)$", 1))
     bad_key = F.nullif(first_disallowed(key), F.lit(""))

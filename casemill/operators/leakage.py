@@ -64,9 +64,8 @@ def candidate_texts(cands: DataFrame, files: DataFrame | None = None) -> DataFra
     return texts.unionByName(file_texts)
 
 
-def first_marker(text: Column, markers: list[tuple[str, str]]) -> Column:
-    """Struct(ord, subcode, pattern) of the first marker in list order that the text contains."""
-    lowered = F.lower(text)
+def first_marker(lowered: Column, markers: list[tuple[str, str]]) -> Column:
+    """Struct(ord, subcode, pattern) of the first marker in list order that a lower-cased text contains."""
     found = F.lit(None).cast("struct<ord:int,subcode:string,pattern:string>")
     for position, (subcode, pattern) in reversed(list(enumerate(markers))):
         hit = F.struct(F.lit(position).alias("ord"), F.lit(subcode).alias("subcode"), F.lit(pattern).alias("pattern"))
@@ -79,9 +78,10 @@ def leak_hits(texts: DataFrame, markers: list[tuple[str, str]] | None = None) ->
     markers = fixed.LEAK_MARKERS if markers is None else markers
     if len(markers) > MARKERS_IN_PLAN:
         raise ValueError("use passage_hits for marker tables of this size")
-    found = texts.select("candidate_id", "text_key", "path", first_marker(F.col("text"), markers).alias("marker")).where(
-        F.col("marker").isNotNull()
-    )
+    lowered = texts.select("candidate_id", "text_key", "path", F.lower("text").alias("_lowered"))
+    hit = F.filter(F.array(first_marker(F.col("_lowered"), markers)), lambda m: m.isNotNull())
+    # exploding the at most one hit keeps the marker chain from being evaluated again by a filter
+    found = lowered.select("candidate_id", "text_key", "path", F.explode(hit).alias("marker"))
     first = found.groupBy("candidate_id").agg(
         F.min(F.struct("text_key", F.col("marker.ord").alias("ord"), "path", "marker.subcode", "marker.pattern")).alias("hit")
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from casemill.functions.scalars import attempt_number, cell_key, effective_latency
+from casemill.session import checkpointed
 
 MEDIAN_BUCKET = 4096
 RANK_BLOCK = 1 << 20
@@ -297,17 +298,27 @@ def ranked_within(df: DataFrame, keys: list[str], ord_col: str, name: str = "pos
     return placed.withColumn(name, F.col("_offset") + F.col("_rank")).drop("_block", "_rank", "_offset")
 
 
-def sequence_attempts(df: DataFrame, design: str = "design_id", candidate: str = "id") -> DataFrame:
-    """Adds ``position`` and ``is_final``: attempts of a design by (candidate id, attempt number).
+def ranked_by(df: DataFrame, keys: list[str], order: list[Column], name: str = "position") -> DataFrame:
+    """1-based position of each row among its key's rows, by any columns, without gathering a key in one task.
 
-    A design has a handful of attempts (the retry limits bound them), so a plain window suffices.
+    Rows are range-partitioned by key and order and written out once, which fixes the ranges; a key that
+    spans several ranges is ranked inside each and shifted by its rows in the ranges before.
     """
-    number = attempt_number(F.col(candidate), F.lit(0))
-    order = Window.partitionBy(design).orderBy(candidate, number)
-    whole = Window.partitionBy(design)
-    return df.withColumn("position", F.row_number().over(order)).withColumn(
-        "is_final", F.col("position") == F.count("*").over(whole)
-    )
+    sort = [F.col(k) for k in keys] + order
+    ranged = checkpointed(df.repartitionByRange(*sort).withColumn("_range", F.spark_partition_id()))
+    sizes = ranged.groupBy(*keys, "_range").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*keys, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    local = Window.partitionBy(*keys, "_range").orderBy(*order)
+    placed = ranged.withColumn("_rank", F.row_number().over(local)).join(offsets, [*keys, "_range"])
+    return placed.withColumn(name, F.col("_offset") + F.col("_rank")).drop("_range", "_rank", "_offset")
+
+
+def sequence_attempts(df: DataFrame, design: str = "design_id", candidate: str = "id") -> DataFrame:
+    """Adds ``position`` and ``is_final``: attempts of a design by (candidate id, attempt number)."""
+    placed = ranked_by(df, [design], [F.col(candidate), attempt_number(F.col(candidate), F.lit(0))])
+    last = placed.groupBy(design).agg(F.max("position").alias("_last"))
+    return placed.join(last, design).withColumn("is_final", F.col("position") == F.col("_last")).drop("_last")
 
 
 def select_cases(corpus: DataFrame, index: int | None = None, limit: int = 1, ord_col: str = "ord") -> DataFrame:

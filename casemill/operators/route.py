@@ -103,13 +103,14 @@ def audit_routes(stages: DataFrame, decisions: DataFrame | None = None, design_m
     d = decision(
         F.col("stage_kind"), F.col("verdict"), F.col("route_code"), F.col("retry_index"), F.lit(design_max), F.lit(generation_max)
     )
-    replay = logged.withColumn("_d", d)
-    agrees = (
-        F.col("next_stage").eqNullSafe(F.col("_d.next_stage"))
-        & F.col("terminal").eqNullSafe(F.col("_d.terminal"))
-        & F.col("final_route").eqNullSafe(F.col("_d.route_code"))
-    )
-    return replay.where(~agrees).select(
+    said = F.struct("next_stage", "terminal", F.col("final_route").alias("route_code"))
+
+    def differs(x: Column) -> Column:
+        fields = ("next_stage", "terminal", "route_code")
+        return ~(F.struct(*[x[f].alias(f) for f in fields]).eqNullSafe(said))
+
+    # exploding the at most one disagreement evaluates the table once per row
+    return logged.select("*", F.explode(F.filter(F.array(d), differs)).alias("_d")).select(
         *logged.columns,
         F.col("_d.next_stage").alias("expected_next_stage"),
         F.col("_d.terminal").alias("expected_terminal"),

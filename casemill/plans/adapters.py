@@ -17,6 +17,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents for work that is heavy per row: spread when they arrive as one unsplittable file."""
+    return spread(table(spark, sf, "documents"))
+
+
 def choose(value: Column, options: dict, default: str) -> Column:
     out = F.lit(default)
     for key, text in options.items():

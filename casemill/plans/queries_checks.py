@@ -164,7 +164,7 @@ def test_commands(spark, sf):
 )
 def text_hygiene(spark, sf):
     """Whole documents as JSON; the adapter adds a zero-width space to some."""
-    d = A.table(spark, sf, "documents")
+    d = A.texts(spark, sf)
     body = F.concat(F.col("text"), F.when(F.col("doc_id") % 50 == 0, F.lit("​")).otherwise(F.lit("")))
     docs = d.select(
         F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("id"),
@@ -183,7 +183,7 @@ def text_hygiene(spark, sf):
 )
 def text_repair(spark, sf):
     """Whole texts; the adapter adds a decomposed accent to some and escaped bytes to others."""
-    d = A.table(spark, sf, "documents")
+    d = A.texts(spark, sf)
     accent = F.when(F.col("doc_id") % 2 == 0, F.lit("é")).otherwise(F.lit(""))
     escaped = F.when(F.col("doc_id") % 3 == 0, F.lit("\x00c3\x00a9")).otherwise(F.lit(""))
     fixed = d.select("doc_id", T.normalize_text(F.concat("text", accent, escaped)).alias("r"))
@@ -216,7 +216,7 @@ SCHEMA = {
         WHEN length(text) < 40 THEN 'text' END AS bad FROM documents)""",
 )
 def schema_rules(spark, sf):
-    d = A.table(spark, sf, "documents")
+    d = A.texts(spark, sf)
     extra = F.when(F.col("doc_id") % 20 == 7, F.lit(1))
     docs = d.select(
         F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("id"),
@@ -238,7 +238,7 @@ def schema_rules(spark, sf):
       unnest(['', lang, '', text, source, CAST(n_chars AS VARCHAR)]) AS text FROM documents""",
 )
 def document_nodes(spark, sf):
-    d = A.table(spark, sf, "documents")
+    d = A.texts(spark, sf)
     docs = d.select(
         "doc_id",
         F.to_json(F.struct("lang", F.array("text", "source").alias("parts"), F.struct(F.col("n_chars").alias("n")).alias("stats"))).alias("body"),
@@ -250,7 +250,7 @@ def document_nodes(spark, sf):
 
 def _marked(spark, sf):
     """Document texts with a leak marker appended to some."""
-    d = A.table(spark, sf, "documents")
+    d = A.texts(spark, sf)
     note = A.choose(F.col("doc_id") % 30, {3: " Root cause: the cache", 11: " see Starter Code, the intended fix", 17: " BUG: off"}, "")
     key = F.struct(
         F.lit(0).alias("section"), F.lit(0).alias("ord"), F.lit("").alias("file"), F.lit(0).alias("part")
@@ -282,7 +282,7 @@ def answer_leaks(spark, sf):
 )
 def passage_leaks(spark, sf):
     """Every benchmark passage inside every whole document."""
-    texts = A.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    texts = A.texts(spark, sf).select(F.col("doc_id").alias("id"), "text")
     passages = A.table(spark, sf, "benchmark").select(F.col("item_id").alias("passage_id"), F.col("text").alias("passage"))
     return L.passage_hits(texts, passages)
 
@@ -496,7 +496,7 @@ def record_search(spark, sf):
     FROM (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'invalid JSON near ' WHEN 1 THEN 'Empty reply ' WHEN 2 THEN 'bad revision patch ' ELSE '' END || text AS m FROM documents)""",
 )
 def provider_errors(spark, sf):
-    d = A.table(spark, sf, "documents")
+    d = A.texts(spark, sf)
     lead = A.choose(F.col("doc_id") % 4, {0: "invalid JSON near ", 1: "Empty reply ", 2: "bad revision patch "}, "")
     return d.select("doc_id", S.error_route(F.concat(lead, F.col("text"))).alias("route"))
 
@@ -506,7 +506,7 @@ def provider_errors(spark, sf):
     """SELECT doc_id, doc_id % 5 = 4 AS failed, CASE WHEN doc_id % 5 = 4 THEN '' ELSE source END AS source FROM documents""",
 )
 def fenced_answers(spark, sf):
-    d = A.table(spark, sf, "documents")
+    d = A.texts(spark, sf)
     body = F.to_json(F.struct("source", "text"))
     fenced = (
         F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```")))

@@ -441,7 +441,7 @@ _SLOTS = """w AS (SELECT doc_id, md5(token) AS h FROM (SELECT doc_id, unnest(reg
     f"WITH {_SLOTS} SELECT doc_id, CAST(bucket AS INT) AS bucket, CAST(weight AS BIGINT) AS weight FROM c",
 )
 def token_slots(spark, sf):
-    return E.token_slots(A.table(spark, sf, "documents"), "doc_id", "text", 128)
+    return E.token_slots(A.texts(spark, sf), "doc_id", "text", 128)
 
 
 @query(
@@ -450,7 +450,7 @@ def token_slots(spark, sf):
     SELECT doc_id, CAST(bucket AS INT) AS bucket, round(weight / norm, 6) AS value FROM c JOIN n USING (doc_id) WHERE weight <> 0""",
 )
 def hashed_embeddings(spark, sf):
-    vectors = E.hash_embedding(A.table(spark, sf, "documents"), "doc_id", "text", hash="md5")
+    vectors = E.hash_embedding(A.texts(spark, sf), "doc_id", "text", hash="md5")
     cells = vectors.select("doc_id", F.posexplode("vector").alias("bucket", "value"))
     return cells.where("value <> 0").select("doc_id", "bucket", F.round("value", 6).alias("value"))
 
@@ -458,7 +458,7 @@ def hashed_embeddings(spark, sf):
 @query("novel_documents")
 def novel_documents(spark, sf):
     """Greedy novelty over the default embeddings of all whole texts."""
-    d = A.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), F.col("doc_id").alias("ord"), F.col("text").alias("embedding_text"))
+    d = A.texts(spark, sf).select(F.col("doc_id").cast("string").alias("id"), F.col("doc_id").alias("ord"), F.col("text").alias("embedding_text"))
     return curate(d).drop("vector").withColumn("subcodes", F.array_join("subcodes", ","))
 
 
@@ -472,7 +472,7 @@ def novel_documents(spark, sf):
 )
 def headline_pack_rows(spark, sf):
     """Every line of a document as a headline, rendered into one pack and parsed back."""
-    d = A.table(spark, sf, "documents")
+    d = A.texts(spark, sf)
     rows = headline_rows(d.select("doc_id", F.split("text", "\n").alias("items")), "doc_id", "items")
     packs = render_headlines(rows.withColumn("date", F.lit("2026-01-01")), "doc_id")
     return parse_headlines(packs, "doc_id").drop("date")
@@ -554,7 +554,7 @@ def scored_prompts(spark, sf):
             raise ValueError("too short")
         return {"output": str(n), "input_tokens": n, "output_tokens": 1}
 
-    d = A.table(spark, sf, "documents").select(F.lit("run-1").alias("run_id"), F.col("doc_id").alias("row_index"), F.col("text").alias("prompt"))
+    d = A.texts(spark, sf).select(F.lit("run-1").alias("run_id"), F.col("doc_id").alias("row_index"), F.col("text").alias("prompt"))
     return E.run_prompts(d, words).drop("latency_ms", "prompt")
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from casemill.functions.scalars import attempt_number, clip, strings
 from casemill.operators import metrics
@@ -75,11 +74,10 @@ def _codes(col: Column, limit: int) -> Column:
 def story_lines(rejected: DataFrame, accepted: DataFrame) -> DataFrame:
     """(design_id, position, attempt, line, gates): the printable attempt lines of each story, as rows.
 
-    The retry limits bound a design's attempts, so they are numbered with a plain window.
+    Attempts without a design share one story, which may be very long; positions are ranked by ranges.
     """
-    attempts = union_attempts(rejected, accepted)
-    order = Window.partitionBy("design_id").orderBy("id", attempt_number(F.col("id"), F.lit(0)), "accepted", "ord")
-    placed = attempts.withColumn("position", F.row_number().over(order))
+    order = [F.col("id"), attempt_number(F.col("id"), F.lit(0)), F.col("accepted"), F.col("ord")]
+    placed = metrics.ranked_by(union_attempts(rejected, accepted), ["design_id"], order)
     number = attempt_number(F.col("id"), F.col("position"))
     verdict = F.when(F.col("accepted"), F.lit("accepted")).otherwise(F.lit("rejected"))
     line = F.concat(
