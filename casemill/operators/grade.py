@@ -166,13 +166,13 @@ def _scored(alerts: Column, expected: Column) -> Column:
     return F.transform(alerts, score)
 
 
-def best_match(alerts: Column, expected: Column) -> Column:
-    """The best alert for one expected alert; the first alert wins ties."""
+def _best(scored: Column, expected_id: Column) -> Column:
+    """The best of an expected alert's scored alerts; the first alert wins ties."""
     none = F.struct(*[F.lit(False).alias(c) for c in ALERT_CHECKS])
     return let(
-        F.array_max(_scored(alerts, expected)),
+        F.array_max(scored),
         lambda best: F.struct(
-            expected["id"].alias("expected_alert_id"),
+            expected_id.alias("expected_alert_id"),
             best["id"].alias("submitted_alert_id"),
             (F.coalesce(best["score"], F.lit(0)) >= fixed.ALERT_MATCH_SCORE).alias("matched"),
             F.coalesce(best["score"], F.lit(0)).alias("match_score"),
@@ -181,33 +181,44 @@ def best_match(alerts: Column, expected: Column) -> Column:
     )
 
 
+def with_matches(df: DataFrame) -> DataFrame:
+    """Adds ``best`` (one match per expected alert) and ``extra`` (alerts no expected alert accounts for).
+
+    ``df`` has ``alerts`` and ``expected``. Every alert is scored against every expected alert of its own
+    document once; both columns are read off that table.
+    """
+    table = F.transform("expected", lambda e: F.struct(e["id"].alias("id"), _scored(F.col("alerts"), e).alias("row")))
+    best = F.transform("_scores", lambda s: _best(s["row"], s["id"]))
+    ids = F.transform(F.filter("best", lambda b: b["matched"]), lambda b: b["submitted_alert_id"])
+
+    def accounted(i: Column) -> Column:
+        return F.exists("_scores", lambda s: F.get(s["row"], i)["score"] >= fixed.ALERT_MATCH_SCORE)
+
+    extra = F.filter(
+        "alerts", lambda a, i: ~F.array_contains(ids, F.coalesce(a["id"], F.lit("None"))) & ~accounted(i)
+    )
+    return df.withColumn("_scores", table).withColumn("best", best).withColumn("extra", extra).drop("_scores")
+
+
 def best_alert_match(scans: DataFrame, oracles: DataFrame) -> DataFrame:
     """(case_id, expected_alert_id, submitted_alert_id, matched, match_score, checks) per expected alert.
 
     ``scans`` has case_id and the typed scan. Only alerts of the same document meet an expected alert, so
     the pairing stays inside the joined row.
     """
-    joined = join_oracles(scans.select("case_id", "scan.alerts"), oracles.select("case_id", "true_alerts"))
-    rows = joined.select("case_id", "alerts", F.explode("true_alerts").alias("expected"))
-    return rows.select("case_id", best_match(F.col("alerts"), F.col("expected")).alias("m")).select("case_id", "m.*")
-
-
-def _unmatched(alerts: Column, expected: Column, best: Column) -> Column:
-    """Alerts that neither are any expected alert's best match nor match one well enough."""
-    ids = F.transform(F.filter(best, lambda b: b["matched"]), lambda b: b["submitted_alert_id"])
-    return F.filter(
-        alerts,
-        lambda a: ~F.array_contains(ids, F.coalesce(a["id"], F.lit("None")))
-        & ~F.exists(expected, lambda e: let(alert_checks(a, e), check_count) >= fixed.ALERT_MATCH_SCORE),
-    )
+    pairs = _documents(scans, oracles)
+    return with_matches(pairs).select("case_id", F.explode("best").alias("m")).select("case_id", "m.*")
 
 
 def false_positives(scans: DataFrame, oracles: DataFrame) -> DataFrame:
     """(case_id, alert_id) of submitted alerts no expected alert accounts for."""
+    pairs = _documents(scans, oracles)
+    return with_matches(pairs).select("case_id", F.explode("extra").alias("a")).select("case_id", F.col("a.id").alias("alert_id"))
+
+
+def _documents(scans: DataFrame, oracles: DataFrame) -> DataFrame:
     joined = join_oracles(scans.select("case_id", "scan.alerts"), oracles.select("case_id", "true_alerts"))
-    with_best = joined.withColumn("best", F.transform("true_alerts", lambda e: best_match(F.col("alerts"), e)))
-    extra = _unmatched(F.col("alerts"), F.col("true_alerts"), F.col("best"))
-    return with_best.select("case_id", F.explode(extra).alias("a")).select("case_id", F.col("a.id").alias("alert_id"))
+    return joined.withColumnRenamed("true_alerts", "expected")
 
 
 # ------------------------------------------------------------------ scan grades
@@ -261,7 +272,8 @@ def grade_scans(scans: DataFrame, oracles: DataFrame) -> DataFrame:
         F.col("scan.no_alert_rationale").alias("rationale"),
         alerts.alias("alerts"),
         F.coalesce("true_alerts", F.array().cast("array<" + schemas.EXPECTED_ALERT.simpleString() + ">")).alias("expected"),
-    ).withColumn("best", F.transform("expected", lambda e: best_match(F.col("alerts"), e)))
+    )
+    base = with_matches(base)
     on_zero = _zero_alert_checks(F.col("alerts"), F.col("rationale"))
     checks = {
         name: F.when(F.col("zero"), on_zero[name]).otherwise(F.exists("best", _meets(name)))
@@ -270,7 +282,7 @@ def grade_scans(scans: DataFrame, oracles: DataFrame) -> DataFrame:
     checks["result_correct"] = F.col("result").eqNullSafe(
         F.when(F.col("zero"), F.lit("no_alert")).otherwise(F.lit("alerts_found"))
     )
-    extra = F.when(F.col("zero"), F.size("alerts")).otherwise(F.size(_unmatched(F.col("alerts"), F.col("expected"), F.col("best"))))
+    extra = F.when(F.col("zero"), F.size("alerts")).otherwise(F.size("extra"))
     valid = F.col("schema_valid")
     graded = base.select(
         "case_id",

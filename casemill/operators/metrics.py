@@ -183,6 +183,7 @@ def perf_by_role(stages: DataFrame) -> DataFrame:
         .groupBy("role", "latency")
         .agg(F.count("*").alias("n"), F.sum("input_tokens").alias("i"), F.sum("output_tokens").alias("o"))
     )
+    counted = checkpointed(counted)  # totals and medians both read it; the log itself is scanned once
     totals = counted.groupBy("role").agg(
         F.sum("n").alias("n"),
         F.sum(F.col("latency") * F.col("n")).alias("total_ms"),
@@ -202,6 +203,7 @@ def request_sizes(events: DataFrame) -> DataFrame:
         .groupBy("label", "bytes")
         .agg(F.count("*").alias("n"))
     )
+    counted = checkpointed(counted)
     totals = counted.groupBy("label").agg(
         F.sum("n").alias("n"), F.sum(F.col("bytes") * F.col("n")).alias("total_bytes"), F.max("bytes").alias("max_bytes")
     )

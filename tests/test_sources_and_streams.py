@@ -267,3 +267,24 @@ def test_board_follows_starts_and_results(spark):
     assert got["r", "design"] == "skipped" and got["r", "revise_from_adversary"] == "pending" and got["r", "generate"] == "pending"
     assert got["r", "quality_gate"] == "running" and got["r", "rubric_gate"] == "running"
     assert got["s", "validate_det"] == "local" and got["s", "join_gates"] == "local" and len(got) == 24
+
+
+def test_small_helpers(spark):
+    from casemill.functions import scalars as S
+    from casemill.operators.curate import committed_record, embedding_text
+    from casemill.operators.joins import missing_items
+
+    row = spark.createDataFrame([((("raw",), "c1"),)], "candidate struct<output:struct<a:string>,id:string>")
+    assert committed_record(row).first()["candidate"].asDict() == {"id": "c1"}
+    need, have = (spark.createDataFrame([(k,) for k in keys], "path string") for keys in ("abc", "bd"))
+    assert {r["path"] for r in missing_items(need, have, "path").collect()} == {"a", "c"}
+    sets = spark.createDataFrame([(["a", "b", "a"], ["b", "a"], ["z"])], "a array<string>, b array<string>, c array<string>")
+    got = sets.select(S.ordered_distinct(F.col("a")), S.is_subset(F.col("a"), F.col("b")), S.overlaps(F.col("a"), F.col("c"))).first()
+    assert tuple(got) == (["a", "b"], True, False)
+    fields = spark.createDataFrame([({"prompt": "p", "x": "1"},)], "f map<string,string>")
+    assert fields.select(S.safe_event_fields(F.col("f"))).first()[0] == {"x": "1"}
+    numbers = spark.createDataFrame([("12",), (" 7 ",), ("1.5",), ("x",), (None,)], "v string")
+    assert [r[0] for r in numbers.select(S.safe_int(F.col("v"))).collect()] == [12, 7, 0, 0, 0]
+    assert spark.range(1).select(S.round4(F.lit(0.82505)), S.round4(F.lit(2 / 3))).first()[1] == 0.6667
+    lines = embedding_text(candidates(spark, candidate())).first()["embedding_text"].split("\n")
+    assert json.loads(lines[0])["prompt"] == CASE["prompt"] and lines[-1] == "billing" and json.loads(lines[3]) == {"name": "tracing"}
