@@ -197,8 +197,14 @@ def audit_view(requests: DataFrame, views: DataFrame) -> DataFrame:
     ``views`` is (vendor_id, view, result) with the result as JSON text. An unknown view is reported with
     the views that exist; a view that belongs to another vendor is refused.
     """
-    known = views.groupBy("vendor_id").agg(F.array_sort(F.collect_set("view")).alias("available"))
-    joined = requests.join(views, ["vendor_id", "view"], "left").join(known, "vendor_id", "left")
+    joined = requests.join(views, ["vendor_id", "view"], "left")
+    # the names of a vendor's views are only gathered where a request missed
+    missed = joined.where(F.col("result").isNull()).select("vendor_id").distinct()
+    known = (
+        views.select("vendor_id", "view").join(missed, "vendor_id", "left_semi")
+        .groupBy("vendor_id").agg(F.array_sort(F.collect_set("view")).alias("available"))
+    )
+    joined = joined.join(known, "vendor_id", "left")
     owner = F.try_variant_get(F.try_parse_json("result"), "$.vendor_id", "string")
     status = (
         F.when(F.col("result").isNull(), F.lit("unknown_view"))

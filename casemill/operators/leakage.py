@@ -144,15 +144,17 @@ def passage_hits(texts: DataFrame, passages: DataFrame) -> DataFrame:
     pairs = tokens.join(rarest, "token").select("id", "passage_id")
 
     heads = short.select("passage_id", F.substring("passage", 1, GRAM).alias("gram"))
-    sizes = heads.select(F.length("gram").alias("n")).distinct()  # at most GRAM rows
-    cut = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length("text") - F.col("n") + 1, F.lit(1))),
-        lambda at: F.substr(F.lower(F.col("text")), at, F.col("n")),
-    )
-    grams = texts.join(F.broadcast(sizes), F.length("text") >= F.col("n")).select(
-        "id", F.explode(F.array_distinct(cut)).alias("gram")
-    )
-    pairs = pairs.unionByName(grams.join(heads, "gram").select("id", "passage_id"))
+    sizes = sorted(r["n"] for r in heads.select(F.length("gram").alias("n")).distinct().collect())  # at most GRAM numbers
+    if sizes:
+        low = F.lower(F.col("text"))
+
+        def cut(n: int) -> Column:
+            return F.when(
+                F.length(low) >= n, F.transform(F.sequence(F.lit(1), F.length(low) - n + 1), lambda at: F.substr(low, at, F.lit(n)))
+            ).otherwise(F.array().cast("array<string>"))
+
+        grams = texts.select("id", F.explode(F.array_distinct(F.concat(*[cut(n) for n in sizes]))).alias("gram"))
+        pairs = pairs.unionByName(grams.join(heads, "gram").select("id", "passage_id"))
 
     verified = (
         pairs.join(texts.select("id", F.lower("text").alias("text")), "id")
