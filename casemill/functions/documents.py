@@ -52,12 +52,12 @@ def _walk(value, path, index_path, wild, sort_path, out):
 
 
 def walk(text: str) -> list[tuple]:
-    """All nodes of a JSON text in document order; nothing when the text is not JSON."""
+    """All nodes of a JSON text in document order; a single ``invalid`` node when the text is not JSON."""
     out: list[tuple] = []
     try:
         value = json.loads(text)
     except (TypeError, ValueError):
-        return out
+        return [("", "", "", "", "invalid", None, None, None, None)]
     _walk(value, "", "", "", "", out)
     return out
 
@@ -67,7 +67,7 @@ _NAMES = [f.name for f in NODE.fields]
 
 @F.pandas_udf(T.ArrayType(NODE))
 def _nodes(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: [dict(zip(_NAMES, node)) for node in walk(t)] if isinstance(t, str) else [])
+    return texts.map(lambda t: [dict(zip(_NAMES, node)) for node in walk(t)])
 
 
 def json_nodes(df: DataFrame, json_col: str, *keep: str) -> DataFrame:
