@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemill.llm.common import stored
+from casemill.llm.common import most_frequent, stored
 
 #: No pair: larger than any rank.
 NONE = 2**31 - 1
@@ -186,15 +186,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
     words = words_of(F.col(text_col), pattern)
     counts = stored(docs.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n")))
     size = F.octet_length("word")
-    short = counts.where(size <= MAP_WORD_BYTES)
-    bins = short.groupBy(F.floor(F.log2("n")).cast("int").alias("bin")).agg(F.count("*").alias("words")).collect()  # 64 rows at most
-    least, room = 0, map_words
-    for row in sorted(bins, key=lambda r: -r["bin"]):
-        if row["words"] > room:
-            least = 2 ** (row["bin"] + 1)
-            break
-        room -= row["words"]
-    known = short.where(F.col("n") >= least).select("word", fold_word(F.col("word"), rank_map).alias("ids")).toArrow()
+    short = most_frequent(counts.where(size <= MAP_WORD_BYTES), map_words)
+    known = short.select("word", fold_word(F.col("word"), rank_map).alias("ids")).toArrow()
     known = known.sort_by("word")
     keys = known["word"].to_pylist()
     bits = max(8, len(keys).bit_length() + 1)

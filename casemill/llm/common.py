@@ -43,6 +43,22 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def most_frequent(counts: DataFrame, room: int) -> DataFrame:
+    """The rows of ``counts`` whose n reaches the least power of two that lets at most ``room`` rows through.
+
+    Ties of one power go together, so this needs no order over all rows: one aggregate of 64 rows decides.
+    """
+    power = F.floor(F.log2("n")).cast("int")
+    bins = counts.groupBy(power.alias("bin")).agg(F.count("*").alias("rows")).collect()
+    least = 0
+    for row in sorted(bins, key=lambda r: -r["bin"]):
+        if row["rows"] > room:
+            least = 2 ** (row["bin"] + 1)
+            break
+        room -= row["rows"]
+    return counts.where(F.col("n") >= least)
+
+
 def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, root): the smallest node reachable from every node that has an edge. ``edges``: a, b, of any order type.
 

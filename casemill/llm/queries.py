@@ -6,10 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemill.llm import bpe, exact_dedup, mixing, quality, simhash, suffix_dedup
+from casemill.llm import bpe, exact_dedup, html_crf, mixing, quality, secret_scan, simhash, suffix_dedup, topk, url_filter
 from casemill.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
+#: Fixed values: (action, host, path prefix) of the rules for pages.
+URL_RULES = (
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+)
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +25,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best vectors by inner product for every hundredth vector."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0), 10)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of the documents; of equal texts the largest doc_id stays."""
     groups = exact_dedup.exact_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), keep="largest")
@@ -36,17 +50,42 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on the pages' urls."""
+    judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url", "html"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of the documents."""
     return simhash.near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in the documents, base spans and linked parts."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        F.sha2(secret_scan.spans_text(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The curriculum's share of every document, in training order."""
     mixed = mixing.curriculum(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixing.in_training_order(mixed).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of the pages."""
+    out = html_crf.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def encoded(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) by the public 50k vocabulary."""
     ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
@@ -66,14 +105,27 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_topk": op2_topk,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_url_filter": op5_url_filter,
     "op6_simhash_dedup": op6_simhash_dedup,
+    "op7_secret_scan": op7_secret_scan,
     "op8_mixing": op8_mixing,
+    "op9_html_extraction": op9_html_extraction,
     "op10_bpe": op10_bpe,
 }
 
 ORACLES = {
+    "op2_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGINT AS score
+  FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
     "op3_exact_dedup": """
 WITH d AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
