@@ -27,6 +27,17 @@ def folded(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def packed(docs: DataFrame, **more: Column) -> DataFrame:
+    """Every row as one struct ``row`` beside the columns ``more``, so that names of the input clash with nothing."""
+    return docs.select(F.struct("*").alias("row"), *[c.alias(name) for name, c in more.items()])
+
+
+def unpacked(rows: DataFrame, new: tuple[str, ...] = ()) -> DataFrame:
+    """The packed rows' own columns and those in ``new``, which replace own ones of the same name."""
+    own = [f.name for f in rows.schema["row"].dataType.fields if f.name.lower() not in {n.lower() for n in new}]
+    return rows.select(*[F.col("row")[c].alias(c) for c in own], *new)
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casemill.llm.common import folded, text_or_empty
+from casemill.llm.common import folded, packed, text_or_empty, unpacked
 
-HASH, DIGEST, TEXT, ID = "_hash", "_digest", "_text", "_id"
+NEW = ("keep_id", "group_size", "kept", "text_sha256")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest", hash_of=F.md5) -> DataFrame:
@@ -16,7 +16,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Texts are equal when identical after A-Z folding; null is the empty text. ``keep`` names the row that stays,
     the smallest or the largest id of the group; null ids lose against any other. Rows that repeat the staying id
     with the same text are all kept, and every row counts in group_size. An empty table gives an empty result;
-    extra columns pass through.
+    extra columns pass through, those named like a new one are replaced.
 
     Plan: the group key is (128-bit hash, text), so the aggregate itself compares bytes, and its map-side half
     leaves one row per text and task however many copies there are. What joins back is narrow: hash, digest, id
@@ -24,25 +24,28 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Two texts with one 128-bit hash stay two groups, told apart by SHA-256; should that collide as well the job
     fails rather than merge them.
     """
+    return unpacked(_grouped(docs, id_col, text_col, keep, hash_of), NEW)
+
+
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
+    """The rows of ``docs`` that stay, one for each group: rows that repeat the staying id with its text stay once."""
+    kept = _grouped(docs, id_col, text_col, keep, F.md5).where("kept")
+    return unpacked(kept.dropDuplicates(["keep_id", "text_sha256"]))
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, keep: str, hash_of) -> DataFrame:
     best = {"smallest": F.min, "largest": F.max}[keep]
-    rows = docs.withColumn(TEXT, folded(text_or_empty(text_col)))
-    texts = (
-        rows.select(hash_of(TEXT).alias(HASH), TEXT, F.col(id_col).alias(ID))
-        .groupBy(HASH, TEXT)
-        .agg(best(ID).alias("keep_id"), F.count("*").alias("group_size"))
-        .select(HASH, F.sha2(TEXT, 256).alias(DIGEST), "keep_id", "group_size")
-    )
-    collided = F.raise_error(F.concat(F.lit("two texts share both digests: "), F.col(DIGEST))).cast("bigint")
+    folds = {"folds": folded(text_or_empty(text_col)), "id": F.col(id_col)}
+    texts = docs.select(*[c.alias(n) for n, c in folds.items()]).withColumn("hash", hash_of("folds"))
+    texts = texts.groupBy("hash", "folds").agg(best("id").alias("keep_id"), F.count("*").alias("group_size"))
+    texts = texts.select("hash", F.sha2("folds", 256).alias("digest"), "keep_id", "group_size")
+    collided = F.raise_error(F.concat(F.lit("two texts share both digests: "), F.col("digest"))).cast("bigint")
     groups = (
-        texts.groupBy(HASH, DIGEST)
-        .agg(F.count("*").alias("_texts"), F.first("keep_id").alias("keep_id"), F.first("group_size").alias("group_size"))
-        .select(HASH, DIGEST, "keep_id", F.when(F.col("_texts") == 1, F.col("group_size")).otherwise(collided).alias("group_size"))
+        texts.groupBy("hash", "digest")
+        .agg(F.count("*").alias("texts"), F.first("keep_id").alias("keep_id"), F.first("group_size").alias("group_size"))
+        .select("hash", "digest", "keep_id", F.when(F.col("texts") == 1, F.col("group_size")).otherwise(collided).alias("group_size"))
     )
-    keyed = rows.select(*docs.columns, hash_of(TEXT).alias(HASH), F.sha2(TEXT, 256).alias(DIGEST))
-    return keyed.join(groups, [HASH, DIGEST]).select(
-        *docs.columns,
-        "keep_id",
-        "group_size",
-        F.col(id_col).eqNullSafe(F.col("keep_id")).alias("kept"),
-        F.col(DIGEST).alias("text_sha256"),
+    rows = packed(docs, **folds).select("row", "id", hash_of("folds").alias("hash"), F.sha2("folds", 256).alias("digest"))
+    return rows.join(groups, ["hash", "digest"]).select(
+        "row", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("digest").alias("text_sha256")
     )

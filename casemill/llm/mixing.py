@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casemill.llm.common import stored, word_count
+from casemill.llm.common import packed, stored, unpacked, word_count
 from casemill.operators.metrics import ranked_by
 
 #: Weights by the source's rank, repeating, and the schedule's multiplier at the start and at the end of training.
@@ -116,3 +116,14 @@ def in_training_order(mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Documents range-sorted by their first position; those not taken come last, in hash order, so no range is one value."""
     first = F.coalesce(F.get("positions", F.lit(0)), F.lit(2.0))
     return mixed.orderBy(first, "_order", id_col)
+
+
+def laid_out(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The rows of ``docs`` in training order, each once for every epoch in which the mix starts it, whole.
+
+    The rows travel with their prefix sums, so rows that repeat an id, or all columns, have turns of their own.
+    """
+    rows = packed(docs, id=F.col(id_col), text=F.col(text_col), source=F.col(source_col))
+    mixed = curriculum(rows, "id", "text", "source", carry=("row",), **options)
+    placed = mixed.select("row", "id", "_order", F.explode("positions").alias("position"))
+    return unpacked(placed.orderBy("position", "_order", "id"))

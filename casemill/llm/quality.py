@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casemill.llm.common import stored
+from casemill.llm.common import packed, stored, unpacked
 
 _WORD = re.compile("[^\x20\x09-\x0d]+")
 _MARKS = re.compile(r"[^\w\s]{2,}")
@@ -183,26 +183,28 @@ def choose_cut(scores: DataFrame, grid: int = 200) -> float:
     return float(best)
 
 
-def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", accept: float = ACCEPT) -> DataFrame:
-    """One row per input row: the columns of ``docs`` plus held_out, score (0 to 1) and predicted (1 or 0).
+def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", accept: float = ACCEPT) -> DataFrame:
+    """The rows of ``docs`` that are predicted to be good, by the rules of ``scores``.
+
+    The texts are read once for their features and once to join the narrow scores back.
+    """
+    good = scores(docs, labels, id_col, text_col, label_col, accept, keyed=True).where("predicted = 1")
+    good = good.select(F.col(id_col).alias("good_id"), F.col("_key").alias("good_key")).distinct()
+    rows = packed(docs, id=F.col(id_col), key=_key(text_col))
+    return unpacked(rows.join(good, F.col("id").eqNullSafe(F.col("good_id")) & (F.col("key") == F.col("good_key")), "left_semi"))
+
+
+def scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", accept: float = ACCEPT, keyed: bool = False) -> DataFrame:
+    """(id, held_out, score, predicted), one row per input row; ``keyed`` adds the hash of the text.
 
     Only labelled rows that are not held out teach; an id labelled more than once counts by its lowest label, null
     labels and ids teach nothing. A score is the logistic function of the ranking score, shifted so that ``accept``
     is the quantile of training scores that parts the labels best. Null and empty texts are scored by the feature
-    that says so. Without pairs every score is ``accept``. An empty table gives an empty result; extra columns pass
-    through, and rows that repeat an id with another text are scored one by one.
+    that says so. Without pairs every score is ``accept``. An empty table gives an empty result; other columns are
+    not read, and rows that repeat an id are scored one by one.
 
-    The texts are read once for their features, which are written out, and once to join the narrow scores back.
+    The texts are read once for their features, which are written out; all else works on those narrow rows.
     """
-    narrow = scores(docs, labels, id_col, text_col, label_col, accept, keyed=True).distinct()
-    narrow = narrow.withColumnRenamed(id_col, "_id")
-    rows = docs.withColumn("_row_key", _key(text_col))
-    joined = rows.join(narrow, rows[id_col].eqNullSafe(narrow["_id"]) & (rows["_row_key"] == narrow["_key"]))
-    return joined.select(*docs.columns, "held_out", "score", "predicted")
-
-
-def scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", accept: float = ACCEPT, keyed: bool = False) -> DataFrame:
-    """(id, held_out, score, predicted), one row per input row; the rules of ``scored``. ``keyed`` adds the text's hash."""
     measured = stored(with_features(docs, id_col, text_col))
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_known"))
     known = known.agg(F.min(label_col).cast("int").alias("label"))

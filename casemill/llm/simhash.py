@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casemill.llm.common import LOWER, UPPER, connected, stored
+from casemill.llm.common import LOWER, UPPER, connected, packed, stored, unpacked
 
 WORDS = 4
 BITS = 4
@@ -208,3 +208,12 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = joined.join(lowest, "root").select("fp", "component_id")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return ids.join(classes, "fp").select(F.col("_id").alias(id_col), hexed, "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, reach: int = BITS) -> DataFrame:
+    """The rows of ``docs`` that stay: of every component those with its smallest id."""
+    classes = near_groups(docs, id_col, text_col, words, reach)
+    stays = classes.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("stay")).distinct()
+    rows = packed(docs, id=F.col(id_col))
+    rows = rows.join(stays, F.col("id").eqNullSafe(F.col("stay")), "left_semi")
+    return unpacked(rows)
