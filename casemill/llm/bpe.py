@@ -79,20 +79,27 @@ def _find(key: Column, slots: Column, keys: Column, bits: int) -> tuple[Column,
 
 
 class RankMap:
-    """The vocabulary as constants: pieces by id and a two-slot hash table from a piece's bytes to its rank."""
+    """The vocabulary as constants: pieces by id and a two-slot hash table from a piece to its rank.
+
+    A piece is looked up as the string that has one character per byte, U+0000 to U+00FF.
+    """
 
     def __init__(self, spark: SparkSession, ranks: dict[bytes, int]):
         pieces = sorted(ranks, key=ranks.__getitem__)
         if [ranks[p] for p in pieces] != list(range(len(pieces))):
             raise ValueError("ranks must be 0 .. n-1")
+        wide = [p.decode("latin-1") for p in pieces]
         self.bits = max(8, len(pieces).bit_length() + 1)
-        self.pieces = _constant(spark, pa.array(pieces, pa.binary()))
-        self.slots = _constant(spark, pa.array(_slots(pieces, self.bits), pa.int32()))
-        self.texts = self.pieces.cast("array<string>")
+        self.wide = _constant(spark, pa.array(wide, pa.string()))
+        self.slots = _constant(spark, pa.array(_slots((w.encode() for w in wide), self.bits), pa.int32()))
+        self.texts = _constant(spark, pa.array(pieces, pa.binary())).cast("array<string>")
 
     def rank(self, piece: Column) -> Column:
-        """The rank of a binary piece, NONE if it is no piece."""
-        at, a, bt, b = _find(piece, self.slots, self.pieces, self.bits)
+        """The rank of a piece, NONE if it is none."""
+        return _let(piece, self._rank)
+
+    def _rank(self, piece: Column) -> Column:
+        at, a, bt, b = _find(piece, self.slots, self.wide, self.bits)
         return F.when(at, a).when(bt, b).otherwise(F.lit(NONE))
 
 
@@ -100,41 +107,56 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+#: A boundary between two pieces is (rank of what they merge into) * 2**ROOM + position, so the least is the next merge.
+ROOM = 20
+
+
 def fold_word(word: Column, ranks: RankMap) -> Column:
     """Token ids of one word: its bytes, then the lowest-ranked leftmost pair merged again and again.
 
-    The state is (pieces, rank of each neighbouring pair); a merge looks up only the two pairs it makes.
+    The state is the array of boundaries between pieces, in order. A merge takes the least boundary out and looks up
+    only the two pairs beside it anew.
     """
-    data = word.cast("binary")
+    data = F.decode(word.cast("binary"), "ISO-8859-1")
     n = F.octet_length(word)
-    pieces = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(data, i, F.lit(1)))
-    pairs = F.when(n > 1, F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), n - 1)), lambda i: ranks.rank(F.substring(data, i, F.lit(2)))))
-    pairs = F.coalesce(pairs, F.array().cast("array<int>"))
-    none = F.array().cast("array<int>")
+    ends = F.lit((1 << ROOM) - 1).cast("bigint")
+    done = F.lit(NONE << ROOM).cast("bigint")
+    none = F.array().cast("array<bigint>")
+
+    def boundary(start: Column, at: Column, end: Column) -> Column:
+        rank = ranks.rank(F.substring(data, start + 1, end - start))
+        return F.shiftleft(rank.cast("bigint"), ROOM) + at
+
+    first = F.transform(F.sequence(F.lit(1), n - 1), lambda i: boundary(i - 1, i, i + 1))
+    first = F.when(n > 1, first).otherwise(none)
 
     def merged(state: Column, at: Column) -> Column:
-        p, r = state["p"], state["r"]
-        pair = F.concat(F.get(p, at - 1), F.get(p, at))
-        return _let(
-            pair,
-            lambda c: F.struct(
-                F.concat(F.slice(p, F.lit(1), at - 1), F.array(c), F.slice(p, at + 2, F.size(p))).alias("p"),
-                F.concat(
-                    F.slice(r, F.lit(1), F.greatest(F.lit(0), at - 2)),
-                    F.when(at > 1, F.array(ranks.rank(F.concat(F.get(p, at - 2), c)))).otherwise(none),
-                    F.when(at + 1 < F.size(p), F.array(ranks.rank(F.concat(c, F.get(p, at + 1))))).otherwise(none),
-                    F.slice(r, at + 2, F.size(r)),
-                ).alias("r"),
-            ),
+        place = lambda k, edge: F.coalesce(F.get(state, at + k).bitwiseAND(ends).cast("int"), edge)
+        left = F.array(boundary(place(-3, F.lit(0)), place(-2, F.lit(0)), place(0, n)))
+        right = F.array(boundary(place(-2, F.lit(0)), place(0, n), place(1, n)))
+        return F.concat(
+            F.slice(state, F.lit(1), F.greatest(F.lit(0), at - 2)),
+            F.when(at > 1, left).otherwise(none),
+            F.when(at < F.size(state), right).otherwise(none),
+            F.slice(state, at + 2, n),
         )
 
     def step(state: Column, _: Column) -> Column:
-        low = F.array_min(state["r"])
-        return F.when(low < NONE, _let(F.array_position(state["r"], low).cast("int"), lambda at: merged(state, at))).otherwise(state)
+        return _let(
+            F.array_min(state),
+            lambda low: F.when(low < done, _let(F.array_position(state, low).cast("int"), lambda at: merged(state, at))).otherwise(state),
+        )
+
+    def ids(state: Column) -> Column:
+        cuts = F.concat(F.array(F.lit(0)), F.transform(state, lambda b: b.bitwiseAND(ends).cast("int")), F.array(n))
+        return _let(
+            cuts,
+            lambda c: F.transform(
+                F.sequence(F.lit(0), F.size(c) - 2), lambda i: ranks.rank(F.substring(data, F.get(c, i) + 1, F.get(c, i + 1) - F.get(c, i)))
+            ),
+        )
 
-    start = F.struct(pieces.alias("p"), pairs.alias("r"))
-    turns = F.sequence(F.lit(1), F.greatest(F.lit(1), n - 1))
-    return F.aggregate(turns, start, step, lambda s: F.transform(s["p"], ranks.rank))
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.lit(1), n - 1)), first, step, ids)
 
 
 def merge_long(data: bytes, ranks: dict[bytes, int]) -> list[int]:
