@@ -20,11 +20,12 @@ NODE = T.StructType(
         T.StructField("number", T.DoubleType()),
         T.StructField("length", T.LongType()),  # characters of a string, items of an array
         T.StructField("keys", T.ArrayType(T.StringType())),  # keys of an object, in document order
+        T.StructField("key", T.StringType()),  # the node's own key in its object
     ]
 )
 
 
-def _walk(value, path, index_path, wild, sort_path, out):
+def _walk(value, path, index_path, wild, sort_path, key, out):
     kind, text, number, length, keys = "null", None, None, None, None
     children = ()
     if isinstance(value, str):
@@ -35,30 +36,31 @@ def _walk(value, path, index_path, wild, sort_path, out):
         kind, text, number = "number", json.dumps(value), float(value)
     elif isinstance(value, list):
         kind, length = "array", len(value)
-        children = [(str(i), f"[{i}]", "[]", f"{i:09d}", item) for i, item in enumerate(value)]
+        children = [(str(i), f"[{i}]", "[]", f"{i:09d}", None, item) for i, item in enumerate(value)]
     elif isinstance(value, dict):
         kind, keys = "object", list(value)
-        children = [(k, f".{k}", k, k, item) for k, item in value.items()]
-    out.append((path, index_path, wild, sort_path, kind, text, number, length, keys))
-    for name, indexed, wildcard, sortable, item in children:
+        children = [(k, f".{k}", k, k, k, item) for k, item in value.items()]
+    out.append((path, index_path, wild, sort_path, kind, text, number, length, keys, key))
+    for name, indexed, wildcard, sortable, own, item in children:
         _walk(
             item,
             f"{path}.{name}" if path else name,
             index_path + indexed,
             f"{wild}.{wildcard}" if wild else wildcard,
             f"{sort_path}\x01{sortable}" if sort_path else sortable,
+            own,
             out,
         )
 
 
 def walk(text: str) -> list[tuple]:
-    """All nodes of a JSON text in document order; a single ``invalid`` node when the text is not JSON."""
+    """All nodes of a JSON text in document order; a single ``invalid`` node with the text when it is not JSON."""
     out: list[tuple] = []
     try:
         value = json.loads(text)
     except (TypeError, ValueError):
-        return [("", "", "", "", "invalid", None, None, None, None)]
-    _walk(value, "", "", "", "", out)
+        return [("", "", "", "", "invalid", text if isinstance(text, str) else None, None, None, None, None)]
+    _walk(value, "", "", "", "", None, out)
     return out
 
 

@@ -378,9 +378,8 @@ def hygiene_hits(df: DataFrame, json_col: str, id_col: str, root: str) -> DataFr
     body = F.col(json_col)
     suspect = df.where(has_disallowed(body) | body.rlike(r"\\[ubf]")).select(F.col(id_col).alias("candidate_id"), body.alias("body"))
     nodes = json_nodes(suspect, "body", "candidate_id")
-    key = F.when(~F.endswith("wild", F.lit("[]")), F.regexp_extract("index_path", r"\.([^.]*)$", 1))
-    bad_key = F.nullif(first_disallowed(key), F.lit(""))
-    bad_value = F.nullif(first_disallowed(F.when(F.col("kind") == "string", F.col("text"))), F.lit(""))
+    bad_key = F.nullif(first_disallowed(F.col("key")), F.lit(""))
+    bad_value = F.nullif(first_disallowed(F.when(F.col("kind").isin("string", "invalid"), F.col("text"))), F.lit(""))
     found = nodes.select(
         "candidate_id", "ord", F.concat(F.lit(root), "index_path").alias("path"), F.coalesce(bad_key, bad_value).alias("char")
     ).where(F.col("char").isNotNull())
@@ -429,6 +428,19 @@ def deterministic_verdict(checks: DataFrame) -> DataFrame:
     )
 
 
+def row_verdict(df: DataFrame, *outcomes: Column, id_col: str = "id") -> DataFrame:
+    """``deterministic_verdict`` of outcome columns in their order, decided inside the row: nothing is shuffled."""
+    first = F.get(F.filter(F.array(*outcomes), lambda o: ~o["passed"]), F.lit(0))
+    decided = df.select(F.col(id_col).alias("candidate_id"), first.alias("first"))
+    return decided.select(
+        "candidate_id",
+        F.when(F.col("first").isNull(), F.lit("accept")).otherwise(F.lit("reject")).alias("verdict"),
+        F.coalesce("first.route_code", F.lit("accept")).alias("route_code"),
+        F.array_compact(F.array("first.subcode")).alias("subcodes"),
+        F.coalesce("first.evidence", F.array().cast(schemas.EVIDENCE)).alias("evidence"),
+    )
+
+
 # ------------------------------------------------------------------ designs
 
 

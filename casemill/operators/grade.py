@@ -203,21 +203,21 @@ def with_matches(df: DataFrame) -> DataFrame:
 def best_alert_match(scans: DataFrame, oracles: DataFrame) -> DataFrame:
     """(case_id, expected_alert_id, submitted_alert_id, matched, match_score, checks) per expected alert.
 
-    ``scans`` has case_id and the typed scan. Only alerts of the same document meet an expected alert, so
-    the pairing stays inside the joined row.
+    ``scans`` has case_id, schema_valid and the typed scan; a scan that fails its structure is not matched. Only
+    alerts of the same document meet an expected alert, so the pairing stays inside the joined row.
     """
     pairs = _documents(scans, oracles)
     return with_matches(pairs).select("case_id", F.explode("best").alias("m")).select("case_id", "m.*")
 
 
 def false_positives(scans: DataFrame, oracles: DataFrame) -> DataFrame:
-    """(case_id, alert_id) of submitted alerts no expected alert accounts for."""
+    """(case_id, alert_id) of submitted alerts no expected alert accounts for, in scans of valid structure."""
     pairs = _documents(scans, oracles)
     return with_matches(pairs).select("case_id", F.explode("extra").alias("a")).select("case_id", F.col("a.id").alias("alert_id"))
 
 
 def _documents(scans: DataFrame, oracles: DataFrame) -> DataFrame:
-    joined = join_oracles(scans.select("case_id", "scan.alerts"), oracles.select("case_id", "true_alerts"))
+    joined = join_oracles(scans.where("schema_valid").select("case_id", "scan.alerts"), oracles.select("case_id", "true_alerts"))
     return joined.withColumnRenamed("true_alerts", "expected")
 
 

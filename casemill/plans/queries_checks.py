@@ -115,19 +115,17 @@ def runtime_rules(spark, sf):
 @query(
     "deterministic_verdicts",
     f"""WITH {RULES}, first AS (SELECT candidate_id, v5,
-      CASE WHEN v2 IS NOT NULL THEN 2 WHEN v3 IS NOT NULL THEN 3 WHEN v5 IS NOT NULL THEN 5 WHEN v6 IS NOT NULL THEN 6
-        WHEN v7 IS NOT NULL THEN 7 END AS step, coalesce(v2, v3, v5, v6, v7) AS code FROM r)
+      CASE WHEN v7 IS NOT NULL THEN 7 WHEN v3 IS NOT NULL THEN 3 WHEN v5 IS NOT NULL THEN 5 WHEN v6 IS NOT NULL THEN 6 END AS step,
+      coalesce(v7, v3, v5, v6) AS code FROM r)
     SELECT candidate_id, CASE WHEN step IS NULL THEN 'accept' ELSE 'reject' END AS verdict,
-      CASE step WHEN 2 THEN 'reject_schema' WHEN 3 THEN 'reject_coverage_mismatch' WHEN 5 THEN {_V5_ROUTE}
+      CASE step WHEN 3 THEN 'reject_coverage_mismatch' WHEN 5 THEN {_V5_ROUTE}
         WHEN 6 THEN 'reject_criteria_mismatch' WHEN 7 THEN 'reject_schema' ELSE 'accept' END AS route_code,
       coalesce(code, '') AS subcodes FROM first""",
 )
 def deterministic_verdicts(spark, sf):
-    """All row rules in one pass, then the first failure per candidate."""
-    rules = [
-        C.invariants_outcome(), C.taxonomy_outcome(DOMAIN), C.contract_outcome(DOMAIN), C.oracle_outcome(DOMAIN), C.runtime_outcome(DOMAIN)
-    ]
-    verdicts = C.deterministic_verdict(C.as_checks(C.prepared(A.candidates(spark, sf)), *rules))
+    """All row rules in the order that decides a verdict; the first failure is found inside the row."""
+    rules = [C.runtime_outcome(DOMAIN), C.taxonomy_outcome(DOMAIN), C.contract_outcome(DOMAIN), C.oracle_outcome(DOMAIN)]
+    verdicts = C.row_verdict(C.prepared(A.candidates(spark, sf)), *rules)
     return verdicts.select("candidate_id", "verdict", "route_code", F.array_join("subcodes", ",").alias("subcodes"))
 
 

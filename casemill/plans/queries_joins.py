@@ -286,7 +286,7 @@ def scan_validity(spark, sf):
 
 @query(
     "alert_matches",
-    f"""WITH {SCANS}, m AS (SELECT *, CASE WHEN alerts = 0 THEN 0 WHEN style = 6 THEN 4 WHEN style = 1 THEN 5 ELSE 6 END AS s FROM n WHERE NOT zero)
+    f"""WITH {SCANS}, m AS (SELECT *, CASE WHEN alerts = 0 THEN 0 WHEN style = 6 THEN 4 WHEN style = 1 THEN 5 ELSE 6 END AS s FROM n WHERE NOT zero AND valid)
     SELECT case_id, 'A-' || substr(case_id, 4) AS expected_alert_id, CASE WHEN alerts = 0 THEN 'none' ELSE 'a1' END AS submitted_alert_id,
       s >= 4 AS matched, CAST(s AS INT) AS match_score FROM m""",
 )
@@ -299,7 +299,7 @@ def alert_matches(spark, sf):
 @query(
     "alert_false_positives",
     f"""WITH {SCANS} SELECT case_id, unnest(CASE WHEN style = 3 AND zero THEN ['a2', 'a1'] WHEN style = 3 THEN ['a2']
-      ELSE CAST([] AS VARCHAR[]) END) AS alert_id FROM n""",
+      ELSE CAST([] AS VARCHAR[]) END) AS alert_id FROM n WHERE valid""",
 )
 def alert_false_positives(spark, sf):
     return G.false_positives(G.parse_scans(A.raw_scans(spark, sf)), A.scan_oracles(spark, sf))

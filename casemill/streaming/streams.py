@@ -10,6 +10,7 @@ from casemill import fixed, schemas
 from casemill.functions.scalars import cell_key
 from casemill.operators.curate import curate, index_rows
 from casemill.operators.metrics import merge_coverage
+from casemill.session import checkpointed
 from casemill.sources import artifacts
 
 # ------------------------------------------------------------------ ingest
@@ -146,15 +147,16 @@ def curate_batch(batch: DataFrame, batch_id: int, root: str, domain_id: str, thr
     spark = batch.sparkSession
     index = artifacts.read_index(spark, f"{root}/index", domain_id)
     if "batch" in index.columns:
-        index = index.where(F.col("batch").cast("bigint") < batch_id).select("embedding_ref", "candidate_id", "vector")
-    curated = curate(batch.select("id", "ord", "vector"), index, threshold).cache()
+        # vectors stored outside any batch ("open") count for every batch
+        earlier = F.coalesce(F.expr("try_cast(batch AS bigint)") < batch_id, F.lit(True))
+        index = index.where(earlier).select("embedding_ref", "candidate_id", "vector")
+    curated = checkpointed(curate(batch.select("id", "ord", "vector"), index, threshold))
     artifacts.append_index(index_rows(curated, f"batch-{batch_id}"), f"{root}/index", domain_id, batch=str(batch_id))
     verdicts = curated.drop("vector")
     verdicts.write.mode("overwrite").parquet(f"{root}/verdicts/batch={batch_id}")
     commits = batch.join(curated.where(F.col("verdict") == "accept").select("id"), "id", "left_semi").select("cell")
     snapshot = artifacts.coverage_snapshot(spark, f"{root}/coverage", domain_id, before=batch_id)
     artifacts.write_coverage(merge_coverage(snapshot, commits), f"{root}/coverage", domain_id, version=batch_id)
-    curated.unpersist()
 
 
 def stream_curate(cands: DataFrame, root: str, domain_id: str, threshold: float = fixed.NOVELTY_THRESHOLD):
