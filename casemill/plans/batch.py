@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from casemill import schemas
 from casemill.operators import checks as C
-from casemill.operators.curate import curate, embedding_text, index_rows
+from casemill.operators.curate import committed_record, curate, embedding_text, index_rows
 from casemill.operators.document_schema import check_schema, compile_schema
 from casemill.operators.joins import join_gates, retry_guidance
 from casemill.operators.leakage import candidate_texts, check_leakage
 from casemill.operators.metrics import merge_coverage
+from casemill.operators.project import candidate_snapshots, envelope_rows, stage_records_from
 from casemill.operators.route import decision, route_adversary
 from casemill.operators.workspace import apply_revisions, check_workspace
 from casemill.session import checkpointed
@@ -100,6 +101,7 @@ class BatchInputs:
     index: DataFrame | None = None
     coverage: DataFrame | None = None
     target_n: int = 5
+    meta: DataFrame | None = None  # (artifact_id, model and revision columns) for the stage records
 
 
 @dataclass
@@ -110,16 +112,20 @@ class BatchOutputs:
     decisions: DataFrame
     validation: DataFrame
     coverage: DataFrame
+    committed: DataFrame
+    stage_records: DataFrame
+    snapshots: DataFrame
+    envelopes: DataFrame
 
 
-def _decisions(df: DataFrame, stage: str, domain: Domain, run_id: str) -> DataFrame:
+def _decisions(df: DataFrame, stage: str, domain: Domain, run_id: str, kind: str) -> DataFrame:
     """Decision rows from (candidate_id, design_id, verdict, route_code, subcodes, retry_index)."""
     d = decision(
         F.lit(stage), F.col("verdict"), F.col("route_code"), F.col("retry_index"),
         F.lit(domain.max_design_retries), F.lit(domain.max_generation_retries),
     )
     return df.withColumn("_d", d).select(
-        F.lit(run_id).alias("run_id"), "candidate_id", "design_id", F.lit(stage).alias("from_stage"), "verdict",
+        F.lit(run_id).alias("run_id"), "candidate_id", "design_id", F.lit(stage).alias("from_stage"), F.lit(kind).alias("check_kind"), "verdict",
         F.col("_d.route_code").alias("route_code"), "subcodes", F.col("_d.next_stage").alias("next_stage"),
         F.col("_d.context_policy").alias("context_policy"), F.col("retry_index").cast("int").alias("retry_index"),
         F.col("_d.terminal").alias("terminal"),
@@ -133,6 +139,11 @@ def run_batch(inputs: BatchInputs, domain: Domain) -> BatchOutputs:
     (revisions are validated again), gates joined, and what remains is curated in queue order up to
     the target. Items that would be regenerated leave as decision rows with their next stage and retry
     advice; the caller's next batch holds whatever was regenerated.
+
+    No candidate is lost: each leaves exactly one row that ends it here, a reject (terminal or for retry), an accept
+    at curation, or ``open`` with ``queue_full`` when the target was met before its turn. A report, a patch or a gate
+    verdict that never came counts as an empty answer of the provider. Accepted checks and gates leave rows as well.
+    A revision goes on under its own id, the original's with ``-rev``.
     """
     run_id = inputs.run_id
     cands = inputs.candidates
@@ -142,12 +153,28 @@ def run_batch(inputs: BatchInputs, domain: Domain) -> BatchOutputs:
     parted = C.partition_designs(inputs.designs, domain)
     design_rows = parted.where(F.col("verdict") == "reject").select(
         F.lit(run_id).alias("run_id"), F.lit(None).cast("string").alias("candidate_id"), F.col("id").alias("design_id"),
-        F.lit("design_audit").alias("from_stage"), "verdict", "route_code",
+        F.lit("design_audit").alias("from_stage"), F.lit("design").alias("check_kind"), "verdict", "route_code",
         F.array_compact(F.array("subcode")).alias("subcodes"), F.lit(None).cast("string").alias("next_stage"),
         F.lit("criteria_only").alias("context_policy"), F.lit(0).alias("retry_index"), F.lit(True).alias("terminal"),
     )
     usable = parted.where(F.col("verdict") == "accept").select(F.col("id").alias("design_id"))
     live = checkpointed(cands.join(usable, "design_id", "left_semi"))
+    failed_designs = parted.where(F.col("verdict") == "reject").select(
+        F.col("id").alias("design_id"), F.col("route_code").alias("design_route"), F.col("subcode").alias("design_subcode")
+    )
+    without_design = cands.join(usable, "design_id", "left_anti").join(failed_designs, "design_id", "left").select(
+        F.lit(run_id).alias("run_id"), F.col("id").alias("candidate_id"), "design_id", F.lit("design_audit").alias("from_stage"),
+        F.lit("design").alias("check_kind"), F.lit("reject").alias("verdict"), F.coalesce("design_route", F.lit("reject_schema")).alias("route_code"),
+        F.array(F.coalesce("design_subcode", F.lit("schema_violation"))).alias("subcodes"), F.lit(None).cast("string").alias("next_stage"),
+        F.lit("criteria_only").alias("context_policy"), F.col("retry_index").cast("int").alias("retry_index"), F.lit(True).alias("terminal"),
+    )
+
+    def unanswered(ids: DataFrame, facts: DataFrame) -> DataFrame:
+        """Rows for candidates (candidate_id) about which no answer came."""
+        return ids.join(facts, "candidate_id").select(
+            "candidate_id", "design_id", F.lit("reject").alias("verdict"), F.lit("retry_provider_empty").alias("route_code"),
+            F.array(F.lit("provider_error")).alias("subcodes"), "retry_index",
+        )
 
     def validated(batch: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
         found = checkpointed(validate_candidates(batch, files, domain, inputs.exec_results))
@@ -156,7 +183,7 @@ def run_batch(inputs: BatchInputs, domain: Domain) -> BatchOutputs:
         return checkpointed(verdicts.join(facts, "candidate_id")), found
 
     verdicts, _ = validated(live, inputs.files)
-    decisions = [design_rows, _decisions(verdicts.where(F.col("verdict") == "reject"), "validation", domain, run_id)]
+    decisions = [design_rows, without_design, _decisions(verdicts, "validation", domain, run_id, "deterministic")]
     passed = live.join(
         verdicts.where(F.col("verdict") == "accept").select(F.col("candidate_id").alias("id")), "id", "left_semi"
     )
@@ -167,32 +194,38 @@ def run_batch(inputs: BatchInputs, domain: Domain) -> BatchOutputs:
         "candidate_id", "design_id", F.lit("reject").alias("verdict"), F.lit("reject_semantic_mismatch").alias("route_code"),
         "subcodes", "retry_index",
     )
-    decisions.append(_decisions(nuked, "validation", domain, run_id))
+    decisions.append(_decisions(nuked, "validation", domain, run_id, "adversary"))
+    silent = passed.select(F.col("id").alias("candidate_id")).join(reviewed.select("candidate_id"), "candidate_id", "left_anti")
+    decisions.append(_decisions(unanswered(silent, facts), "generation", domain, run_id, "adversary"))
     ready = passed.join(reviewed.where(F.col("action") == "gates").select(F.col("candidate_id").alias("id")), "id", "left_semi")
     validation = [verdicts]
+    wanted = reviewed.where(F.col("action") == "revise").select("candidate_id")
+    unpatched = wanted if inputs.patches is None else wanted.join(inputs.patches.select("candidate_id"), "candidate_id", "left_anti")
+    decisions.append(_decisions(unanswered(unpatched, facts), "generation", domain, run_id, "revision"))
     if inputs.patches is not None:
-        wanted = reviewed.where(F.col("action") == "revise").select("candidate_id")
         patches = inputs.patches.join(wanted, "candidate_id", "left_semi")
         revised, revised_files, errors = apply_revisions(passed.drop("retry_index"), inputs.files, patches)
         failed = errors.join(facts, "candidate_id").select(
             "candidate_id", "design_id", F.lit("reject").alias("verdict"), F.lit("retry_parse").alias("route_code"),
             F.array(F.lit("provider_error")).alias("subcodes"), "retry_index",
         )
-        decisions.append(_decisions(failed, "generation", domain, run_id))
+        decisions.append(_decisions(failed, "generation", domain, run_id, "revision"))
         revised = checkpointed(
             revised.join(facts.select(F.concat("candidate_id", F.lit("-rev")).alias("id"), "retry_index"), "id")
         )
         again_files = revised_files.withColumn("candidate_id", F.concat("candidate_id", F.lit("-rev")))
         again, _ = validated(revised, again_files)
         validation.append(again)
-        decisions.append(_decisions(again.where(F.col("verdict") == "reject"), "validation", domain, run_id))
+        decisions.append(_decisions(again, "validation", domain, run_id, "deterministic"))
         good = revised.join(again.where(F.col("verdict") == "accept").select(F.col("candidate_id").alias("id")), "id", "left_semi")
         ready = ready.unionByName(good.select(*ready.columns))
 
     ready = checkpointed(ready)
     ready_facts = ready.select(F.col("id").alias("candidate_id"), "design_id", "retry_index", "ord")
     gated = checkpointed(join_gates(inputs.quality, inputs.rubric).join(ready_facts, "candidate_id"))
-    decisions.append(_decisions(gated.where(F.col("verdict") == "reject").drop("ord"), "validation", domain, run_id))
+    decisions.append(_decisions(gated.drop("ord"), "validation", domain, run_id, "gates"))
+    ungated = ready_facts.select("candidate_id").join(gated.select("candidate_id"), "candidate_id", "left_anti")
+    decisions.append(_decisions(unanswered(ungated, ready_facts.drop("ord")), "validation", domain, run_id, "gates"))
     cleared = gated.where(F.col("verdict") == "accept").select(
         F.col("candidate_id").alias("id"), F.col("subcodes").alias("caveats")
     )
@@ -201,7 +234,18 @@ def run_batch(inputs: BatchInputs, domain: Domain) -> BatchOutputs:
     curated_facts = curated.select(F.col("id").alias("candidate_id"), "verdict", "route_code", "subcodes").join(
         ready_facts.drop("ord"), "candidate_id"
     )
-    decisions.append(_decisions(curated_facts, "curation", domain, run_id))
+    decisions.append(_decisions(curated_facts, "curation", domain, run_id, "curation"))
+    waiting = queue.select(F.col("id").alias("candidate_id"), "design_id", "retry_index").join(
+        curated.select(F.col("id").alias("candidate_id")), "candidate_id", "left_anti"
+    )
+    decisions.append(
+        waiting.select(
+            F.lit(run_id).alias("run_id"), "candidate_id", "design_id", F.lit("curation").alias("from_stage"), F.lit("curation").alias("check_kind"),
+            F.lit("open").alias("verdict"), F.lit("queue_full").alias("route_code"), F.array().cast("array<string>").alias("subcodes"),
+            F.lit("curation").alias("next_stage"), F.lit("criteria_only").alias("context_policy"),
+            F.col("retry_index").cast("int").alias("retry_index"), F.lit(False).alias("terminal"),
+        )
+    )
 
     accepted = curated.where(F.col("verdict") == "accept").select("id", "nn_distance")
     corpus = queue.drop("embedding_text").join(accepted, "id").withColumn(
@@ -226,8 +270,18 @@ def run_batch(inputs: BatchInputs, domain: Domain) -> BatchOutputs:
     det_rows = [
         v.select("candidate_id", F.lit("deterministic").alias("check_kind"), "verdict", "route_code", "subcodes") for v in validation
     ]
+    records = all_decisions.select(
+        "run_id", F.coalesce("candidate_id", "design_id").alias("artifact_id"), F.col("design_id").alias("parent_artifact_id"),
+        F.col("from_stage").alias("stage_kind"), F.col("check_kind").alias("role"), "verdict", "route_code", "subcodes", "retry_index",
+    )
+    meta = inputs.meta if inputs.meta is not None else corpus.sparkSession.createDataFrame([], "artifact_id string")
+    body = F.struct(*[c for c in ready.columns if c not in ("retry_index", "ord")])
     return BatchOutputs(
         corpus=corpus,
+        committed=committed_record(corpus.select(F.lit(run_id).alias("run_id"), "committed_id", "nn_distance", "caveats", body.alias("candidate"))),
+        stage_records=stage_records_from(records, meta, domain),
+        snapshots=candidate_snapshots(live, run_id, "validation", "generator"),
+        envelopes=envelope_rows(inputs.designs, run_id, "designer"),
         index_rows=index_rows(curated, run_id),
         rejections=rejections,
         decisions=all_decisions,

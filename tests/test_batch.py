@@ -37,7 +37,7 @@ def test_plain_gate_rejects_become_caveats(spark):
 
 
 def test_one_pass_over_a_batch(spark):
-    names = ["keep", "copy", "leak", "nuked", "revised", "badpatch", "gate", "late", "orphan"]
+    names = ["keep", "copy", "leak", "nuked", "revised", "badpatch", "gate", "late", "orphan", "silent", "unpatched", "ungated"]
     prompts = {n: f"Case {n}: find why the {n} ledger drifts from its {n} journal and repair {n} causes." for n in names}
     prompts["copy"] = prompts["keep"]
     prompts["leak"] = "The root cause: a sign. Please repair the ledger now."
@@ -48,8 +48,8 @@ def test_one_pass_over_a_batch(spark):
         body["setup"] = " ".join(f"{'keep' if row['id'] == 'copy' else row['id']}{i}" for i in range(400))
         row["agent_artifact"]["benchmark_case"] = json.dumps(body)
     designs = [design(f"d-{n}", i) for i, n in enumerate(names) if n != "orphan"] + [design("d-dup", 50, content_hash="d-keep")]
-    dispositions = {"nuked": "nuke", "revised": "revise", "badpatch": "revise"}
-    reports = spark.createDataFrame([(n, dispositions.get(n, "pass")) for n in names], "candidate_id string, revision_disposition string")
+    dispositions = {"nuked": "nuke", "revised": "revise", "badpatch": "revise", "unpatched": "revise"}
+    reports = spark.createDataFrame([(n, dispositions.get(n, "pass")) for n in names if n != "silent"], "candidate_id string, revision_disposition string")
     edit = [{"op": "edit_file", "path": "billing/sums.py", "old_text": "abs(r)", "new_text": "r", "replace_all": False, "create_if_missing": False}]
     wrong = [{**edit[0], "old_text": "absent"}]
     patches = spark.createDataFrame([("revised", "{}", "{}", edit, "w"), ("badpatch", "{}", "{}", wrong, "w")], schemas.PATCHES)
@@ -77,8 +77,18 @@ def test_one_pass_over_a_batch(spark):
     assert found["d-gate", "gate", "retry_infra"]["from_stage"] == "validation"
     assert found["d-copy", "copy", "reject_duplicate"]["terminal"]
     assert found["d-keep", "keep", "accept"]["from_stage"] == "curation"
-    assert not any(key[1] == "orphan" for key in found)
+    assert found["d-orphan", "orphan", "reject_schema"]["terminal"]
+    assert found["d-silent", "silent", "retry_provider_empty"]["context_policy"] == "same_input_retry"
+    assert found["d-unpatched", "unpatched", "retry_provider_empty"]["subcodes"] == ["provider_error"]
+    assert found["d-ungated", "ungated", "retry_provider_empty"]["from_stage"] == "validation"
+    assert found["d-late", "late", "queue_full"]["verdict"] == "open"
+    # every candidate leaves exactly one row that ends it here
+    ends = [r for r in out.decisions.collect() if r["candidate_id"] and (r["verdict"] != "accept" or r["from_stage"] == "curation")]
+    assert sorted(r["candidate_id"].removesuffix("-rev") for r in ends) == sorted(names)
     assert out.index_rows.count() == 2 and out.coverage.first()["n"] == 2
-    assert out.rejections.count() == 6
+    assert out.rejections.count() == 10
+    assert {r["candidate"]["id"] for r in out.committed.collect()} == {"keep", "revised-rev"}
+    assert out.stage_records.count() == out.decisions.count() and out.snapshots.count() == len(names) - 1
+    assert out.envelopes.count() == len(designs)
     kinds = {r["check_kind"]: r["n"] for r in out.validation.groupBy("check_kind").count().withColumnRenamed("count", "n").collect()}
-    assert kinds["deterministic"] == 9 and kinds["quality"] == 5 and kinds["curation"] >= 3
+    assert kinds["deterministic"] == 12 and kinds["quality"] == 5 and kinds["curation"] >= 3
