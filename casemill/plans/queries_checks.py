@@ -274,6 +274,24 @@ def answer_leaks(spark, sf):
     return _plain(L.check_leakage(_marked(spark, sf)))
 
 
+@query(
+    "marker_leaks",
+    """WITH h AS (SELECT d.doc_id, min(b.item_id) AS item FROM documents d JOIN benchmark b ON contains(lower(d.text), lower(b.text)) GROUP BY 1)
+    SELECT 'cand-' || doc_id AS candidate_id, item IS NULL AS passed,
+      CASE WHEN item IS NULL THEN 'accept' ELSE 'reject_leakage' END AS route_code, coalesce('item-' || item, 'none') AS subcode,
+      CASE WHEN item IS NULL THEN 'none' ELSE 'benchmark_case.prompt' END AS path
+    FROM documents LEFT JOIN h USING (doc_id)""",
+)
+def marker_leaks(spark, sf):
+    """The first benchmark passage, taken as a table of markers, that each whole document holds."""
+    markers = A.table(spark, sf, "benchmark").select(
+        F.col("item_id").cast("int").alias("ord"), F.concat(F.lit("item-"), F.col("item_id").cast("string")).alias("subcode"), F.col("text").alias("pattern")
+    )
+    plain = _marked(spark, sf).withColumn("text", F.regexp_replace("text", "( Root cause: the cache| see Starter Code, the intended fix| BUG: off)$", ""))
+    checks = L.check_leakage(plain, markers)
+    return checks.select("candidate_id", "passed", "route_code", F.coalesce("subcode", F.lit("none")).alias("subcode"), F.coalesce(F.get("evidence", F.lit(0))["path"], F.lit("none")).alias("path"))
+
+
 @query(
     "passage_leaks",
     "SELECT d.doc_id AS id, b.item_id AS passage_id FROM documents d JOIN benchmark b ON contains(lower(d.text), lower(b.text))",

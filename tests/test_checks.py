@@ -151,13 +151,24 @@ def test_passages_match_brute_force(spark):
     rng = random.Random(7)
     words = ["ab", "abc", "b", "cab", "ba", "aa"]
     texts = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(1, 12)))) for i in range(60)]
-    passages = [(i, p) for i, p in enumerate(["ab", "b c", "a", "ab abc", "b ba aa", "ba b cab", "zz zz zz", "aa aa aa aa", "Cab"])]
-    expect = {(i, j) for i, t in texts for j, p in passages if p.lower() in t.lower()}
+    passages = [(i, p) for i, p in enumerate(["ab", "b c", "a", "ab abc", "b ba aa", "ba b cab", "zz zz zz", "aa aa aa aa", "Cab", " b", "a ", " ab c", "b cab ba a", "", "  "])]
+    expect = {(i, j) for i, t in texts for j, p in passages if p.strip() and p.lower() in t.lower()}
     got = L.passage_hits(spark.createDataFrame(texts, "id int, text string"), spark.createDataFrame(passages, "passage_id int, passage string"))
     rows = [(r["id"], r["passage_id"]) for r in got.collect()]
     assert set(rows) == expect and len(rows) == len(expect)
 
 
+def test_marker_tables_of_any_size_give_the_first_marker(spark):
+    texts = [("c", (1, "second holds m90 and m70")), ("c", (0, "first holds M99 then m80")), ("d", (0, "nothing")), ("e", (0, "a m070x b"))]
+    rows = [(c, {"section": 0, "ord": o, "file": "", "part": 0}, f"p{o}", t) for c, (o, t) in texts]
+    frame = spark.createDataFrame(rows, "candidate_id string, text_key struct<section:int,ord:int,file:string,part:int>, path string, text string")
+    markers = [(f"s{i}", f"m{i}") for i in range(100)] + [("blank", " ")]
+    table = spark.createDataFrame([(i, s, p) for i, (s, p) in enumerate(markers)], "ord int, subcode string, pattern string")
+    got = {r["candidate_id"]: (r["path"], r["subcode"]) for r in L.leak_hits(frame, table).collect()}
+    assert got == {"c": ("p0", "s8"), "e": ("p0", "s0")}
+    assert got == {r["candidate_id"]: (r["path"], r["subcode"]) for r in L.leak_hits(frame, markers[:-1]).collect()}
+
+
 def design(ident, ord_, **over):
     cell = {"case_type": "proxy_strong", "difficulty": 2, "scenario": "nominal", **over.pop("cell", {})}
     row = {f.name: None for f in schemas.DESIGNS.fields}
