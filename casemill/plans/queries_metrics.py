@@ -1,5 +1,7 @@
 """Registered queries: distributions, performance, orderings, display."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from casemill.functions import scalars as S
@@ -7,6 +9,8 @@ from casemill.operators import metrics as M
 from casemill.operators import route as R
 from casemill.plans import adapters as A
 from casemill.plans.sql import CORPUS, STAGES, VERDICTS
+from casemill.session import ensure_checkpoint_dir
+from casemill.sources.artifacts import append_artifact, scan_runs
 
 QUERIES = {}
 ORACLES = {}
@@ -31,6 +35,16 @@ def role_performance(spark, sf):
     return M.perf_by_role(A.stage_records(spark, sf))
 
 
+@query("logged_role_performance", ORACLES["role_performance"])
+def logged_role_performance(spark, sf):
+    """The same report over stage records that were appended to a log and found there again."""
+    root = f"{ensure_checkpoint_dir(spark)}/logs-{uuid.uuid4().hex}"
+    append_artifact(A.stage_records(spark, sf), root, "stage_records")
+    append_artifact(A.stage_events(spark, sf), root, "stage_events")
+    records, _ = scan_runs(spark, root, all_runs=True)
+    return M.perf_by_role(records)
+
+
 @query(
     "request_body_sizes",
     f"WITH {STAGES}, b AS (SELECT coalesce(CASE WHEN k % 2 = 0 THEN 'generate_candidate_sample' END, "

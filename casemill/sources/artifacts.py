@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,16 +27,29 @@ def _with_schema(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def _tagged(spark: SparkSession, root: str, kind: str, run_id: str | None, schema: T.StructType) -> DataFrame:
+    """Rows of one kind of log with the run they were found under as ``_run_id``, from both places a log may be in.
+
+    ``<root>/<run>/<kind>.jsonl`` is what other tools write, ``<root>/<kind>/run_id=<run>/`` what ``append_artifact``
+    grows. Blank lines are skipped and a malformed line fails the read.
+    """
+    rows = _with_schema(spark, T.StructType([*schema.fields, T.StructField("_run_id", T.StringType())]))
+    path = artifact_path(root, kind, run_id)
+    if path_exists(spark, path):
+        folder = F.regexp_extract(F.col("_metadata.file_path"), rf"([^/]+)/{kind}\.jsonl(?:/[^/]+)?$", 1)
+        found = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+        rows = rows.unionByName(found.select("*", folder.alias("_run_id")))
+    appended = read_appended(spark, root, kind, schema)
+    if run_id is not None:
+        appended = appended.where(F.col("run_id") == run_id)
+    return rows.unionByName(appended.select(*schema.names, F.col("run_id").alias("_run_id")))
+
+
 def read_artifact(
     spark: SparkSession, root: str, kind: str, run_id: str | None = None, schema: T.StructType | None = None
 ) -> DataFrame:
-    """One kind of run log. A missing path is an empty table, blank lines are skipped and a
-    malformed line fails the read."""
-    schema = schema or schemas.ARTIFACTS[kind]
-    path = artifact_path(root, kind, run_id)
-    if not path_exists(spark, path):
-        return _with_schema(spark, schema)
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    """One kind of run log, wherever it was written. A missing path is an empty table."""
+    return _tagged(spark, root, kind, run_id, schema or schemas.ARTIFACTS[kind]).drop("_run_id")
 
 
 def scan_runs(
@@ -47,23 +60,9 @@ def scan_runs(
     A run without a stage log contributes nothing, not even its events. Without a run id and without
     ``all_runs`` no run is selected.
     """
-
-    def read(kind: str) -> DataFrame:
-        schema = schemas.ARTIFACTS[kind]
-        tagged = T.StructType([*schema.fields, T.StructField("_run_id", T.StringType())])
-        path = artifact_path(logs_root, kind, run_id)
-        if (run_id is None and not all_runs) or not path_exists(spark, path):
-            return _with_schema(spark, tagged)
-        rows = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-        folder = F.regexp_extract(F.col("_metadata.file_path"), rf"([^/]+)/{kind}\.jsonl(?:/[^/]+)?$", 1)
-        return rows.select("*", folder.alias("_run_id"))
-
-    records = read("stage_records")
-    events = read("stage_events")
-    if run_id is not None:
-        if not path_exists(spark, artifact_path(logs_root, "stage_records", run_id)):
-            events = events.limit(0)
-        return records, events
+    records, events = (_tagged(spark, logs_root, kind, run_id, schemas.ARTIFACTS[kind]) for kind in ("stage_records", "stage_events"))
+    if run_id is None and not all_runs:
+        return records.limit(0), events.limit(0)
     # run ids with a stage log: one narrow aggregated row per run
     return records, events.join(records.select("_run_id").distinct(), "_run_id", "left_semi").select(
         *schemas.STAGE_EVENTS.names, "_run_id"
@@ -73,20 +72,23 @@ def scan_runs(
 def read_events_lenient(spark: SparkSession, path: str) -> DataFrame:
     """(file, line_no, event): every line that is a JSON value, with its 1-based line number.
 
-    Lines that are not JSON are dropped. Each file is one trial's log; numbering a file's lines needs
-    the file in order, so a file is the unit of parallelism.
+    Lines that are not JSON are dropped. Files are read in splits; lines are numbered inside their split
+    and shifted by the lines of the file's earlier splits, so no file has to fit a row or a task.
     """
     if not path_exists(spark, path):
         return spark.createDataFrame([], "file string, line_no int, raw string").select(
             "file", "line_no", F.try_parse_json("raw").alias("event")
         )
-    files = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file"), F.split("value", "\r\n|\n|\r").alias("lines")
-    )
-    lines = files.select("file", F.posexplode("lines").alias("at", "raw"))
-    parsed = lines.select(
-        "file", (F.col("at") + 1).cast("int").alias("line_no"), F.try_parse_json("raw").alias("event")
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("at"), F.col("value").alias("raw"),
     )
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = lines.groupBy("file", "split").agg(F.count("*").alias("n"))
+    offsets = sizes.select("file", "split", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+    own = F.row_number().over(Window.partitionBy("file", "split").orderBy("at"))  # a split has a bounded size
+    numbered = lines.withColumn("own", own).join(offsets, ["file", "split"])
+    parsed = numbered.select("file", (F.col("offset") + F.col("own")).cast("int").alias("line_no"), F.try_parse_json("raw").alias("event"))
     return parsed.where(F.col("event").isNotNull())
 
 
@@ -138,8 +140,8 @@ def read_trials(spark: SparkSession, run_dir: str) -> DataFrame:
 def append_artifact(df: DataFrame, root: str, kind: str) -> None:
     """Append rows of one kind of log, foldered by run.
 
-    Rows go to ``<root>/run_id=<run>/...`` under the kind's folder, so a reader prunes by run and
-    concurrent writers add files without touching each other's.
+    Rows go to ``<root>/<kind>/run_id=<run>/``, where ``read_artifact`` and ``scan_runs`` find them; a reader
+    prunes by run and concurrent writers add files without touching each other's.
     """
     schema = schemas.ARTIFACTS[kind]
     cols = [F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
@@ -150,9 +152,9 @@ def append_artifact(df: DataFrame, root: str, kind: str) -> None:
     rows.write.mode("append").partitionBy("run_id").json(f"{root}/{kind}")
 
 
-def read_appended(spark: SparkSession, root: str, kind: str) -> DataFrame:
-    """The table ``append_artifact`` grows; empty when nothing was written yet."""
-    schema = schemas.ARTIFACTS[kind]
+def read_appended(spark: SparkSession, root: str, kind: str, schema: T.StructType | None = None) -> DataFrame:
+    """The table ``append_artifact`` grows, always with its ``run_id``; empty when nothing was written yet."""
+    schema = schema or schemas.ARTIFACTS[kind]
     if "run_id" not in schema.names:
         schema = T.StructType([*schema.fields, T.StructField("run_id", T.StringType())])
     if not path_exists(spark, f"{root}/{kind}/run_id=*"):

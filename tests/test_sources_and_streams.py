@@ -57,6 +57,32 @@ def test_lenient_events_keep_line_numbers(spark, tmp_path):
     assert A.read_events_lenient(spark, str(tmp_path / "none.jsonl")).count() == 0
 
 
+def test_lines_are_numbered_across_splits(spark, tmp_path):
+    lines = [f'{{"n": {n}, "pad": "{"x" * (n % 50)}"}}' if n % 7 else "no json" for n in range(1, 4001)]
+    write_lines(tmp_path / "a.jsonl", lines)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        got = A.read_events_lenient(spark, str(tmp_path / "a.jsonl"))
+        rows = got.select("line_no", F.variant_get("event", "$.n", "int").alias("n")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((r["line_no"], r["n"]) for r in rows) == [(n, n) for n in range(1, 4001) if n % 7]
+
+
+def test_appended_logs_are_found(spark, tmp_path):
+    root = str(tmp_path)
+    records = spark.createDataFrame([("r1", "accept"), ("7", "reject")], "run_id string, verdict string")
+    A.append_artifact(records, root, "stage_records")
+    A.append_artifact(spark.createDataFrame([("r1", 3), ("r9", 4)], "run_id string, body_bytes bigint"), root, "stage_events")
+    write_lines(tmp_path / "r2" / "stage_records.jsonl", [STAGE])
+    found, events = A.scan_runs(spark, root, all_runs=True)
+    assert sorted(r["_run_id"] for r in found.collect()) == ["7", "r1", "r2"]
+    assert [(r["_run_id"], r["body_bytes"]) for r in events.collect()] == [("r1", 3)]
+    assert A.scan_runs(spark, root, run_id="7")[0].count() == 1
+    assert A.read_artifact(spark, root, "stage_records", "r1").first()["run_id"] == "r1"
+
+
 def test_trials_join_in_numeric_order(spark, tmp_path):
     for n in (2, 10):
         base = tmp_path / "trials" / f"trial_{n}"
