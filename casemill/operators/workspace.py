@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casemill import fixed, schemas
-from casemill.functions.documents import merge_json, sorted_json
+from casemill.functions.documents import canonical_json, merge_json, sorted_json
 from casemill.functions.scalars import contains_any, excerpt, field
 from casemill.operators.checks import RULE, blank
 
@@ -228,8 +228,27 @@ def apply_revisions(cands: DataFrame, files: DataFrame, patches: DataFrame) -> t
     patch becomes one row per (candidate, path) holding that path's edits (at most four), and those
     rows meet their file in one full-outer join; the edits are then folded over the file's text. A
     failing edit fails its whole candidate with the error of the earliest failing edit.
+
+    A patch may also state ``runtime_requirements`` (JSON, must be those of its candidate) and ``unknown_keys`` (names
+    at its top level that no patch has); both are optional columns. Edits need a candidate with an executable workspace.
     """
-    sized = patches.select("*", patch_problem().alias("refused"))
+    facts = cands.select(
+        F.col("id").alias("candidate_id"),
+        F.col("agent_artifact.environment_artifact.kind").alias("_kind"),
+        F.col("agent_artifact.runtime_requirements").alias("_runtime"),
+    )
+    optional = lambda name, kind: (F.col(name) if name in patches.columns else F.lit(None)).cast(kind)
+    stated = optional("runtime_requirements", "string")
+    changes_runtime = stated.isNotNull() & ~canonical_json(stated).eqNullSafe(canonical_json(F.col("_runtime")))
+    unknown = F.array_sort(F.coalesce(optional("unknown_keys", "array<string>"), F.array().cast("array<string>")))
+    edits_nothing = (F.coalesce(F.size("environment_ops"), F.lit(0)) > 0) & ~F.col("_kind").eqNullSafe(F.lit(fixed.WORKSPACE_KIND))
+    refused = F.coalesce(
+        F.when(changes_runtime, F.lit("a revision cannot change runtime_requirements")) if "runtime_requirements" in patches.columns else F.lit(None),
+        F.when(F.size(unknown) > 0, F.concat(F.lit("unsupported patch keys: "), F.array_join(unknown, ", "))),
+        patch_problem(),
+        F.when(edits_nothing, F.lit("environment_ops require an executable workspace")),
+    )
+    sized = patches.join(facts, "candidate_id", "left").withColumn("refused", refused).drop("_kind", "_runtime")
     slots = F.array(
         *[
             F.when(

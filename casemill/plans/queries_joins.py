@@ -5,6 +5,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from casemill import fixed
 from casemill.functions import embed as E
 from casemill.functions import scalars as S
 from casemill.operators import grade as G
@@ -479,6 +480,16 @@ def headline_pack_rows(spark, sf):
 
 
 _EDITS = """f AS (SELECT page_id, 'ws-' || (page_id // 5) AS ws, html, len(string_split(html, '<p>')) - 1 AS hits FROM pages)"""
+_REVISED = "page_id % 11 <> 5 AND hits > 0 AND (hits = 1 OR page_id % 3 <> 0)"
+
+
+def _page_candidates(spark, sf):
+    """Candidates whose workspaces the pages' files are; every eleventh has none that can be edited."""
+    runnable = F.when(F.col("ord") % 11 != 5, F.lit(fixed.WORKSPACE_KIND)).otherwise(F.lit("notes"))
+    environment = F.struct(runnable.alias("kind"), F.lit("{}").alias("payload"))
+    return A.candidates(spark, sf).withColumn("id", _id("page-", "ord")).withColumn(
+        "agent_artifact", F.col("agent_artifact").withField("environment_artifact", environment)
+    )
 
 
 def _patches(spark, sf):
@@ -495,8 +506,10 @@ def _patches(spark, sf):
         op(F.lit("NOTES.md"), F.lit(None).cast("string"), "note one", F.lit(False), True),
         op(F.lit("NOTES.md"), F.lit("one"), "two", F.lit(False), False),
     )
+    prompt = F.concat(F.lit('{"prompt":"Revised prompt of page '), F.col("page_id").cast("string"), F.lit('"}'))
     patches = p.select(
-        ident.alias("candidate_id"), F.lit("{}").alias("benchmark_case_updates"), F.lit("{}").alias("metadata_updates"),
+        ident.alias("candidate_id"), F.when(F.col("page_id") % 4 == 0, prompt).otherwise("{}").alias("benchmark_case_updates"),
+        F.when(F.col("page_id") % 6 == 0, F.lit('{"known_limits":["new limit"]}')).otherwise("{}").alias("metadata_updates"),
         ops.alias("environment_ops"), F.lit("why").alias("revision_rationale"),
     )
     files = p.select(ident.alias("candidate_id"), F.lit(0).alias("ord"), F.lit("index.html").alias("path"), F.col("html").alias("content"))
@@ -505,24 +518,42 @@ def _patches(spark, sf):
 
 @query(
     "revised_files",
-    f"""WITH {_EDITS}, g AS (SELECT * FROM f WHERE hits > 0 AND (hits = 1 OR page_id % 3 <> 0))
+    f"""WITH {_EDITS}, g AS (SELECT * FROM f WHERE {_REVISED})
     SELECT 'page-' || page_id AS candidate_id, 'index.html' AS path, replace(html, '<p>', '<p class=''x''>') AS content FROM g
     UNION ALL SELECT 'page-' || page_id, 'NOTES.md', 'note two' FROM g""",
 )
 def revised_files(spark, sf):
     files, patches = _patches(spark, sf)
-    cands = A.candidates(spark, sf).limit(0)
-    return W.apply_revisions(cands, files, patches)[1].select("candidate_id", "path", "content")
+    return W.apply_revisions(_page_candidates(spark, sf), files, patches)[1].select("candidate_id", "path", "content")
+
+
+@query(
+    "revised_candidates",
+    f"""WITH {_EDITS} SELECT 'page-' || page_id || '-rev' AS id, 'page-' || page_id AS revision_of,
+      CASE WHEN page_id % 4 = 0 THEN 'Revised prompt of page ' || page_id ELSE text END AS prompt, source AS setup,
+      CASE WHEN page_id % 6 = 0 THEN 'new limit' ELSE array_to_string(list_transform(range(n_chars % 6), lambda x: 'limit'), ',') END AS known_limits
+    FROM f JOIN documents ON page_id = doc_id WHERE {_REVISED}""",
+)
+def revised_candidates(spark, sf):
+    """The candidate half of the same patches: updated case and metadata, new id and provenance."""
+    files, patches = _patches(spark, sf)
+    revised = W.apply_revisions(_page_candidates(spark, sf), files, patches)[0]
+    case = lambda key: F.get_json_object("agent_artifact.benchmark_case", f"$.{key}")
+    return revised.select(
+        "id", F.col("provenance")["revision_of"].alias("revision_of"), case("prompt").alias("prompt"), case("setup").alias("setup"),
+        F.array_join("judge_artifact.known_limits", ",").alias("known_limits"),
+    )
 
 
 @query(
     "revision_errors",
-    f"""WITH {_EDITS} SELECT 'page-' || page_id AS candidate_id, CASE WHEN hits = 0 THEN 'environment_ops.0.old_text did not match file'
-      ELSE 'environment_ops.0.old_text matched ' || hits || ' times' END AS error FROM f WHERE hits = 0 OR (hits > 1 AND page_id % 3 = 0)""",
+    f"""WITH {_EDITS} SELECT 'page-' || page_id AS candidate_id, CASE WHEN page_id % 11 = 5 THEN 'environment_ops require an executable workspace'
+      WHEN hits = 0 THEN 'environment_ops.0.old_text did not match file'
+      ELSE 'environment_ops.0.old_text matched ' || hits || ' times' END AS error FROM f WHERE NOT ({_REVISED})""",
 )
 def revision_errors(spark, sf):
     files, patches = _patches(spark, sf)
-    return W.apply_revisions(A.candidates(spark, sf).limit(0), files, patches)[2]
+    return W.apply_revisions(_page_candidates(spark, sf), files, patches)[2]
 
 
 @query(

@@ -19,6 +19,7 @@ def local_session(cpus: int | str = 8, partitions: int = 8, name: str = "casemil
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("CASEMILL_DRIVER_MEMORY", "12g"))
+        .config("spark.casemill.spread", str(partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -52,9 +53,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread an input that arrives in fewer splits than there are cores (one unsplittable file, say).
+    """Deal an input into as many partitions as ``spark.casemill.spread`` says; unset, it stays as it is read.
 
-    Inputs with enough splits are returned as they are, so nothing is shuffled at scale.
+    The caller sets it where the input is one unsplittable file; inputs of many splits need no shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    parts = df.sparkSession.conf.get("spark.casemill.spread", None)
+    return df.repartition(int(parts)) if parts else df

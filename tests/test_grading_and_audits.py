@@ -163,7 +163,17 @@ def test_revisions(spark):
     }
     cands = candidates(spark, *[candidate(k, i) for i, k in enumerate(patches)])
     files = spark.createDataFrame([(k, 0, "a.py", "one\nx x\n") for k in patches], schemas.FILES)
-    revised, tree, errors = W.apply_revisions(cands, files, spark.createDataFrame(list(patches.values()), schemas.PATCHES))
+    table = spark.createDataFrame(list(patches.values()), schemas.PATCHES)
+    runtime = json.loads(candidate("x", 0)["agent_artifact"]["runtime_requirements"])
+    same, other = json.dumps(dict(reversed(runtime.items()))), json.dumps({**runtime, "kind": "other"})
+    stated = table.withColumn("runtime_requirements", F.lit(same)).withColumn("unknown_keys", F.array().cast("array<string>"))
+    assert W.apply_revisions(cands, files, stated)[2].count() == 8
+    refused = stated.withColumn("runtime_requirements", F.lit(other)).where("candidate_id = 'chain'")
+    assert "runtime_requirements" in W.apply_revisions(cands, files, refused)[2].first()["error"]
+    named = stated.withColumn("unknown_keys", F.array(F.lit("b"), F.lit("a"))).where("candidate_id = 'chain'")
+    assert W.apply_revisions(cands, files, named)[2].first()["error"] == "unsupported patch keys: a, b"
+    assert W.apply_revisions(cands.where("id <> 'chain'"), files, table)[2].where("candidate_id = 'chain'").count() == 1
+    revised, tree, errors = W.apply_revisions(cands, files, table)
     assert {r["candidate_id"]: r["content"] for r in tree.where("path = 'a.py'").collect()} == {
         "chain": "three\nx x\n", "all": "one\ny y\n", "create": "one\nx x\n", "meta": "one\nx x\n",
     }
