@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casemill.llm.common import folded, packed, text_or_empty, unpacked
+from casemill.llm.common import folded, packed, stored, text_or_empty, unpacked
 
 NEW = ("keep_id", "group_size", "kept", "text_sha256")
 
@@ -46,6 +46,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, keep: str, hash_of) ->
         .select("hash", "digest", "keep_id", F.when(F.col("texts") == 1, F.col("group_size")).otherwise(collided).alias("group_size"))
     )
     rows = packed(docs, **folds).select("row", "id", hash_of("folds").alias("hash"), F.sha2("folds", 256).alias("digest"))
-    return rows.join(groups, ["hash", "digest"]).select(
+    # written out, so that both sides of the join are plain exchanges, which the skew join can split
+    return rows.join(stored(groups), ["hash", "digest"]).select(
         "row", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("digest").alias("text_sha256")
     )
