@@ -22,7 +22,7 @@ from casemill.functions.scalars import (
     unwrap_answer,
     unwrap_response,
 )
-from casemill.operators.document_schema import compile_schema, schema_errors
+from casemill.operators.document_schema import compile_schema, violations
 from casemill.operators.joins import join_oracles
 
 ALERT_CHECKS = ["source_headline", "latent_edge", "enterprise_path", "business_exposure", "citations", "calibrated_uncertainty"]
@@ -381,12 +381,8 @@ def parse_decisions(df: DataFrame, raw_col: str = "raw") -> DataFrame:
 
 def grade_vendor(answers: DataFrame, oracles: DataFrame) -> DataFrame:
     """One grade per payment decision: schema gate, decision, evidence share, next step, confidence."""
-    errors = schema_errors(answers, "body", compile_schema(fixed.DECISION_SCHEMA), "case_id")
-    invalid = errors.groupBy("case_id").agg(
-        F.count("*").alias("schema_errors"),
-        F.min(F.struct("sort_path", "rule_ord", "path", "message")).alias("first_error"),
-    )
-    joined = join_oracles(answers, oracles).join(invalid, "case_id", "left")
+    counted = answers.withColumn("schema_errors", F.size(violations(F.col("body"), compile_schema(fixed.DECISION_SCHEMA))).cast("bigint"))
+    joined = join_oracles(counted, oracles)
     a = lambda f: F.col(f"answer.{f}")
     cited = evidence_aliases(a("evidence"))
     required = F.array_distinct(F.coalesce("must_cite", strings()))
@@ -394,7 +390,7 @@ def grade_vendor(answers: DataFrame, oracles: DataFrame) -> DataFrame:
     text = F.lower(F.concat_ws(" ", a("primary_reason"), a("memo_summary"), F.array_join(a("required_next_step"), " ")))
     forbidden = F.filter(F.coalesce("forbidden_reasoning", strings()), lambda p: F.contains(text, F.lower(p)))
     steps = F.exists(a("required_next_step"), lambda s: F.length(F.btrim(s)) > 0)
-    valid = F.col("schema_errors").isNull() & F.col("body").isNotNull()
+    valid = (F.col("schema_errors") == 0) & F.col("body").isNotNull()
     judged = joined.select(
         "case_id",
         valid.alias("schema_valid"),
