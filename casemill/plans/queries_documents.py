@@ -8,7 +8,7 @@ from casemill.operators import checks as C
 from casemill.operators import project as P
 from casemill.operators import workspace as W
 from casemill.plans import adapters as A
-from casemill.plans.batch import validate_candidates
+from casemill.plans.batch import BatchInputs, run_batch, validate_candidates
 from casemill.plans.queries_checks import _V3, _V5, _V6, DOMAIN
 from casemill.sources import cases as K
 from casemill.sources.domain import Domain
@@ -47,6 +47,49 @@ def validated_candidates(spark, sf):
     return verdicts.select("candidate_id", "verdict", F.array_join("subcodes", ",").alias("subcodes"))
 
 
+def _batch(spark, sf):
+    """A batch over all documents in which reports, patches and gate verdicts are missing for some."""
+    d = A.table(spark, sf, "documents")
+    ident = F.concat(F.lit("cand-"), F.col("doc_id").cast("string")).alias("candidate_id")
+    stated = A.choose(F.col("doc_id") % 5, {0: "nuke", 1: "revise"}, "pass")
+    reports = d.where(F.col("doc_id") % 7 != 3).select(ident, stated.alias("revision_disposition"))
+    prompt = F.concat(F.lit('{"setup":"src1 revised '), F.col("doc_id").cast("string"), F.lit('"}'))
+    patches = d.where((F.col("doc_id") % 5 == 1) & (F.col("doc_id") % 2 == 0)).select(
+        ident, prompt.alias("benchmark_case_updates"), F.lit("{}").alias("metadata_updates"),
+        F.array().cast(schemas.PATCHES["environment_ops"].dataType).alias("environment_ops"), F.lit("why").alias("revision_rationale"),
+    )
+    gates = A.verdicts(spark, sf)
+    gate = lambda kind: gates.where(F.col("check_kind") == kind).select("candidate_id", "check_kind", "verdict", "route_code", "subcodes")
+    inputs = BatchInputs(
+        "run-all", A.designs(spark, sf), A.candidates(spark, sf), spark.createDataFrame([], schemas.FILES), reports, gate("quality"), gate("rubric"),
+        patches=patches, target_n=3,
+    )
+    return run_batch(inputs, TEXT_DOMAIN)
+
+
+@query(
+    "batch_outcomes",
+    f"""WITH j AS (SELECT doc_id, text, sha256(text) AS hash, coalesce(CASE WHEN length(text) < 120 THEN 'schema_violation' END, {_V3}, {_V5}, {_V6}) AS code,
+      {_V3.replace("WHEN source", "WHEN 1 + n_chars % 5 > 4 THEN 'unknown_difficulty' WHEN source")} AS bad FROM documents),
+    k AS (SELECT hash, min(doc_id) FILTER (bad IS NULL) AS kept FROM j GROUP BY 1)
+    SELECT 'cand-' || doc_id AS candidate_id, CAST(1 AS BIGINT) AS outcomes,
+      CASE WHEN doc_id > kept OR bad IS NOT NULL THEN 'design_audit' WHEN code IS NOT NULL THEN 'validation' ELSE 'later' END AS stage
+    FROM j JOIN k USING (hash)""",
+)
+def batch_outcomes(spark, sf):
+    """Every candidate of a batch leaves exactly one row that ends it, and where."""
+    ends = _batch(spark, sf).decisions.where(
+        F.col("candidate_id").isNotNull() & ((F.col("verdict") != "accept") | (F.col("from_stage") == "curation"))
+    )
+    revised = F.endswith("candidate_id", F.lit("-rev"))
+    stage = (
+        F.when(F.col("from_stage") == "design_audit", "design_audit")
+        .when((F.col("check_kind") == "deterministic") & ~revised, "validation")
+        .otherwise("later")
+    )
+    return ends.groupBy(F.regexp_replace("candidate_id", "-rev$", "").alias("candidate_id")).agg(F.count("*").alias("outcomes"), F.min(stage).alias("stage"))
+
+
 @query(
     "instruction_designs",
     """SELECT 'run-' || doc_id || '-instruction-design' AS id, 'en|3|src0' AS cell, text AS design_intent, text AS first_pressure,
