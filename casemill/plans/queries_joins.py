@@ -456,6 +456,31 @@ def hashed_embeddings(spark, sf):
     return cells.where("value <> 0").select("doc_id", "bucket", F.round("value", 6).alias("value"))
 
 
+_WALK = """o AS (SELECT id, x, row_number() OVER (ORDER BY id) AS pos FROM v),
+    near AS MATERIALIZED (SELECT b.pos, list(a.pos) AS earlier FROM o a JOIN o b ON a.pos < b.pos AND 1 - list_cosine_similarity(a.x, b.x) < 0.08 GROUP BY b.pos),
+    walk(pos, taken) AS (SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]) UNION ALL
+      SELECT w.pos + 1, CASE WHEN list_has_any(w.taken, coalesce(n.earlier, CAST([] AS BIGINT[]))) THEN w.taken ELSE list_append(w.taken, w.pos + 1) END
+      FROM walk w LEFT JOIN near n ON n.pos = w.pos + 1 WHERE w.pos < (SELECT count(*) FROM o)),
+    done AS (SELECT taken FROM walk ORDER BY pos DESC LIMIT 1)"""
+
+
+@query(
+    "novel_token_documents",
+    f"""WITH RECURSIVE {_SLOTS},
+    v AS (SELECT d.doc_id AS id, list(CAST(coalesce(weight, 0) AS DOUBLE) ORDER BY b.bucket) AS x
+      FROM documents d CROSS JOIN (SELECT unnest(range(128)) AS bucket) b LEFT JOIN c ON c.doc_id = d.doc_id AND c.bucket = b.bucket GROUP BY 1),
+    {_WALK}
+    SELECT CAST(o.id AS VARCHAR) AS id, CASE WHEN list_contains(taken, pos) THEN 'accept' ELSE 'reject' END AS verdict,
+      CASE WHEN list_contains(taken, pos) THEN '' ELSE 'near_duplicate' END AS subcodes FROM o, done""",
+)
+def novel_token_documents(spark, sf):
+    """Greedy novelty at the default threshold over the md5 embeddings of all whole texts."""
+    d = A.texts(spark, sf)
+    vectors = E.hash_embedding(d, "doc_id", "text", hash="md5")
+    out = curate(vectors.select(F.col("doc_id").cast("string").alias("id"), F.col("doc_id").alias("ord"), "vector"))
+    return out.select("id", "verdict", F.array_join("subcodes", ",").alias("subcodes"))
+
+
 @query("novel_documents")
 def novel_documents(spark, sf):
     """Greedy novelty over the default embeddings of all whole texts."""
@@ -575,7 +600,14 @@ def revision_sizes(spark, sf):
     )
 
 
-@query("scored_prompts")
+@query(
+    "scored_prompts",
+    """WITH w AS (SELECT doc_id, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) AS n FROM documents),
+    r AS (SELECT doc_id AS row_index, CASE WHEN n <> 1 THEN n END AS n FROM w)
+    SELECT 'run-1' AS run_id, row_index, CAST(n AS VARCHAR) AS output, CAST(coalesce(n, 0) AS BIGINT) AS input_tokens,
+      CAST((n IS NOT NULL)::INT AS BIGINT) AS output_tokens, CASE WHEN n IS NULL THEN 'too short' END AS error,
+      sha256('{"output":' || coalesce('"' || n || '"', 'null') || ',"row_index":' || row_index || ',"run_id":"run-1"}') AS id FROM r""",
+)
 def scored_prompts(spark, sf):
     """A user function over every document: here it counts words, and fails on some."""
 
