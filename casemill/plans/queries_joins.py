@@ -191,9 +191,12 @@ def gate_join(spark, sf):
 
 @query(
     "audit_views",
-    """WITH v AS (SELECT c_custkey AS vendor, c_mktsegment AS view, c_custkey % 4 = 3 AS foreign_owner FROM customer)
-    SELECT 'SO-' || o_orderkey AS request_id, CASE WHEN v.vendor IS NULL THEN 'unknown_view' WHEN foreign_owner THEN 'vendor_mismatch' ELSE 'result' END AS status
-    FROM orders LEFT JOIN v ON o_custkey = vendor AND view = CASE o_orderkey % 2 WHEN 0 THEN 'BUILDING' ELSE 'MACHINERY' END""",
+    """WITH v AS (SELECT c_custkey AS vendor, c_mktsegment AS view, c_custkey % 4 = 3 AS foreign_owner, c_acctbal FROM customer),
+    r AS (SELECT o_orderkey, o_custkey, v.*, CASE WHEN v.vendor IS NULL THEN 'unknown_view' WHEN foreign_owner THEN 'vendor_mismatch' ELSE 'result' END AS status
+      FROM orders LEFT JOIN v ON o_custkey = vendor AND view = CASE o_orderkey % 2 WHEN 0 THEN 'BUILDING' ELSE 'MACHINERY' END)
+    SELECT 'SO-' || o_orderkey AS request_id, status, CASE WHEN status = 'result' AND vendor % 4 <> 2 THEN 'V-' || vendor END AS owner,
+      CASE WHEN status = 'result' THEN CAST(r.c_acctbal AS DOUBLE) END AS balance, CASE WHEN status = 'unknown_view' THEN coalesce(c_mktsegment, '') END AS available
+    FROM r LEFT JOIN customer c ON c.c_custkey = o_custkey""",
 )
 def audit_views(spark, sf):
     c, o = A.table(spark, sf, "customer"), A.table(spark, sf, "orders")
@@ -204,7 +207,16 @@ def audit_views(spark, sf):
     )
     view = F.when(F.col("o_orderkey") % 2 == 0, F.lit("BUILDING")).otherwise(F.lit("MACHINERY"))
     requests = o.select(_id("SO-", "o_orderkey").alias("request_id"), _id("V-", "o_custkey").alias("vendor_id"), view.alias("view"))
-    return J.audit_view(requests, views).select("request_id", "status")
+    out = J.audit_view(requests, views)
+    read = lambda key: F.get_json_object("result", f"$.{key}")
+    return out.select(
+        "request_id", "status", read("vendor_id").alias("owner"), read("balance").cast("double").alias("balance"), F.array_join("available_views", ",").alias("available")
+    )
+
+
+def _said(code):
+    """The advice on a code as an SQL string."""
+    return "'" + fixed.GENERATOR_GUIDANCE[code].replace("'", "''") + "'"
 
 
 @query(
@@ -212,14 +224,15 @@ def audit_views(spark, sf):
     f"""WITH {STAGES}, c AS (SELECT ord, list_distinct([coalesce(code, 'weak_proxy_validity'), CASE WHEN ord % 3 = 0 THEN 'missing_oracle' ELSE 'weak_diagnostic_pressure' END]) AS codes,
       code, ord % 3 = 0 AS o FROM stages)
     SELECT ord, coalesce(code, 'weak_proxy_validity') || ',' || CASE WHEN o THEN 'weak_judge_confidence' ELSE 'weak_diagnostic_pressure' END AS safe,
-      CAST((code IS NULL)::INT + (NOT o)::INT AS INT) AS advice FROM c""",
+      concat_ws(chr(10), CASE WHEN code IS NULL THEN {_said('weak_proxy_validity')} END, CASE WHEN NOT o THEN {_said('weak_diagnostic_pressure')} END) AS advice
+    FROM c""",
 )
 def retry_guidance(spark, sf):
     s = A.stage_records(spark, sf)
     second = F.when(F.col("ord") % 3 == 0, F.lit("missing_oracle")).otherwise(F.lit("weak_diagnostic_pressure"))
     first = F.coalesce(F.get("subcodes", F.lit(0)), F.lit("weak_proxy_validity"))
     out = J.retry_guidance(s.select("ord", F.array(first, second, second).alias("subcodes")))
-    return out.select("ord", F.array_join("safe_subcodes", ",").alias("safe"), F.size("guidance").alias("advice"))
+    return out.select("ord", F.array_join("safe_subcodes", ",").alias("safe"), F.array_join("guidance", "\n").alias("advice"))
 
 
 # ------------------------------------------------------------------ trials
@@ -682,15 +695,18 @@ def streamed_counters(spark, sf):
 
 @query(
     "streamed_dedup",
-    "SELECT count(DISTINCT sha256(text)) AS kept FROM documents",
+    "SELECT DISTINCT sha256(text) AS content_hash, CAST(1 AS BIGINT) AS kept, true AS one_of_its_rows FROM documents",
 )
 def streamed_dedup(spark, sf):
+    """Which designs a stream keeps: one row of every content hash, and a row that has it."""
     docs = _stream_table(spark, sf, "documents")
     designs = docs.select(
         "doc_id", F.sha2("text", 256).alias("content_hash"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("doc_id")).alias("ts")
     )
     out = _drained(streams.stream_dedup(designs, watermark="3650 days"), "append", spark)
-    return out.agg(F.count("*").alias("kept"))
+    truth = A.table(spark, sf, "documents").select(F.col("doc_id").alias("_id"), F.sha2("text", 256).alias("_hash"))
+    checked = out.join(truth, F.col("doc_id") == F.col("_id"))
+    return checked.groupBy("content_hash").agg(F.count("*").alias("kept"), F.bool_and(F.col("content_hash") == F.col("_hash")).alias("one_of_its_rows"))
 
 
 @query("streamed_board", f"WITH {_BOARD}")
