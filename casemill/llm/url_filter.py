@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -22,6 +23,8 @@ WORDS, BUCKETS, SEED_PAGES = 50_000, 2**16, 50
 SEEDS = ("adult", "bet", "bets", "betting", "casino", "gambling", "poker", "porn", "sex", "spam", "viagra", "warez", "xxx")
 LONGEST = 24
 _PART = re.compile("[a-z]+|[0-9]+")
+_MARKUP = re.compile(r"<(script|style)\b.*?</\1>|<[^>]*>", re.DOTALL)
+_WORDS = re.compile("(?<![a-z])[a-z]{2,%d}(?![a-z])" % LONGEST)
 
 
 def host_of(url: Column) -> Column:
@@ -53,11 +56,18 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 def unigrams(texts: DataFrame, text_col: str, words: int = WORDS) -> dict[str, float]:
     """Log probabilities of the most frequent words of two letters or more in a text column without its markup.
 
-    All texts are counted; the model holds ``words`` words at most, which bounds it.
+    All texts are counted, a batch at a time; the model holds ``words`` words at most, which bounds it.
     """
-    plain = F.lower(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), "(?s)<(script|style).*?</\\1>|<[^>]*>", " "))
-    counted = texts.select(F.explode(F.regexp_extract_all(plain, F.lit("(?<![a-z])[a-z]{2,%d}(?![a-z])" % LONGEST), F.lit(0))).alias("word"))
-    counts = stored(counted.groupBy("word").agg(F.count("*").alias("n")))
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = Counter()
+            for text in batch["text"]:
+                found.update(_WORDS.findall(_MARKUP.sub(" ", (text or "").lower())))
+            yield pd.DataFrame({"word": list(found), "n": list(found.values())}).astype({"word": str, "n": "int64"})
+
+    counted = texts.select(F.col(text_col).alias("text")).mapInPandas(count, "word string, n long")
+    counts = stored(counted.groupBy("word").agg(F.sum("n").alias("n")))
     rows = most_frequent(counts, words).collect()
     total = sum(r["n"] for r in rows) or 1
     return {r["word"]: math.log(r["n"] / total) for r in rows}
