@@ -2,6 +2,7 @@
 
 import base64
 import heapq
+import struct
 from collections.abc import Iterable
 
 import numpy as np
@@ -13,8 +14,9 @@ from pyspark.sql import functions as F
 
 from casemill.llm.common import most_frequent, stored
 
-#: No pair: larger than any rank.
-NONE = 2**31 - 1
+#: Bits of a token id and of a position in a folded word; NONE is the rank of what does not merge, above all others.
+ID, ROOM = 17, 20
+NONE = 2**ID - 1
 #: Words kept in the word map: this many at most, of at most so many bytes each, so its size is bounded.
 MAP_WORDS, MAP_WORD_BYTES = 2**18, 32
 #: Longer words are merged by a heap, since a fold over arrays copies them once per merge.
@@ -53,9 +55,14 @@ def _slots(keys: Iterable[bytes], bits: int) -> np.ndarray:
 
 
 def _constant(spark: SparkSession, values: pa.Array) -> Column:
-    """``values`` as one array constant, held by a session variable so that no plan spells it out.
+    return F.expr(_variable(spark, values))
 
-    The variable is named after its content, so a name always means the same values.
+
+def _variable(spark: SparkSession, values: pa.Array) -> str:
+    """A session variable that holds ``values`` as one array constant, so that no plan spells it out.
+
+    The variable is named after its content, so a name always means the same values. A plan keeps the values it was
+    built with, so the variable can be dropped then.
     """
     one = pa.table({"v": pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)})
     content = xxhash.xxh3_128()
@@ -67,7 +74,7 @@ def _constant(spark: SparkSession, values: pa.Array) -> Column:
     spark.sql(f"DECLARE OR REPLACE VARIABLE {name} {frame.schema['v'].dataType.simpleString()}")
     spark.sql(f"SET VAR {name} = (SELECT v FROM {name})")
     spark.catalog.dropTempView(name)
-    return F.expr(name)
+    return name
 
 
 def _find(key: Column, slots: Column, keys: Column, bits: int) -> tuple[Column, Column, Column, Column]:
@@ -79,84 +86,89 @@ def _find(key: Column, slots: Column, keys: Column, bits: int) -> tuple[Column,
 
 
 class RankMap:
-    """The vocabulary as constants: pieces by id and a two-slot hash table from a piece to its rank.
+    """The vocabulary as constants: pieces by id, ids of single bytes, and the ranked merges.
 
-    A piece is looked up as the string that has one character per byte, U+0000 to U+00FF.
+    A merge of the tokens a and b makes the piece of both, whose rank is its id. Every pair of tokens that merges
+    stands in a two-slot hash table as (a, b, rank) in one long.
     """
 
     def __init__(self, spark: SparkSession, ranks: dict[bytes, int]):
         pieces = sorted(ranks, key=ranks.__getitem__)
-        if [ranks[p] for p in pieces] != list(range(len(pieces))):
+        if [ranks[p] for p in pieces] != list(range(len(pieces))) or len(pieces) >= NONE:
             raise ValueError("ranks must be 0 .. n-1")
-        wide = [p.decode("latin-1") for p in pieces]
-        self.bits = max(8, len(pieces).bit_length() + 1)
-        self.wide = _constant(spark, pa.array(wide, pa.string()))
-        self.slots = _constant(spark, pa.array(_slots((w.encode() for w in wide), self.bits), pa.int32()))
+        pairs = [
+            (a << ID | b, rank)
+            for piece, rank in ranks.items()
+            for a, b in ((ranks.get(piece[:cut]), ranks.get(piece[cut:])) for cut in range(1, len(piece)))
+            if a is not None and b is not None
+        ]
+        self.bits = max(8, len(pairs).bit_length() + 1)
+        slots = _slots((struct.pack("<q", key) for key, _ in pairs), self.bits)
+        packed = np.array([key << ID | rank for key, rank in pairs] or [-1], dtype=np.int64)
+        self.pairs = _constant(spark, pa.array(np.where(slots < 0, -1, packed[np.maximum(slots, 0)]), pa.int64()))
+        self.bytes = _constant(spark, pa.array([ranks[bytes([b])] for b in range(256)], pa.int64()))
         self.texts = _constant(spark, pa.array(pieces, pa.binary())).cast("array<string>")
 
-    def rank(self, piece: Column) -> Column:
-        """The rank of a piece, NONE if it is none."""
-        return _let(piece, self._rank)
+    def rank(self, a: Column, b: Column) -> Column:
+        """The rank of merging two tokens, NONE if they don't merge."""
+        mask = _long((1 << self.bits) - 1)
 
-    def _rank(self, piece: Column) -> Column:
-        at, a, bt, b = _find(piece, self.slots, self.wide, self.bits)
-        return F.when(at, a).when(bt, b).otherwise(F.lit(NONE))
+        def found(key: Column) -> Column:
+            h = F.xxhash64(key)
+            one = F.get(self.pairs, h.bitwiseAND(mask))
+            two = F.get(self.pairs, F.shiftrightunsigned(h, 24).bitwiseAND(mask) + _long(1 << self.bits))
+            low = _long(NONE)
+            return F.when(F.shiftright(one, ID) == key, one.bitwiseAND(low)).when(F.shiftright(two, ID) == key, two.bitwiseAND(low)).otherwise(low)
 
+        return _let(F.shiftleft(a, ID) + b, found)
 
-def _let(value: Column, body) -> Column:
-    return F.get(F.transform(F.array(value), body), F.lit(0))
 
+def _long(value: int) -> Column:
+    return F.lit(value).cast("bigint")
 
-#: A boundary between two pieces is (rank of what they merge into) * 2**ROOM + position, so the least is the next merge.
-ROOM = 20
+
+def _let(value: Column, body) -> Column:
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def fold_word(word: Column, ranks: RankMap) -> Column:
     """Token ids of one word: its bytes, then the lowest-ranked leftmost pair merged again and again.
 
-    The state is the array of boundaries between pieces, in order. A merge takes the least boundary out and looks up
-    only the two pairs beside it anew.
+    The state is the array of tokens, each one long: the rank of merging it with the next token, its position, its id.
+    The least of them is the next merge. A merge makes the token whose id is that rank, takes the next token out and
+    looks up only the two pairs it makes.
     """
-    data = F.decode(word.cast("binary"), "ISO-8859-1")
+    data = F.decode(word.cast("binary"), "ISO-8859-1")  # one character per byte
     n = F.octet_length(word)
-    ends = F.lit((1 << ROOM) - 1).cast("bigint")
-    done = F.lit(NONE << ROOM).cast("bigint")
-    none = F.array().cast("array<bigint>")
-
-    def boundary(start: Column, at: Column, end: Column) -> Column:
-        rank = ranks.rank(F.substring(data, start + 1, end - start))
-        return F.shiftleft(rank.cast("bigint"), ROOM) + at
-
-    first = F.transform(F.sequence(F.lit(1), n - 1), lambda i: boundary(i - 1, i, i + 1))
-    first = F.when(n > 1, first).otherwise(none)
-
-    def merged(state: Column, at: Column) -> Column:
-        place = lambda k, edge: F.coalesce(F.get(state, at + k).bitwiseAND(ends).cast("int"), edge)
-        left = F.array(boundary(place(-3, F.lit(0)), place(-2, F.lit(0)), place(0, n)))
-        right = F.array(boundary(place(-2, F.lit(0)), place(0, n), place(1, n)))
-        return F.concat(
-            F.slice(state, F.lit(1), F.greatest(F.lit(0), at - 2)),
-            F.when(at > 1, left).otherwise(none),
-            F.when(at < F.size(state), right).otherwise(none),
-            F.slice(state, at + 2, n),
-        )
+    place = ID + ROOM
+    alone, below, at, own = _long(NONE << place), _long((1 << place) - 1), _long(((1 << ROOM) - 1) << ID), _long(NONE)
+    singles = F.transform(F.sequence(F.lit(1), n), lambda i: F.get(ranks.bytes, F.ascii(F.substring(data, i, F.lit(1)))))
+
+    def paired(token: Column, i: Column, tokens: Column) -> Column:
+        rank = F.when(i < n - 1, F.shiftleft(ranks.rank(token, F.get(tokens, i + 1)), place)).otherwise(alone)
+        return rank + F.shiftleft(i.cast("bigint"), ID) + token
+
+    def merged(state: Column, least: Column, i: Column) -> Column:
+        new, after = F.shiftright(least, place), F.get(state, i + 2)
+        rank = F.when(after.isNull(), alone).otherwise(F.shiftleft(ranks.rank(new, after.bitwiseAND(own)), place))
+
+        def turn(token: Column, j: Column) -> Column:
+            before = F.shiftleft(ranks.rank(token.bitwiseAND(own), new), place) + token.bitwiseAND(below)
+            return (
+                F.when((j < i - 1) | (j > i + 1), token).when(j == i, rank + least.bitwiseAND(at) + new).when(j > i, _long(-1)).otherwise(before)
+            )
+
+        return F.filter(F.transform(state, turn), lambda token: token >= 0)
 
     def step(state: Column, _: Column) -> Column:
         return _let(
             F.array_min(state),
-            lambda low: F.when(low < done, _let(F.array_position(state, low).cast("int"), lambda at: merged(state, at))).otherwise(state),
+            lambda least: F.when(least < alone, _let(F.array_position(state, least).cast("int") - 1, lambda i: merged(state, least, i))).otherwise(state),
         )
 
-    def ids(state: Column) -> Column:
-        cuts = F.concat(F.array(F.lit(0)), F.transform(state, lambda b: b.bitwiseAND(ends).cast("int")), F.array(n))
-        return _let(
-            cuts,
-            lambda c: F.transform(
-                F.sequence(F.lit(0), F.size(c) - 2), lambda i: ranks.rank(F.substring(data, F.get(c, i) + 1, F.get(c, i + 1) - F.get(c, i)))
-            ),
-        )
-
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.lit(1), n - 1)), first, step, ids)
+    first = _let(singles, lambda tokens: F.transform(tokens, lambda token, i: paired(token, i, tokens)))
+    turns = F.sequence(F.lit(1), F.greatest(F.lit(1), n - 1))
+    return F.aggregate(turns, first, step, lambda state: F.transform(state, lambda token: token.bitwiseAND(own).cast("int")))
 
 
 def merge_long(data: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -211,19 +223,26 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
     short = most_frequent(counts.where(size <= MAP_WORD_BYTES), map_words)
     known = short.select("word", fold_word(F.col("word"), rank_map).alias("ids")).toArrow()
     known = known.sort_by("word")
-    keys = known["word"].to_pylist()
-    bits = max(8, len(keys).bit_length() + 1)
-    slots = _constant(spark, pa.array(_slots((k.encode() for k in keys), bits), pa.int32()))
-    map_keys = _constant(spark, pa.array(keys, pa.string()))
-    map_ids = _constant(spark, pa.array(known["ids"].to_pylist(), pa.list_(pa.int32())))
+    bits = max(8, known.num_rows.bit_length() + 1)
+    keys, ids = (known[name].combine_chunks() for name in ("word", "ids"))
+    table = _slots((k.as_py().encode() for k in keys), bits)
+    names = [_variable(spark, values) for values in (pa.array(table, pa.int32()), keys, ids)]
+    slots, map_keys, map_ids = (F.expr(name) for name in names)
 
     def in_place(word: Column) -> Column:
         at, a, bt, b = _find(word, slots, map_keys, bits)
         return F.when(at, F.get(map_ids, a)).when(bt, F.get(map_ids, b)).otherwise(fold_word(word, rank_map))
 
+    def built(out: DataFrame) -> DataFrame:
+        """The plan holds the word map now; without its variables the driver is free of it when the plan goes."""
+        out.schema  # analysed
+        for name in names:
+            spark.sql(f"DROP TEMPORARY VARIABLE IF EXISTS {name}")
+        return out
+
     plain = lambda d: d.withColumn("ids", F.flatten(F.transform(words_of(F.col(text_col), pattern), in_place)))
     if counts.where(size > fold_bytes).isEmpty():
-        return plain(docs)
+        return built(plain(docs))
 
     @F.pandas_udf("array<array<int>>")
     def by_heap(batch: pd.Series) -> pd.Series:
@@ -235,7 +254,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
     rest = rest.withColumn("_done", by_heap("_long"))
     placed = lambda w: F.when(long(w), F.get("_done", F.array_position("_long", w) - 1)).otherwise(in_place(w))
     rest = rest.withColumn("ids", F.flatten(F.transform("_words", placed))).select(*docs.columns, "ids")
-    return plain(docs.where(~has_long)).unionByName(rest)
+    return built(plain(docs.where(~has_long)).unionByName(rest))
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids") -> DataFrame:
