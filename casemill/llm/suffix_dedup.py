@@ -9,7 +9,9 @@ so a shard has about log2(batches) arrays, as a log-structured merge tree has. T
    another batch, or another document of the batch, has as well.
 2. Whole windows, only those whose anchor is shared. They go to the shard of their anchor as the bytes they cover,
    equal stretches once per batch; the shard sorts the windows by 128 bits of hash and tells which of them the
-   smallest document having them is not the one that sent them.
+   smallest document having them is not the one that sent them. An anchor that more than CROWD batches have is too
+   much for one shard: edges of a common passage differ with every document. Its windows are hashed in the batch,
+   reduced there to the smallest document, and go to the shards of their own hashes instead.
 
 Neither a text nor a window leaves its batch otherwise. All three passes over the texts read one shuffle of them.
 """
@@ -28,6 +30,8 @@ LENGTH = 50
 ANCHOR = 16
 #: Bytes of text for each batch and for each shard, and how many of both there are at least.
 BATCH_BYTES, SHARD_BYTES, LEAST = 6_000_000, 8_000_000, 64
+#: An anchor of more batches than this has its windows dealt one by one, at 32 bytes each; what fewer send fits one task.
+CROWD = 128
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASES = (0x100000001B3, 0xD6E8FEB86659FD93)
 
@@ -125,17 +129,19 @@ def _array(blob: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(blob, dtype=kind)
 
 
-def repeated_windows(blob: bytes, sizes: np.ndarray, ids: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(stretch, offset, repeated) of every window of the stretches laid end to end in ``blob``.
-
-    repeated: a stretch of a smaller id holds the same window.
-    """
+def hashed_windows(blob: bytes, sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(stretch, offset, one, two) of every window of the stretches laid end to end in ``blob``; one, two: its hash."""
     data = np.frombuffer(blob, dtype=np.uint8)
     windows = sizes - length + 1
     stretch = np.repeat(np.arange(len(sizes)), windows)
     offset = np.arange(len(stretch)) - np.repeat(np.cumsum(windows) - windows, windows)
     at = np.repeat(np.cumsum(sizes) - sizes, windows) + offset
     one, two = (rolling(data, length, base)[at] for base in _BASES)
+    return stretch, offset, one, two
+
+
+def seen_earlier(one: np.ndarray, two: np.ndarray, who: np.ndarray) -> np.ndarray:
+    """Of every hash, whether the same hash also has a smaller id."""
     order = np.argsort(one, kind="stable")
     same = one[order]
     clash = (same[1:] == same[:-1]) & (two[order][1:] != two[order][:-1])
@@ -143,11 +149,20 @@ def repeated_windows(blob: bytes, sizes: np.ndarray, ids: np.ndarray, length: in
         order = np.lexsort((two, one))
     keys, more = one[order], two[order]
     first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (more[1:] != more[:-1])]))
-    who = ids[stretch[order]]
+    who = who[order]
     least = np.repeat(np.minimum.reduceat(who, first), np.diff(np.append(first, len(order))))
     repeated = np.empty(len(order), dtype=bool)
     repeated[order] = least < who
-    return stretch, offset, repeated
+    return repeated
+
+
+def repeated_windows(blob: bytes, sizes: np.ndarray, ids: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(stretch, offset, repeated) of every window of the stretches laid end to end in ``blob``.
+
+    repeated: a stretch of a smaller id holds the same window.
+    """
+    stretch, offset, one, two = hashed_windows(blob, sizes, length)
+    return stretch, offset, seen_earlier(one, two, ids[stretch])
 
 
 # ---------------------------------------------------------------- the job
@@ -165,6 +180,60 @@ def _anchors_of(texts: list[bytes], length: int, gram: int) -> list[np.ndarray]:
     return [lowest(np.frombuffer(t, dtype=np.uint8), length, gram) for t in texts]
 
 
+def asked_windows(
+    ids: np.ndarray, texts: list[bytes], lows: list[np.ndarray], keys: np.ndarray, crowded: np.ndarray, shards: int, number: int, length: int
+) -> list[tuple]:
+    """What batch ``number`` sends to the shards: (shard, batch, blob, sizes, ranks, starts, ids).
+
+    ``keys``: its shared anchors in order. Stretches of an anchor go to the anchor's shard, their bytes in blob; windows of
+    ``crowded`` anchors go one by one to the shards of their hashes, no sizes and both halves of the hashes in blob.
+    What the batch settles itself has no blob.
+    """
+    sent: dict[int, list] = {}
+    known: dict[bytes, int] = {}
+    local = []
+    crowd = []
+    for rank, (text, low) in enumerate(zip(texts, lows)):
+        starts = _stretches(low)
+        if not len(starts):
+            continue
+        stops = np.append(starts[1:], len(low))
+        at, hit = _lookup(keys, low[starts])
+        own = np.flatnonzero(hit)
+        for shard, many, a, b in zip(_shard(low[starts[own]], shards).tolist(), crowded[at[own]].tolist(), starts[own].tolist(), stops[own].tolist()):
+            stretch = text[a : b + length - 1]
+            before = known.setdefault(stretch, rank)
+            if ids[before] < ids[rank]:
+                local.append((rank, a, b - a))
+            elif many:
+                crowd.append((rank, a, stretch))
+            else:
+                sent.setdefault(shard, []).append((rank, a, stretch))
+    out = []
+    for shard, entries in sent.items():
+        ranks = np.array([e[0] for e in entries], dtype=np.int32)
+        out.append(
+            (shard, number, b"".join(e[2] for e in entries), np.array([len(e[2]) for e in entries], dtype=np.int32), ranks, np.array([e[1] for e in entries], dtype=np.int32), ids[ranks])
+        )
+    if crowd:
+        sizes = np.array([len(e[2]) for e in crowd], dtype=np.int64)
+        stretch, offset, one, two = hashed_windows(b"".join(e[2] for e in crowd), sizes, length)
+        ranks = np.array([e[0] for e in crowd], dtype=np.int32)[stretch]
+        starts = (np.array([e[1] for e in crowd], dtype=np.int64)[stretch] + offset).astype(np.int32)
+        gone = seen_earlier(one, two, ids[ranks])
+        local += [(rank, start, 1) for rank, start in zip(ranks[gone].tolist(), starts[gone].tolist())]
+        one, two, ranks, starts = one[~gone], two[~gone], ranks[~gone], starts[~gone]
+        to = _shard(one, shards)
+        order = np.argsort(to, kind="stable")
+        first = _stretches(to[order])
+        for part in np.split(order, first[1:]):
+            out.append((int(to[part[0]]), number, one[part].tobytes() + two[part].tobytes(), b"", ranks[part], starts[part], ids[ranks[part]]))
+    if local:  # settled inside the batch; it passes through a shard to reach the last pass
+        ranks, starts, counts = (np.array(x, dtype=np.int32) for x in zip(*local))
+        out.append((number % shards, number, None, counts, ranks, starts, np.zeros(0, dtype=np.int64)))
+    return out
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = ANCHOR) -> DataFrame:
     """One row per input row: id, n_bytes, spans (array of start, end in bytes) and kept (binary, the bytes left).
 
@@ -202,11 +271,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         family = Family()
         for keys in arrays:
             family.insert(keys)
+        every, times = np.unique(np.concatenate(arrays), return_counts=True)
+        crowded = every[times > CROWD]
+        crowds = [np.packbits(_lookup(crowded, keys)[1]).tobytes() for keys in arrays]
         flags = [
             np.packbits(family.shared(keys) | np.unpackbits(_array(often, "u1"), count=len(keys)).astype(bool)).tobytes()
             for keys, often in zip(arrays, shard["often"])
         ]
-        return pd.DataFrame({"batch": shard["batch"], "shard": shard["shard"], "flags": flags})
+        return pd.DataFrame({"batch": shard["batch"], "shard": shard["shard"], "flags": flags, "crowds": crowds})
 
     def windows(batch: pa.Table, answers: pa.Table) -> pa.Table:
         if not batch.num_rows or not answers.num_rows:
@@ -217,42 +289,32 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         keys, _ = _distinct(lows)
         answers = answers.sort_by("shard")
         cuts = np.searchsorted(_shard(keys, shards), np.arange(shards + 1))
-        shared = np.concatenate(
-            [np.unpackbits(_array(f, "u1"), count=int(cuts[s + 1] - cuts[s])) for s, f in zip(answers["shard"].to_pylist(), answers["flags"].to_pylist())]
-        ).astype(bool)
-        keys = keys[shared]
-        sent: dict[int, list] = {}
-        known: dict[bytes, int] = {}
-        local = []
-        for rank, (text, low) in enumerate(zip(texts, lows)):
-            starts = _stretches(low)
-            if not len(starts):
-                continue
-            stops = np.append(starts[1:], len(low))
-            own = np.flatnonzero(_lookup(keys, low[starts])[1])
-            for shard, a, b in zip(_shard(low[starts[own]], shards).tolist(), starts[own].tolist(), stops[own].tolist()):
-                stretch = text[a : b + length - 1]
-                before = known.setdefault(stretch, rank)
-                if ids[before] < ids[rank]:
-                    local.append((rank, a, b - a))
-                else:
-                    sent.setdefault(shard, []).append((rank, a, stretch))
-        out = []
-        for shard, entries in sent.items():
-            ranks = np.array([e[0] for e in entries], dtype=np.int32)
-            out.append(
-                (shard, number, b"".join(e[2] for e in entries), np.array([len(e[2]) for e in entries], dtype=np.int32), ranks, np.array([e[1] for e in entries], dtype=np.int32), ids[ranks])
-            )
-        if local:  # settled inside the batch; it passes through a shard to reach the last pass
-            ranks, starts, counts = (np.array(x, dtype=np.int32) for x in zip(*local))
-            out.append((number % shards, number, None, counts, ranks, starts, np.zeros(0, dtype=np.int64)))
-        return _windows_table(out)
+        shared, crowded = (
+            np.concatenate(
+                [np.unpackbits(_array(f, "u1"), count=int(cuts[s + 1] - cuts[s])) for s, f in zip(answers["shard"].to_pylist(), answers[c].to_pylist())]
+            ).astype(bool)
+            for c in ("flags", "crowds")
+        )
+        keys, crowded = keys[shared], crowded[shared]
+        return _windows_table(asked_windows(ids, texts, lows, keys, crowded, shards, number, length))
 
     def settle(shard: pd.DataFrame) -> pd.DataFrame:
         done = shard["blob"].isna()
         passed = shard[done]
         out = [pd.DataFrame({"batch": passed["batch"], "ranks": passed["ranks"], "starts": passed["starts"], "counts": passed["sizes"]})]
-        asked = shard[~done]
+        single = ~done & (shard["sizes"].map(lambda x: x is not None and len(x) == 0))
+        asked = shard[single]
+        if len(asked):
+            halves = [_array(x, "u8").reshape(2, -1) for x in asked["blob"]]
+            one, two = np.concatenate(halves, axis=1)
+            repeated = seen_earlier(one, two, np.concatenate([_array(x, "i8") for x in asked["ids"]]))
+            ends = np.cumsum([h.shape[1] for h in halves])
+            for a, b, batch, ranks, starts in zip([0, *ends], ends, asked["batch"], asked["ranks"], asked["starts"]):
+                gone = repeated[a:b]
+                if gone.any():
+                    found = (batch, _array(ranks, "i4")[gone].tobytes(), _array(starts, "i4")[gone].tobytes(), np.ones(gone.sum(), dtype=np.int32).tobytes())
+                    out.append(pd.DataFrame([found], columns=["batch", "ranks", "starts", "counts"]))
+        asked = shard[~done & ~single]
         if len(asked):
             sizes = np.concatenate([_array(x, "i4") for x in asked["sizes"]]).astype(np.int64)
             ids = np.concatenate([_array(x, "i8") for x in asked["ids"]])
@@ -307,7 +369,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     grouped = rows.groupBy("batch")
     arrays = grouped.applyInArrow(suffixes, "shard int, batch int, keys binary, often binary")
-    flags = arrays.groupBy("shard").applyInPandas(scan, "batch int, shard int, flags binary")
+    flags = arrays.groupBy("shard").applyInPandas(scan, "batch int, shard int, flags binary, crowds binary")
     sent = grouped.cogroup(flags.groupBy("batch")).applyInArrow(
         windows, "shard int, batch int, blob binary, sizes binary, ranks binary, starts binary, ids binary"
     )

@@ -85,6 +85,22 @@ def test_passages_of_odd_rows(docs):
     assert removed(docs()) == []
 
 
+def test_edges_of_a_common_passage_are_dealt_out(docs, monkeypatch):
+    pick = np.random.default_rng(9)
+    passage = bytes(pick.integers(97, 123, 200).astype(np.uint8))
+    own = lambda: bytes(pick.integers(97, 123, 150).astype(np.uint8))
+    texts = [own() + passage + own() for _ in range(400)]
+    lows, ids = suffix_dedup._anchors_of(texts, 50, 16), np.arange(400)
+    keys, often = suffix_dedup._distinct(lows)
+    keys = keys[often]
+    asked = suffix_dedup.asked_windows(ids, texts, lows, keys, np.ones(len(keys), dtype=bool), 64, 0, 50)
+    held = [len(x[2]) // 16 for x in asked if x[2] is not None]
+    assert sum(held) > 10_000 and max(held) < 2 * sum(held) / 64
+    rows = [(i, t.decode()) for i, t in enumerate(texts)] + [(None, passage.decode()), (7, passage.decode() + "x" * 60), (7, "y" + passage.decode())]
+    monkeypatch.setattr(suffix_dedup, "CROWD", 2)
+    assert removed(docs(*rows)) == brute_removed(rows, 50)
+
+
 def test_family_levels_stay_logarithmic():
     family, pick = suffix_dedup.Family(), np.random.default_rng(3)
     batches = [np.unique(pick.integers(0, 5000, 200).astype(np.uint64)) for _ in range(64)]
