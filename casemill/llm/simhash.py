@@ -198,6 +198,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Equal fingerprints are one node, so a group of copies costs one row however large it is. What joins back is the
     table of fingerprints that are linked; the others only need the smallest id of their own fingerprint.
     """
+    out = _classes(docs, id_col, text_col, words, reach)
+    hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return out.select(F.col("_id").alias(id_col), hexed, "component_id")
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, words: int, reach: int) -> DataFrame:
+    """(_id, fp, root, component_id) of every row; root tells components apart that have null ids only."""
     printed = docs.withColumn("_fp", fingerprints(F.col(text_col), words))
     ids = stored(printed.select(F.col(id_col).alias("_id"), F.col("_fp").alias("fp")))
     nodes = stored(ids.groupBy("fp").agg(F.min("_id").alias("least")))
@@ -205,15 +212,18 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     joined = nodes.join(parts, nodes["fp"] == parts["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     joined = stored(joined)
     lowest = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = joined.join(lowest, "root").select("fp", "component_id")
-    hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return ids.join(classes, "fp").select(F.col("_id").alias(id_col), hexed, "component_id")
+    classes = joined.join(lowest, "root").select("fp", "root", "component_id")
+    return ids.join(classes, "fp").select("_id", "fp", "root", "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, reach: int = BITS) -> DataFrame:
-    """The rows of ``docs`` that stay: of every component those with its smallest id."""
-    classes = near_groups(docs, id_col, text_col, words, reach)
-    stays = classes.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("stay")).distinct()
-    rows = packed(docs, id=F.col(id_col))
-    rows = rows.join(stays, F.col("id").eqNullSafe(F.col("stay")), "left_semi")
+    """The rows of ``docs`` that stay: of every component the one with its smallest id, then fingerprint; null ids last.
+
+    Rows that repeat both the id and the fingerprint of the one that stays stay with it.
+    """
+    classes = _classes(docs, id_col, text_col, words, reach)
+    best = classes.groupBy("root").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "fp")).alias("best"))
+    stays = best.select(F.col("best._id").alias("stay"), F.col("best.fp").alias("stay_fp")).distinct()
+    rows = packed(docs, id=F.col(id_col), fp=fingerprints(F.col(text_col), words))
+    rows = rows.join(stays, F.col("id").eqNullSafe(F.col("stay")) & (F.col("fp") == F.col("stay_fp")), "left_semi")
     return unpacked(rows)

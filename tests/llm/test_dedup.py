@@ -155,6 +155,13 @@ def test_near_groups_match_brute_force(docs, sample):
     assert sorted(r.doc_id for r in stays.collect()) == sorted(set(whole.values()))
 
 
+def test_null_and_repeated_ids_do_not_save_near_copies(docs):
+    one, two = "a b c d e f g", "nothing like the first text at all"
+    rows = [(None, one), (None, "alone and far from all the others"), (None, "far"), (5, two), (5, one.upper()), (4, one)]
+    out = simhash.one_of_each(docs(*rows)).collect()
+    assert sorted((str(r.doc_id), r.text[:3]) for r in out) == [("4", "a b"), ("5", "not"), ("None", "alo"), ("None", "far")]
+
+
 def test_links_of_dense_balls_are_whole(spark, shared, monkeypatch):
     pick = random.Random(11)
     centre = pick.getrandbits(64)
