@@ -6,10 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemill.llm import bpe, exact_dedup, html_crf, mixing, quality, secret_scan, simhash, suffix_dedup, topk, url_filter
+from casemill.llm import (
+    bpe,
+    exact_dedup,
+    filter_audit,
+    html_crf,
+    mixing,
+    quality,
+    secret_scan,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    topk,
+    url_filter,
+)
 from casemill.llm.common import table
 
-RANKS = "byte_bpe_50k.tiktoken"
+RANKS, MERGES = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
 #: Fixed values: (action, host, path prefix) of the rules for pages.
 URL_RULES = (
     ("allow", "com", "/"),
@@ -103,6 +116,20 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of the documents by the public 50k vocabulary."""
+    merges = token_counts.read_merges(public_tokenizers.path(MERGES))
+    return token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), merges).select(
+        "doc_id", "n_bytes", "n_tokens", "over_limit"
+    )
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from every language, in all orders."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return filter_audit.audit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_topk": op2_topk,
@@ -114,6 +141,8 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_html_extraction": op9_html_extraction,
     "op10_bpe": op10_bpe,
+    "op11_token_counts": op11_token_counts,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 ORACLES = {
@@ -155,4 +184,38 @@ SELECT doc_id, size, source_size::BIGINT AS source_size, target,
    + greatest(0, least(size, round(target)::BIGINT - start - source_size::BIGINT))
    + greatest(0, least(size, round(target)::BIGINT - start - 2 * source_size::BIGINT)))::BIGINT AS taken
 FROM p""",
+    "op12_filter_audit": """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS least FROM t),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    (CASE WHEN len(words) < 100 THEN 'A' ELSE '' END)
+    || (CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 'B' ELSE '' END)
+    || (CASE WHEN 100 * strlen(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 'C' ELSE '' END)
+    || (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END)
+    || (CASE WHEN least < w.doc_id THEN 'E' ELSE '' END) AS failed
+  FROM w LEFT JOIN l ON w.doc_id = l.doc_id),
+c AS (
+  SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY part, failed),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (
+  SELECT filter_order, step::INTEGER AS step, filter_order[step] AS letter, '[' || filter_order[1:step - 1] || '0]' AS before
+  FROM o, range(1, 6) r(step)),
+r AS (
+  SELECT part, filter_order, step, letter, failed, n, good, toxic, contains(failed, letter) AS fails, regexp_matches(failed, before) AS gone
+  FROM c, s),
+a AS (
+  SELECT part, filter_order, step, letter,
+    coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (fails AND NOT gone), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (fails AND gone), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (failed = letter), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (fails AND NOT gone), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (fails AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM r GROUP BY ALL)
+SELECT * EXCLUDE (letter), (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM a""",
 }
