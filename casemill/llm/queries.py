@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from casemill.llm import (
     bpe,
+    divergence,
     exact_dedup,
     filter_audit,
     html_crf,
@@ -130,6 +131,11 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Term divergence between the sources of every language."""
+    return divergence.source_divergence(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_topk": op2_topk,
@@ -143,6 +149,7 @@ QUERIES = {
     "op10_bpe": op10_bpe,
     "op11_token_counts": op11_token_counts,
     "op12_filter_audit": op12_filter_audit,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLES = {
@@ -218,4 +225,32 @@ a AS (
     coalesce(sum(toxic) FILTER (fails AND NOT gone), 0)::BIGINT AS toxic_lost
   FROM r GROUP BY ALL)
 SELECT * EXCLUDE (letter), (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM a""",
+    "op13_source_divergence": """
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS doc,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+t AS (SELECT lang, source, doc, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+tf AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT doc) AS docs FROM t GROUP BY ALL),
+k AS (SELECT lang, term, sum(n) AS n FROM tf GROUP BY lang, term HAVING sum(docs) >= 30),
+v AS (SELECT lang, count(*) AS terms, sum(n) AS total FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+gt AS (SELECT lang, source, sum(tf.n) AS total FROM tf JOIN k USING (lang, term) GROUP BY lang, source),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(tf.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(tf.n, 0) + 5)) // (coalesce(gt.total, 0) + 5 * v.terms) AS p,
+    1 + (1000000000::HUGEINT * (k.n + 5)) // (v.total + 5 * v.terms) AS q
+  FROM g JOIN k USING (lang) JOIN v USING (lang)
+  LEFT JOIN tf ON tf.lang = g.lang AND tf.source = g.source AND tf.term = k.term
+  LEFT JOIN gt ON gt.lang = g.lang AND gt.source = g.source),
+f AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE n > 0 AND p > q),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM r)
+SELECT * FROM o WHERE part = 'pair' OR rank <= 50""",
 }
