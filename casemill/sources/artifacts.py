@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import json
+import os
+import uuid
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casemill import schemas
 from casemill.functions.scalars import field, is_json_object, is_json_string
+from casemill.sources import lines
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -69,26 +75,15 @@ def scan_runs(
     )
 
 
-def read_events_lenient(spark: SparkSession, path: str) -> DataFrame:
+def read_events_lenient(spark: SparkSession, path: str, split: int = lines.SPLIT) -> DataFrame:
     """(file, line_no, event): every line that is a JSON value, with its 1-based line number.
 
-    Lines that are not JSON are dropped. Files are read in splits; lines are numbered inside their split
-    and shifted by the lines of the file's earlier splits, so no file has to fit a row or a task.
+    Lines that are not JSON are dropped but count. Files are read in splits by byte ranges; every split brings the number
+    of its first line from one count of the lines of the splits before, so no file has to fit a row or a task and no
+    line is joined, sorted or shuffled.
     """
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], "file string, line_no int, raw string").select(
-            "file", "line_no", F.try_parse_json("raw").alias("event")
-        )
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("at"), F.col("value").alias("raw"),
-    )
-    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = lines.groupBy("file", "split").agg(F.count("*").alias("n"))
-    offsets = sizes.select("file", "split", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
-    own = F.row_number().over(Window.partitionBy("file", "split").orderBy("at"))  # a split has a bounded size
-    numbered = lines.withColumn("own", own).join(offsets, ["file", "split"])
-    parsed = numbered.select("file", (F.col("offset") + F.col("own")).cast("int").alias("line_no"), F.try_parse_json("raw").alias("event"))
+    numbered = lines.read_lines(spark, path, split, lines.line_numbers(spark, path, split))
+    parsed = numbered.select("file", F.col("line_no").cast("int").alias("line_no"), F.try_parse_json("raw").alias("event"))
     return parsed.where(F.col("event").isNotNull())
 
 
@@ -163,16 +158,90 @@ def read_appended(spark: SparkSession, root: str, kind: str, schema: T.StructTyp
 
 
 class RunExists(ValueError):
-    """The run already has artifacts and overwriting was not asked for."""
-
-
-def write_run(df: DataFrame, path: str, run_id: str, overwrite: bool = False) -> None:
-    """Write one run's rows. An existing run is refused, or with ``overwrite`` replaced alone."""
-    target = f"{path}/run_id={run_id}"
-    if path_exists(df.sparkSession, target) and not overwrite:
+    """The run already has artifacts and overwriting was not asked for, or another writer was first."""
+
+
+def _hadoop(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def _publish(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file appear whole under a name nobody has, or tell that somebody has it."""
+    system, target = _hadoop(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_draft-{uuid.uuid4().hex}")
+    out = system.create(draft, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    try:
+        if system.getUri().getScheme() == "file":  # a rename replaces there; a link does not
+            os.link(draft.toUri().getPath(), target.toUri().getPath())
+            return True
+        plain = spark._sc._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        plain[0] = getattr(spark._jvm, "org.apache.hadoop.fs.Options$Rename").NONE
+        context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), spark._jsc.hadoopConfiguration())
+        context.rename(draft, target, plain)
+        return True
+    except FileExistsError:
+        return False
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" in str(error.java_exception):
+            return False
+        raise
+    finally:
+        system.delete(draft, False)
+
+
+def manifests(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+    """(run_id, version, folder, token): every published write of the runs below ``path``."""
+    spec = f"{path}/_manifests/run_id={'*' if run_id is None else run_id}/version=*.json"
+    schema = "run_id string, version int, folder string, token string"
+    return spark.read.schema(schema).json(spec) if path_exists(spark, spec) else spark.createDataFrame([], schema)
+
+
+def write_run(df: DataFrame, path: str, run_id: str, overwrite: bool = False, token: str | None = None) -> None:
+    """Write one run's rows, all or nothing. An existing run is refused, or with ``overwrite`` replaced alone.
+
+    The rows are written under a name of their own. Publishing is one manifest file, numbered by version, that must
+    not exist: of writers that race for a run exactly one publishes, the others get RunExists and leave nothing. A write
+    repeated with the ``token`` of a published one changes nothing. ``read_run`` takes what manifests name, so it
+    never sees a part of a write. What a version replaced stays for its readers until ``drop_superseded``.
+    """
+    spark = df.sparkSession
+    token = token or uuid.uuid4().hex
+    known = manifests(spark, path, run_id).collect()
+    if any(m["token"] == token for m in known):
+        return
+    if known and not overwrite:
         raise RunExists(f"run id already has artifacts: {run_id}")
-    body = df.drop("run_id") if "run_id" in df.columns else df
-    body.write.mode("overwrite").parquet(target)
+    version, folder = 1 + max((m["version"] for m in known), default=0), f"run_id={run_id}/write={uuid.uuid4().hex}"
+    df.drop("run_id").write.parquet(f"{path}/{folder}")
+    text = json.dumps({"run_id": run_id, "version": version, "folder": folder, "token": token}) + "\n"
+    system, place = _hadoop(spark, f"{path}/_manifests/run_id={run_id}")
+    system.mkdirs(place)
+    if not _publish(spark, f"{path}/_manifests/run_id={run_id}/version={version:08d}.json", text):
+        system.delete(_hadoop(spark, f"{path}/{folder}")[1], True)
+        raise RunExists(f"another writer published run id first: {run_id}")
+
+
+def read_run(spark: SparkSession, path: str, run_id: str | None = None, schema: T.StructType | str | None = None) -> DataFrame:
+    """Published rows of one run or of all, each run's newest version, with its ``run_id``. No run: an empty table of ``schema``."""
+    newest = manifests(spark, path, run_id).groupBy("run_id").agg(F.max_by("folder", "version").alias("folder")).collect()
+    if not newest:
+        return spark.createDataFrame([], schema or "run_id string").withColumn("run_id", F.lit(None).cast("string"))
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    found = reader.option("basePath", path).parquet(*[f"{path}/{m['folder']}" for m in newest])
+    return found.drop("write").withColumn("run_id", F.col("run_id").cast("string"))
+
+
+def drop_superseded(spark: SparkSession, path: str) -> int:
+    """Delete the folders of writes that a newer version replaced; returns how many there were."""
+    old = manifests(spark, path).withColumn("newest", F.max("version").over(Window.partitionBy("run_id"))).where("version < newest").collect()
+    gone = 0
+    for row in old:
+        system, folder = _hadoop(spark, f"{path}/{row['folder']}")
+        gone += bool(system.exists(folder) and system.delete(folder, True))
+    return gone
 
 
 def append_index(df: DataFrame, root: str, domain_id: str, batch: str | None = None) -> None:

@@ -2,31 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from casemill import fixed, schemas
 from casemill.functions.scalars import cell_key
 from casemill.operators.curate import curate, index_rows
 from casemill.operators.metrics import merge_coverage
 from casemill.session import checkpointed
-from casemill.sources import artifacts
+from casemill.sources import artifacts, lines
 
 # ------------------------------------------------------------------ ingest
 
 
-def stream_artifact(
-    spark: SparkSession, root: str, kind: str, files_per_batch: int = 1000, schema: T.StructType | None = None
-) -> DataFrame:
-    """A stream of one kind of log. New files are picked up; a file that grows is not read again, so
-    writers add one file per append (as ``append_artifact`` does)."""
-    return (
-        spark.readStream.schema(schema or schemas.ARTIFACTS[kind])
-        .option("mode", "FAILFAST")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .json(f"{root}/{kind}")
-    )
+def stream_artifact(spark: SparkSession, root: str, kind: str, schema: T.StructType | None = None, split: int = lines.SPLIT) -> DataFrame:
+    """A stream of one kind of log: the rows of new files, and the lines added to files that were read before.
+
+    Files are those ``read_artifact`` finds. A line still being written waits until it is whole, blank lines are
+    skipped and a malformed line fails the stream.
+    """
+    schema = schema or schemas.ARTIFACTS[kind]
+    raw = lines.stream_lines(spark, root, kind, split).where(F.trim("raw") != "")
+    row = F.from_json("raw", schema, {"mode": "FAILFAST"})
+    folder = lambda pattern: F.nullif(F.regexp_extract("file", pattern, 1), F.lit(""))
+    run = F.coalesce(folder(r"/run_id=([^/]+)/[^/]+$"), folder(rf"/([^/]+)/{kind}\.jsonl(?:/[^/]+)?$"))
+    rows = raw.select(row.alias("row"), run.alias("run")).select("row.*", "run")
+    if "run_id" in schema.names:  # the folder names it where the lines don't
+        rows = rows.withColumn("run_id", F.coalesce("run_id", "run"))
+    return rows.drop("run")
 
 
 # ------------------------------------------------------------------ node status
@@ -38,8 +46,8 @@ def _lookup(table: dict[str, str], key: Column) -> Column:
     return out
 
 
-def node_marks(events: DataFrame) -> DataFrame:
-    """(run_id, ord, node, mark, starts): what each event says about a node of its run's board.
+def node_marks(events: DataFrame, *keep: str) -> DataFrame:
+    """(run_id, ord, columns to keep, node, mark, starts): what each event says about a node of its run's board.
 
     ``events`` has run_id, ord and either a progress event (stage, stage_event) or a result (role,
     verdict, provider). ``mark`` is the status the event leaves; ``starts`` tells a start apart, because
@@ -62,7 +70,7 @@ def node_marks(events: DataFrame) -> DataFrame:
         .when(F.col("verdict").isNotNull() & done.isNotNull(), F.array(note(done, status, False)))
         .when(begun & started.isNotNull(), F.array(note(started, F.lit("running"), True)))
     )
-    return events.select("run_id", "ord", F.explode(marks).alias("m")).select("run_id", "ord", "m.*")
+    return events.select("run_id", "ord", *keep, F.explode(marks).alias("m")).select("run_id", "ord", *keep, "m.*")
 
 
 def _displaced(node: str) -> str:
@@ -98,6 +106,79 @@ def node_status(events: DataFrame) -> DataFrame:
     return boards.select("run_id", F.explode(F.array(*rows)).alias("r")).select("run_id", "r.*")
 
 
+class _Boards(StatefulProcessor):
+    """One board per run: the latest mark and the latest start of each node, until a timer ends the run."""
+
+    def __init__(self, idle_ms: int):
+        self.idle_ms = idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        node = T.StructType([T.StructField("ord", T.LongType()), T.StructField("mark", T.StringType()), T.StructField("start", T.LongType())])
+        self.nodes = handle.getMapState("nodes", "node string", node)
+        self.ends = handle.getValueState("ends", "at long")
+
+    def _rows(self, run: str, expired: bool) -> pd.DataFrame:
+        held = {key[0]: value for key, value in self.nodes.iterator()}
+        statuses = []
+        for node in fixed.BOARD_NODES:
+            ord_, mark, _ = held.get(node, (None, "pending", None))
+            rivals = [start for other, (_, _, start) in held.items() if other != node and not _parallel(other, node)]
+            moved = mark == "running" and max(rivals, default=-1) > ord_
+            statuses.append(_displaced(node) if moved else mark)
+        return pd.DataFrame({"run_id": run, "node": fixed.BOARD_NODES, "status": statuses, "expired": expired})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        latest: dict[str, tuple] = {}
+        last = self.ends.get()[0] if self.ends.exists() else None
+        seen = 0
+        for batch in rows:
+            seen = max(seen, int(batch["at_ms"].max()))
+            for node, ord_, mark, starts in batch[["node", "ord", "mark", "starts"]].itertuples(index=False):
+                if node not in latest:
+                    known = self.nodes.containsKey((node,))
+                    latest[node] = tuple(self.nodes.getValue((node,))) if known else (-1, "", -1)
+                held, old, start = latest[node]
+                latest[node] = (*((ord_, mark) if (ord_, mark) > (held, old) else (held, old)), max(start, ord_) if starts else start)
+        for node, (ord_, mark, start) in latest.items():
+            self.nodes.updateValue((node,), (int(ord_), mark, int(start)))
+        ends = seen + self.idle_ms
+        if last is None or ends > last:
+            if last is not None:
+                self.handle.deleteTimer(last)
+            self.handle.registerTimer(ends)
+            self.ends.update((ends,))
+        yield self._rows(key[0], False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield self._rows(key[0], True)
+        self.nodes.clear()
+        self.ends.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def stream_boards(events: DataFrame, time_col: str, idle: str = "1 hour", late: str = "0 seconds") -> DataFrame:
+    """(run_id, node, status, expired): ``stream_node_status`` with a state that ends.
+
+    State is keyed by run: a few numbers per node. Once the watermark, which trails the newest event time by ``late``,
+    has passed a run's last event by ``idle``, its board is reported once more as expired and leaves the state store.
+    Events that come later start the run's board anew. Needs the RocksDB state store, as keyed timers do.
+    """
+    flat = node_marks(events.withWatermark(time_col, late), time_col).withColumn("at_ms", F.unix_millis(time_col))
+    return flat.groupBy("run_id").transformWithStateInPandas(
+        statefulProcessor=_Boards(_milliseconds(idle)),
+        outputStructType="run_id string, node string, status string, expired boolean",
+        outputMode="update",
+        timeMode="eventTime",
+    )
+
+
+def _milliseconds(duration: str) -> int:
+    return int(pd.Timedelta(duration) / pd.Timedelta("1ms"))
+
+
 def stream_node_status(events: DataFrame) -> DataFrame:
     """The board of every run a micro-batch touches (update mode).
 

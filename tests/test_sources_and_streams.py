@@ -1,4 +1,5 @@
 import json
+import threading
 
 import pytest
 from fixtures import CASE, candidate, candidates
@@ -60,13 +61,8 @@ def test_lenient_events_keep_line_numbers(spark, tmp_path):
 def test_lines_are_numbered_across_splits(spark, tmp_path):
     lines = [f'{{"n": {n}, "pad": "{"x" * (n % 50)}"}}' if n % 7 else "no json" for n in range(1, 4001)]
     write_lines(tmp_path / "a.jsonl", lines)
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
-    try:
-        got = A.read_events_lenient(spark, str(tmp_path / "a.jsonl"))
-        rows = got.select("line_no", F.variant_get("event", "$.n", "int").alias("n")).collect()
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    got = A.read_events_lenient(spark, str(tmp_path / "a.jsonl"), split=2**14)
+    rows = got.select("line_no", F.variant_get("event", "$.n", "int").alias("n")).collect()
     assert sorted((r["line_no"], r["n"]) for r in rows) == [(n, n) for n in range(1, 4001) if n % 7]
 
 
@@ -107,7 +103,33 @@ def test_append_guarded_write_and_overwrite(spark, tmp_path):
     with pytest.raises(A.RunExists):
         A.write_run(rows, out, "r1")
     A.write_run(rows.limit(1), out, "r1", overwrite=True)
-    assert {r["run_id"]: r["count"] for r in spark.read.parquet(out).groupBy("run_id").count().collect()} == {"r1": 1, "r2": 1}
+    assert {r["run_id"]: r["count"] for r in A.read_run(spark, out).groupBy("run_id").count().collect()} == {"r1": 1, "r2": 1}
+    assert A.read_run(spark, out, "r2").count() == 1 and A.read_run(spark, out, "none", "verdict string").count() == 0
+    assert A.drop_superseded(spark, out) == 1 and A.drop_superseded(spark, out) == 0
+
+
+def test_of_racing_writers_exactly_one_wins(spark, tmp_path):
+    out, start, results = f"{tmp_path}/corpus", threading.Barrier(3), []
+
+    def write(n):
+        rows = spark.range(n).withColumn("writer", F.lit(n))
+        start.wait()
+        try:
+            A.write_run(rows, out, "r", token=f"writer-{n}")
+            results.append(n)
+        except A.RunExists:
+            results.append(0)
+
+    threads = [threading.Thread(target=write, args=(n,)) for n in (1, 2, 3)]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    (winner,) = [n for n in results if n]
+    assert len(results) == 3 and [r["writer"] for r in A.read_run(spark, out).collect()] == [winner] * winner
+    A.write_run(spark.range(9).withColumn("writer", F.lit(9)), out, "r", token=f"writer-{winner}")  # a replay
+    assert A.read_run(spark, out).count() == winner and len(list((tmp_path / "corpus" / "run_id=r").iterdir())) == 1
+    assert not A._publish(spark, f"{out}/_manifests/run_id=r/version=00000001.json", "{}")
 
 
 def test_index_and_coverage_round_trip(spark, tmp_path):
