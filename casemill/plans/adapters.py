@@ -97,7 +97,7 @@ def board_events(spark: SparkSession, sf: str) -> DataFrame:
     return board_events_from(table(spark, sf, "events"))
 
 
-def board_events_from(events: DataFrame) -> DataFrame:
+def board_events_from(events: DataFrame, *keep: Column | str) -> DataFrame:
     """Progress starts and results per run, as a board sees them."""
     e = events.withColumn("k", _k())
     begins = F.col("event_type").isin("view", "signup")
@@ -125,6 +125,7 @@ def board_events_from(events: DataFrame) -> DataFrame:
         F.when(~begins, role).alias("role"),
         F.when(~begins, F.when(F.col("k") % 4 == 0, F.lit("reject")).otherwise(F.lit("accept"))).alias("verdict"),
         F.when(~begins, F.when(F.col("k") % 5 == 0, F.lit("local")).otherwise(F.lit("remote"))).alias("provider"),
+        *keep,
     )
 
 

@@ -6,9 +6,9 @@ import uuid
 
 import pandas as pd
 from pyspark import TaskContext
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from casemill import schemas
 from casemill.plans import adapters as A
 from casemill.plans.sql import STAGES
 from casemill.session import ensure_checkpoint_dir
@@ -95,8 +95,7 @@ def tailed_records(spark, sf):
 
 @query(
     "lenient_events",
-    """WITH e AS (SELECT *, event_id % 7 <> 0 AS good FROM events)
-    SELECT event_id, event_type, true AS numbered_in_order, (SELECT count(*) FROM e WHERE good) AS kept FROM e WHERE good""",
+    "SELECT event_id, event_type, true AS numbered_in_order FROM events WHERE event_id % 7 <> 0",
 )
 def lenient_events(spark, sf):
     """A log with broken lines, read in small splits: numbers rise with the order in which lines were written."""
@@ -111,16 +110,61 @@ def lenient_events(spark, sf):
     # the writer dealt events to files by hash and sorted them, broken ones too: their numbers follow from the table
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     place = F.pmod(F.hash("event_id"), F.lit(parts))
-    wanted = e.select(F.col("event_id").alias("id"), F.row_number().over(_by_file(place)).alias("want"))
+    wanted = e.select(F.col("event_id").alias("id"), F.row_number().over(Window.partitionBy(place).orderBy("event_id")).alias("want"))
     checked = rows.join(wanted, F.col("event_id") == F.col("id"))
-    kept = rows.agg(F.count("*").alias("kept"))
-    return checked.join(F.broadcast(kept)).select("event_id", "event_type", (F.col("line_no") == F.col("want")).alias("numbered_in_order"), "kept")
-
-
-def _by_file(place):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(place).orderBy("event_id")
+    return checked.select("event_id", "event_type", (F.col("line_no") == F.col("want")).alias("numbered_in_order"))
+
+
+_ENDED = """e AS (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
+  m AS (SELECT 'run-' || user_id AS run_id, event_id AS ord, epoch_ms(ts) AS ms, event_type IN ('view', 'signup') AS starts,
+    CASE k % 6 WHEN 0 THEN 'generate' WHEN 1 THEN 'validate_det' WHEN 2 THEN 'quality_gate' WHEN 3 THEN 'rubric_gate' WHEN 4 THEN 'adversary' ELSE 'curate' END AS node,
+    CASE WHEN event_type IN ('view', 'signup') THEN 'running' WHEN k % 4 = 0 THEN 'reject' WHEN k % 5 = 0 THEN 'local' ELSE 'accept' END AS mark FROM e),
+  cut AS (SELECT (min(event_id) + max(event_id)) // 2 AS cut FROM events),
+  early AS (SELECT m.* FROM m, cut WHERE ord <= cut),
+  gone AS (SELECT run_id FROM early GROUP BY run_id HAVING max(ms) + 43200000 < (SELECT max(ms) FROM early)),
+  later AS (SELECT m.* FROM m, cut WHERE ord > cut OR run_id NOT IN (SELECT run_id FROM gone)),
+  over AS (SELECT run_id FROM later GROUP BY run_id HAVING max(ms) + 43200000 < (SELECT max(ms) FROM m)),
+  b AS (SELECT 0 AS drain, early.* FROM early JOIN gone USING (run_id) UNION ALL SELECT 1, later.* FROM later JOIN over USING (run_id)),
+  runs AS (SELECT DISTINCT drain, run_id FROM b),
+  nodes(node) AS (VALUES ('design'), ('validate_design_batch_det'), ('select_next_design'), ('audit_design'), ('generate'), ('validate_det'), ('adversary'),
+    ('revise_from_adversary'), ('quality_gate'), ('rubric_gate'), ('join_gates'), ('curate')),
+  last AS (SELECT drain, run_id, node, max(ord) AS ord, arg_max(mark, ord) AS mark FROM b GROUP BY ALL)
+  SELECT r.drain, r.run_id, n.node, CASE WHEN l.mark IS NULL THEN 'pending' WHEN l.mark = 'running' AND EXISTS (SELECT 1 FROM b m
+      WHERE m.drain = r.drain AND m.run_id = r.run_id AND m.starts AND m.ord > l.ord AND m.node <> n.node
+        AND NOT (m.node IN ('quality_gate', 'rubric_gate') AND n.node IN ('quality_gate', 'rubric_gate')))
+    THEN CASE WHEN n.node IN ('validate_design_batch_det', 'validate_det', 'curate') THEN 'local' ELSE 'pending' END ELSE l.mark END AS status,
+    CAST(1 AS BIGINT) AS times
+  FROM runs r CROSS JOIN nodes n LEFT JOIN last l ON l.drain = r.drain AND l.run_id = r.run_id AND l.node = n.node"""
+
+
+@query("expired_boards", f"WITH {_ENDED}")
+def expired_boards(spark, sf):
+    """Boards of runs that ended, reported once each: half of the events is drained first, the rest afterwards.
+
+    A run that ended in between starts anew with its later events.
+    """
+    e = A.table(spark, sf, "events")
+    ends = e.agg(F.min("event_id").alias("low"), F.max("event_id").alias("high")).first()
+    cut = ((ends["low"] or 0) + (ends["high"] or 0)) // 2
+    source, base, last = _place(spark, "events"), _place(spark, "boards"), -1
+    settings = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    out = None
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        for drain, half in enumerate((e.where(F.col("event_id") <= cut), e.where(F.col("event_id") > cut))):
+            half.repartition(1).write.mode("append").parquet(source)
+            stream = spark.readStream.schema(e.schema).parquet(source)
+            _drain(streams.stream_boards(A.board_events_from(stream, F.col("ts").cast("timestamp").alias("ts")), "ts", "12 hours"), base, "update")
+            boards = spark.read.parquet(f"{base}/out").where(F.col("expired") & (F.col("batch") > last))
+            seen = spark.read.parquet(f"{base}/out").agg(F.max("batch")).first()[0]
+            part = boards.withColumn("drain", F.lit(drain)).where(F.col("batch") <= seen)
+            out, last = part if out is None else out.unionByName(part), seen
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    return out.groupBy("drain", "run_id", "node", "status").agg(F.count("*").alias("times"))
 
 
 # ------------------------------------------------------------------ guarded writes
