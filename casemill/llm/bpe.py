@@ -3,6 +3,7 @@
 import base64
 import heapq
 import struct
+from array import array
 from collections.abc import Iterable
 
 import numpy as np
@@ -12,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemill.llm.common import most_frequent, stored
+from casemill.llm.common import most_frequent, packed, stored, unpacked
 
 #: Bits of a token id and of a position in a folded word; NONE is the rank of what does not merge, above all others.
 ID, ROOM = 17, 20
@@ -39,19 +40,19 @@ def java_pattern(pattern: str) -> str:
 def _slots(keys: Iterable[bytes], bits: int) -> np.ndarray:
     """Two tables of 2**bits slots each, laid end to end: every key's index stands in one of its two slots, -1 is empty."""
     mask = (1 << bits) - 1
-    hashes = [xxhash.xxh64_intdigest(k, seed=42) for k in keys]
-    table = np.full(2 << bits, -1, dtype=np.int32)
+    hashes = array("Q", (xxhash.xxh64_intdigest(k, seed=42) for k in keys))
+    table = array("i", [-1]) * (2 << bits)
     for at in range(len(hashes)):
         held, side = at, 0
         for _ in range(500):
             slot = (hashes[held] & mask) if side == 0 else (mask + 1 + (hashes[held] >> 24 & mask))
-            held, table[slot] = int(table[slot]), held
+            held, table[slot] = table[slot], held
             if held < 0:
                 break
             side = 1 - side if slot <= mask else 0
         else:
             raise RuntimeError("the table is too full")
-    return table
+    return np.frombuffer(table, dtype=np.int32)
 
 
 def _constant(spark: SparkSession, values: pa.Array) -> Column:
@@ -96,15 +97,15 @@ class RankMap:
         pieces = sorted(ranks, key=ranks.__getitem__)
         if [ranks[p] for p in pieces] != list(range(len(pieces))) or len(pieces) >= NONE:
             raise ValueError("ranks must be 0 .. n-1")
-        pairs = [
-            (a << ID | b, rank)
-            for piece, rank in ranks.items()
-            for a, b in ((ranks.get(piece[:cut]), ranks.get(piece[cut:])) for cut in range(1, len(piece)))
-            if a is not None and b is not None
-        ]
+        pairs = array("q")
+        for piece, rank in ranks.items():
+            for cut in range(1, len(piece)):
+                a, b = ranks.get(piece[:cut]), ranks.get(piece[cut:])
+                if a is not None and b is not None:
+                    pairs.append((a << ID | b) << ID | rank)
         self.bits = max(8, len(pairs).bit_length() + 1)
-        slots = _slots((struct.pack("<q", key) for key, _ in pairs), self.bits)
-        packed = np.array([key << ID | rank for key, rank in pairs] or [-1], dtype=np.int64)
+        slots = _slots((struct.pack("<q", pair >> ID) for pair in pairs), self.bits)
+        packed = np.array(pairs or [-1], dtype=np.int64)
         self.pairs = _constant(spark, pa.array(np.where(slots < 0, -1, packed[np.maximum(slots, 0)]), pa.int64()))
         self.bytes = _constant(spark, pa.array([ranks[bytes([b])] for b in range(256)], pa.int64()))
         self.texts = _constant(spark, pa.array(pieces, pa.binary())).cast("array<string>")
@@ -205,20 +206,25 @@ def words_of(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(java_pattern(pattern)), F.lit(0))
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", map_words: int = MAP_WORDS, fold_bytes: int = FOLD_BYTES) -> DataFrame:
+def encode(
+    docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", map_words: int = MAP_WORDS, fold_bytes: int = FOLD_BYTES,
+    rank_map: RankMap | None = None,
+) -> DataFrame:
     """``docs`` plus ``ids`` (array of int): every match of ``pattern`` in the text encoded by itself, no special tokens.
 
-    Null and empty texts have no ids; extra columns pass through; repeated rows are encoded like any other; an empty
-    table gives an empty result. The columns of ``docs`` must not be named ids.
+    Null and empty texts have no ids; extra columns pass through and one named ids, in any case, is replaced; repeated
+    rows are encoded like any other; an empty table gives an empty result. ``rank_map`` is that of ``ranks``, for callers
+    that decode with it too.
 
     The words of all documents are counted. The most frequent ones, a bounded number of bounded length, are folded
     once and become a constant word map; a word outside the map is folded where it stands. The map only saves work:
     ids are the same whatever it holds. Nothing but the distinct words is shuffled, never a text or a token.
     """
     spark = docs.sparkSession
-    rank_map = RankMap(spark, ranks)
-    words = words_of(F.col(text_col), pattern)
-    counts = stored(docs.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n")))
+    rank_map = rank_map or RankMap(spark, ranks)
+    rows = packed(docs, whole=F.col(text_col))
+    words = words_of(F.col("whole"), pattern)
+    counts = stored(rows.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n")))
     size = F.octet_length("word")
     short = most_frequent(counts.where(size <= MAP_WORD_BYTES), map_words)
     known = short.select("word", fold_word(F.col("word"), rank_map).alias("ids")).toArrow()
@@ -227,6 +233,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
     keys, ids = (known[name].combine_chunks() for name in ("word", "ids"))
     table = _slots((k.as_py().encode() for k in keys), bits)
     names = [_variable(spark, values) for values in (pa.array(table, pa.int32()), keys, ids)]
+    del known, keys, ids, table
     slots, map_keys, map_ids = (F.expr(name) for name in names)
 
     def in_place(word: Column) -> Column:
@@ -235,14 +242,15 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
 
     def built(out: DataFrame) -> DataFrame:
         """The plan holds the word map now; without its variables the driver is free of it when the plan goes."""
+        out = unpacked(out, ("ids",))
         out.schema  # analysed
         for name in names:
             spark.sql(f"DROP TEMPORARY VARIABLE IF EXISTS {name}")
         return out
 
-    plain = lambda d: d.withColumn("ids", F.flatten(F.transform(words_of(F.col(text_col), pattern), in_place)))
+    plain = lambda d: d.select("row", F.flatten(F.transform(words, in_place)).alias("ids"))
     if counts.where(size > fold_bytes).isEmpty():
-        return built(plain(docs))
+        return built(plain(rows))
 
     @F.pandas_udf("array<array<int>>")
     def by_heap(batch: pd.Series) -> pd.Series:
@@ -250,16 +258,19 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
 
     long = lambda w: F.octet_length(w) > fold_bytes
     has_long = F.exists(words, long)
-    rest = docs.where(has_long).withColumn("_words", words).withColumn("_long", F.filter("_words", long))
-    rest = rest.withColumn("_done", by_heap("_long"))
-    placed = lambda w: F.when(long(w), F.get("_done", F.array_position("_long", w) - 1)).otherwise(in_place(w))
-    rest = rest.withColumn("ids", F.flatten(F.transform("_words", placed))).select(*docs.columns, "ids")
-    return built(plain(docs.where(~has_long)).unionByName(rest))
+    rest = rows.where(has_long).select("row", words.alias("words")).withColumn("long", F.filter("words", long))
+    rest = rest.withColumn("done", by_heap("long"))
+    placed = lambda w: F.when(long(w), F.get("done", F.array_position("long", w) - 1)).otherwise(in_place(w))
+    rest = rest.select("row", F.flatten(F.transform("words", placed)).alias("ids"))
+    return built(plain(rows.where(~has_long)).unionByName(rest))
 
 
-def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids") -> DataFrame:
-    """``encoded`` plus ``decoded`` (binary): the pieces of the ids, one after the other. No ids give no bytes."""
-    texts = RankMap(encoded.sparkSession, ranks).texts
+def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", rank_map: RankMap | None = None) -> DataFrame:
+    """``encoded`` plus ``decoded`` (binary): the pieces of the ids, one after the other. No ids give no bytes.
+
+    A column named decoded, in any case, is replaced.
+    """
+    texts = (rank_map or RankMap(encoded.sparkSession, ranks)).texts
     whole = F.array_join(F.transform(ids_col, lambda i: F.get(texts, i)), "")
     return encoded.withColumn("decoded", whole.cast("binary"))
 

@@ -103,7 +103,9 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) by the public 50k vocabulary."""
     ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
-    out = bpe.decode(bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN), ranks)
+    rank_map = bpe.RankMap(spark, ranks)
+    out = bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN, rank_map=rank_map)
+    out = bpe.decode(out, ranks, rank_map=rank_map)
     return out.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),

@@ -5,7 +5,8 @@ from collections import Counter
 
 import public_tokenizers
 import tiktoken
-from test_dedup import FOLD, brute_components, brute_print
+from test_dedup import FOLD
+from test_near_stage import brute_stays
 from test_text_and_tokens import brute_mix, words
 
 import corpus_pipeline
@@ -37,8 +38,8 @@ def test_every_stage_matches_brute_force(spark, shared):
     assert single.columns == columns and ids(single.collect()) == sorted(largest.values())
 
     apart = stored(stage["near"](spark, single, SF))
-    roots = brute_components({r.doc_id: brute_print(r.text) for r in single.collect()})
-    assert apart.columns == columns and ids(apart.collect()) == sorted(set(roots.values()))
+    stays = brute_stays([(r.doc_id, r.text) for r in single.collect()])
+    assert apart.columns == columns and ids(apart.collect()) == stays
 
     mixed = stored(stage["mixing"](spark, apart, SF))
     rows = apart.collect()

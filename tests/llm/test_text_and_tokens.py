@@ -89,7 +89,7 @@ def test_tokens_match_the_library(docs, sample, ranks, room):
         (10**6 + 4, "  x \t\n\u3000\u0085 y\u00a0 z   "), (10**6 + 5, "!?" * 500 + "\r\n" * 90), (10**6 + 5, "again"),
     ]
     rows = [(r.doc_id, r.text) for r in sample.limit(60).collect()] + odd
-    out = bpe.decode(bpe.encode(docs(*rows, word=1, n=2), ranks, public_tokenizers.PATTERN, map_words=room), ranks).collect()
+    out = bpe.decode(bpe.encode(docs(*rows, word=1, n=2, ids=3, _words=4, long=5, done=6), ranks, public_tokenizers.PATTERN, map_words=room), ranks).collect()
     got = sorted(((r.doc_id, r.text, list(r.ids), bytes(r.decoded)) for r in out), key=str)
     assert got == sorted(((i, t, plain.encode_ordinary(t or ""), (t or "").encode()) for i, t in rows), key=str)
 
