@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import re
+from collections import defaultdict
+from collections.abc import Iterable
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from casemill.llm.common import packed, unpacked
+
 #: Fixed values of HTML: elements that start a block, that never hold one, and whose text is never shown.
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -17,13 +22,13 @@ BLOCKS = frozenset(
     "tbody td tfoot th thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style noscript template svg math iframe object audio video canvas head title".split())
+HIDDEN = frozenset("script style template head title".split())
 #: An element that ends the open element of the key's set when it starts (paragraphs, items, rows, cells).
 CLOSES = {
     "p": frozenset(["p"]), "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr", "td", "th"]),
     "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "option": frozenset(["option"]),
 }
-SCOPES = frozenset("article aside section div nav footer header main form table ul ol body html td th".split())
+SCOPES = frozenset("article aside section div nav footer header main form table ul ol body html".split())
 #: Words in tag names, classes, ids and roles that speak against or for main text.
 AGAINST = frozenset(
     "ad ads adv advert advertisement advertising aside banner breadcrumb breadcrumbs button byline comment comments complementary consent "
@@ -37,6 +42,8 @@ PLAIN = frozenset("html body div section span center b i em strong u small font
 _SPACE = re.compile(r"\s+")
 _NAMES = re.compile(r"[a-z0-9]+")
 
+#: Different tags, and different names, that a block knows of its ancestors: the outermost so many. Real pages have far fewer.
+KINDS = 256
 #: The training pages: about this many, chosen by hash of the page's id.
 SAMPLE = 600
 TURNS, RATE, PENALTY = 200, 0.4, 1e-4
@@ -44,20 +51,45 @@ TURNS, RATE, PENALTY = 200, 0.4, 1e-4
 NAMED = ("for", "against", "tag=", "name=")
 
 
+class Element(NamedTuple):
+    """An open element, with what it and its ancestors are called; sets are shared with the parent where nothing is new."""
+
+    tag: str
+    tags: frozenset[str]  # without those in PLAIN
+    names: frozenset[str]  # of class, id and role
+    block: str  # the nearest block element
+
+
+ROOT = Element("", frozenset(), frozenset(), "none")
+
+
+def _with(known: frozenset[str], more: Iterable[str]) -> frozenset[str]:
+    fresh = [m for m in dict.fromkeys(more) if m not in known][: KINDS - len(known)]
+    return known.union(fresh) if fresh else known
+
+
 class _Blocks(HTMLParser):
-    """Leaf blocks of a page: (text, ancestors, characters inside links). Ancestors are (tag, names of class, id, role)."""
+    """Leaf blocks of a page: (text, innermost element, characters inside links). Takes any input, in linear time."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, tuple[str, ...]]] = []
-        self.out: list[tuple[str, tuple, int]] = []
+        self.stack: list[Element] = []
+        self.places: defaultdict[str, list[int]] = defaultdict(list)  # where on the stack a tag is open
+        self.scopes: list[int] = []
+        self.out: list[tuple[str, Element, int]] = []
         self.text: list[str] = []
         self.linked = self.hidden = self.links = 0
 
+    def parse_html_declaration(self, i: int) -> int:
+        """A marked section is a comment up to the next ``>`` in HTML; the parser would raise on unknown ones."""
+        if not self.rawdata.startswith("<![", i):
+            return super().parse_html_declaration(i)
+        return self.rawdata.find(">", i) + 1 or len(self.rawdata)
+
     def flush(self) -> None:
         whole = _SPACE.sub(" ", "".join(self.text)).strip()
         if whole:
-            self.out.append((whole, tuple(self.stack), self.linked))
+            self.out.append((whole, self.stack[-1] if self.stack else ROOT, self.linked))
         self.text, self.linked = [], 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
@@ -68,14 +100,16 @@ class _Blocks(HTMLParser):
         if tag in VOID:
             return
         if tag in CLOSES:
-            for at in range(len(self.stack) - 1, -1, -1):
-                if self.stack[at][0] in CLOSES[tag]:
-                    self._close(at)
-                    break
-                if self.stack[at][0] in SCOPES and self.stack[at][0] not in ("td", "th"):
-                    break
-        names = tuple(n for k, v in attrs if k in ("class", "id", "role") and v for n in _NAMES.findall(v.lower()))
-        self.stack.append((tag, names))
+            at = max((self.places[t][-1] for t in CLOSES[tag] if self.places[t]), default=-1)
+            if at > (self.scopes[-1] if self.scopes else -1):
+                self._close(at)
+        over = self.stack[-1] if self.stack else ROOT
+        names = [n for k, v in attrs if k in ("class", "id", "role") and v for n in _NAMES.findall(v.lower())]
+        tags = over.tags if tag in PLAIN else _with(over.tags, [tag])
+        if tag in SCOPES:
+            self.scopes.append(len(self.stack))
+        self.places[tag].append(len(self.stack))
+        self.stack.append(Element(tag, tags, _with(over.names, names), tag if tag in BLOCKS else over.block))
         self.hidden += tag in HIDDEN
         self.links += tag == "a"
 
@@ -87,18 +121,19 @@ class _Blocks(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCKS:
             self.flush()
-        for at in range(len(self.stack) - 1, -1, -1):
-            if self.stack[at][0] == tag:
-                self._close(at)
-                break
+        if self.places[tag]:
+            self._close(self.places[tag][-1])
 
     def _close(self, at: int) -> None:
-        if any(t in BLOCKS for t, _ in self.stack[at:]):
+        if any(e.tag in BLOCKS for e in self.stack[at:]):
             self.flush()
-        for tag, _ in self.stack[at:]:
-            self.hidden -= tag in HIDDEN
-            self.links -= tag == "a"
+        for element in self.stack[at:]:
+            self.places[element.tag].pop()
+            self.hidden -= element.tag in HIDDEN
+            self.links -= element.tag == "a"
         del self.stack[at:]
+        while self.scopes and self.scopes[-1] >= at:
+            self.scopes.pop()
 
     def handle_data(self, data: str) -> None:
         if not self.hidden:
@@ -106,7 +141,7 @@ class _Blocks(HTMLParser):
             self.linked += len(data.strip()) if self.links else 0
 
 
-def leaf_blocks(html: str | None) -> list[tuple[str, tuple, int]]:
+def leaf_blocks(html: str | None) -> list[tuple[str, Element, int]]:
     parser = _Blocks()
     parser.feed(html or "")
     parser.close()
@@ -114,17 +149,14 @@ def leaf_blocks(html: str | None) -> list[tuple[str, tuple, int]]:
     return parser.out
 
 
-def _features(blocks: list[tuple[str, tuple, int]]) -> list[list[str]]:
+def _features(blocks: list[tuple[str, Element, int]]) -> list[list[str]]:
     out = []
-    for text, ancestors, linked in blocks:
-        tags = [t for t, _ in ancestors]
-        names = {n for _, ns in ancestors for n in ns}
-        every = names | set(tags)
+    for text, element, linked in blocks:
+        names, every, block = element.names, element.names | element.tags, element.block
         words = text.count(" ") + 1
         here = ["bias", "words=" + str(min(9, words.bit_length())), "links=" + str(int(4 * min(1.0, linked / len(text))))]
-        block = next((t for t in reversed(tags) if t in BLOCKS), "none")
         here.append("block=" + ("plain" if block in PLAIN else block))
-        here += ["tag=" + t for t in set(tags) - PLAIN] + ["name=" + n for n in names]
+        here += ["tag=" + t for t in element.tags] + ["name=" + n for n in names]
         if every & AGAINST:
             here.append("against")
         if every & FOR - {"body"}:
@@ -136,11 +168,10 @@ def _features(blocks: list[tuple[str, tuple, int]]) -> list[list[str]]:
     return out
 
 
-def _weak_label(block: tuple[str, tuple, int]) -> int:
+def _weak_label(block: tuple[str, Element, int]) -> int:
     """The label of a block on a training page whose markup tells: inside an article and nothing that speaks against."""
-    tags = {t for t, _ in block[1]}
-    names = {n for _, ns in block[1] for n in ns} | tags
-    return int(bool(tags & {"article", "main"}) and not names & AGAINST)
+    element = block[1]
+    return int(not element.tags.isdisjoint({"article", "main"}) and (element.names | element.tags).isdisjoint(AGAINST))
 
 
 class Model:
@@ -218,15 +249,15 @@ def train(pages: list[tuple[list[list[str]], list[int]]]) -> Model:
 
 
 def fit(pages: DataFrame, id_col: str, html_col: str, sample: int = SAMPLE) -> Model:
-    """A model from about ``sample`` pages whose markup has an article, labelled by that markup.
+    """A model from about ``sample`` of the pages whose markup has an article, labelled by that markup.
 
     Every page is seen three times: as it is; without what its ancestors are named, so that the text's own features get
     weights that carry over to pages without such names; and with every main block
     followed by the same block under an ancestor that speaks against it, so that this outweighs good prose anywhere.
     """
-    total = pages.count()
-    share = min(2**30, 2**30 * sample // max(1, total))
-    chosen = pages.where(F.pmod(F.xxhash64(id_col), F.lit(2**30)) < share).select(F.col(html_col).alias("html"))
+    telling = pages.where(F.col(html_col).rlike(r"(?i)<(article|main)[\s/>]"))
+    share = min(2**30, 2**30 * sample // max(1, telling.count()))
+    chosen = telling.where(F.pmod(F.xxhash64(id_col), F.lit(2**30)) < share).select(F.col(html_col).alias("html"))
 
     def learn(_: tuple, chunk: pd.DataFrame) -> pd.DataFrame:
         examples = []
@@ -261,7 +292,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", m
     A leaf block is the text between two starts or ends of block elements; character references are decoded, white
     space inside becomes one space, and main blocks are joined in page order by one space. Whole pages are read,
     however long. Null and empty pages have no text; repeated rows are extracted alike; an empty table gives an empty
-    result; a column named text is replaced, others pass through.
+    result; a column named text, in any case, is replaced, others pass through. No markup is too broken: the parser takes any input,
+    in time linear to its length.
 
     The model is trained once, in one task, on a bounded sample; extraction is one pass without a shuffle.
     """
@@ -271,6 +303,6 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", m
     def of(batch: pd.Series) -> pd.Series:
         return batch.map(lambda html: main_text(html, model), na_action=None)
 
-    kept = [c for c in pages.columns if c not in (html_col, "text")]
-    return pages.select(*kept, of(F.col(html_col)).alias("text"))
-
+    rows = packed(pages, whole=F.col(html_col)).select("row", of("whole").alias("text"))
+    own = [c for c in unpacked(rows, ("text",)).columns if c.lower() != html_col.lower()]
+    return unpacked(rows, ("text",)).select(*own)

@@ -1,5 +1,6 @@
 """Top-k search, URL filters and HTML extraction against brute force, and their odd inputs."""
 
+import time
 import math
 import random
 
@@ -161,3 +162,34 @@ def test_pages_without_a_teacher(spark, shared):
     frame = spark.createDataFrame([(1, "<p>words</p>", "mine"), (1, "<p>words</p>", "mine"), (None, None, "mine")], "page_id long, html string, text string")
     assert [r.text for r in html_crf.extract(frame).collect()] == ["", "", ""]
     assert html_crf.extract(frame.limit(0)).collect() == []
+
+
+def test_no_markup_stops_the_parser():
+    words = lambda html: [text for text, _, _ in html_crf.leaf_blocks(html)]
+    assert words("<p>a<![foo[x]]> b<p>c<![ ") == ["a b", "c"] and words("<![1[x><p>d") == ["d"]
+    assert words("<p>Let <math><mi>x</mi></math> be <noscript>real</noscript> <svg><text>here</text></svg><script>no</script>") == ["Let x be real here"]
+    pick = random.Random(8)
+    parts = ["<", ">", "<!", "<![", "]]>", "<!--", "-->", "</", "<p", "&#x", "&amp", ";", "<script>", "<div class=a>", "text ", "<?x", "=", '"', "<!doctype"]
+    for _ in range(3000):
+        html_crf.leaf_blocks("".join(pick.choices(parts, k=pick.randint(1, 12))))
+
+
+def test_deep_pages_take_linear_time():
+    deep = "".join(f"<div class=c{n}>t{n}" for n in range(40_000)) + "".join("</x></td><td>" for _ in range(40_000))
+    began = time.perf_counter()
+    blocks = html_crf.leaf_blocks(deep)
+    features = html_crf._features(blocks[:5])
+    assert len(blocks) == 40_000 and time.perf_counter() - began < 20 and "name=c0" in features[1]
+
+
+def test_one_article_among_many_pages_teaches(spark, shared):
+    article = "<html><body><nav><a href=x>Home</a></nav><article><p>" + "A long sentence of the story stands here. " * 5 + "</p></article></body></html>"
+    pages = spark.range(20_000).select(
+        F.col("id").alias("page_id"),
+        F.when(F.col("id") == 77, F.lit(article)).otherwise(F.lit("<div><ul><li><a href=x>x</a></ul></div>")).alias("html"),
+        F.lit("mine").alias("TEXT"),
+    )
+    out = html_crf.extract(pages)
+    assert out.columns == ["page_id", "text"]
+    found = {r.page_id: r.text for r in out.where("text <> ''").collect()}
+    assert found[77].startswith("A long sentence of the story") and "Home" not in found[77]
