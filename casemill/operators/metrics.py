@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -276,6 +278,67 @@ def experiment_metrics(grades: DataFrame) -> DataFrame:
     )
 
 
+_INDEX = re.compile("0|[1-9][0-9]*")
+
+
+def pointer(document: Column, path: str) -> Column:
+    """The value (variant) a JSON pointer names in a variant document; null where there is none.
+
+    ``/`` parts the steps, ``~1`` and ``~0`` stand for a slash and a tilde in a name. A step of digits is a position of an
+    array or a name of an object, whichever is there.
+    """
+    if path and not path.startswith("/"):
+        raise ValueError(f"not a JSON pointer: {path}")
+    value = document
+    for step in path.split("/")[1:]:
+        name = step.replace("~1", "/").replace("~0", "~")
+        if "'" in name and '"' in name:
+            raise ValueError(f"a name with both kinds of quotes cannot be reached: {path}")
+        quoted = f'$["{name}"]' if "'" in name else f"$['{name}']"
+        found = F.try_variant_get(value, quoted, "variant")
+        if _INDEX.fullmatch(name):
+            found = F.coalesce(F.try_variant_get(value, f"$[{name}]", "variant"), found)
+        value = found
+    return value
+
+
+def pointer_metrics(grades: DataFrame, definitions: DataFrame) -> DataFrame:
+    """(variant, metric, direction, trials, n, value): the mean of every defined metric per variant, in one pass.
+
+    ``grades``: variant, grade (JSON). ``definitions``: metric, pointer, direction (``higher`` or ``lower`` is better), one
+    row per metric; the few rows become expressions. Numbers and numbers in strings count as they are, booleans as 1 and
+    0; ``n`` trials have the value, others don't count for the mean.
+    """
+    defined = definitions.select("metric", "pointer", "direction").collect()
+    if any(d["direction"] not in ("higher", "lower") for d in defined):
+        raise ValueError("a metric is better higher or lower")
+    parsed = grades.select("variant", F.try_parse_json("grade").alias("v"))
+    number = lambda v: F.coalesce(F.try_variant_get(v, "$", "double"), F.try_variant_get(v, "$", "boolean").cast("double"))
+    read = parsed.select("variant", *[number(pointer(F.col("v"), d["pointer"])).alias(f"m{i}") for i, d in enumerate(defined)])
+    means = read.groupBy("variant").agg(
+        F.count("*").alias("trials"), *[f(f"m{i}").alias(f"{name}{i}") for i in range(len(defined)) for name, f in (("n", F.count), ("value", F.avg))]
+    )
+    row = lambda i, d: F.struct(
+        F.lit(d["metric"]).alias("metric"), F.lit(d["direction"]).alias("direction"), F.col(f"n{i}").alias("n"), F.col(f"value{i}").alias("value")
+    )
+    rows = F.explode(F.array(*[row(i, d) for i, d in enumerate(defined)])).alias("r")
+    return means.select("variant", "trials", rows).select("variant", "r.metric", "r.direction", "trials", "r.n", "r.value")
+
+
+def compare_variants(metrics: DataFrame, baseline: str) -> DataFrame:
+    """(metric, variant, value, baseline_value, change, outcome): every variant against the baseline.
+
+    ``change`` is positive where the variant is better in the metric's direction; ``outcome`` is better, worse, equal or,
+    where either side has no value, unknown.
+    """
+    base = metrics.where(F.col("variant") == baseline).select("metric", F.col("value").alias("baseline_value"))
+    sign = F.when(F.col("direction") == "lower", F.lit(-1.0)).otherwise(F.lit(1.0))
+    change = sign * (F.col("value") - F.col("baseline_value"))
+    outcome = F.when(change > 0, F.lit("better")).when(change < 0, F.lit("worse")).when(change == 0, F.lit("equal")).otherwise(F.lit("unknown"))
+    others = metrics.where(F.col("variant") != baseline).join(base, "metric", "left")
+    return others.select("metric", "variant", "value", "baseline_value", change.alias("change"), outcome.alias("outcome"))
+
+
 def merge_coverage(snapshot: DataFrame, commits: DataFrame) -> DataFrame:
     """(cell_key, n): the ledger plus one for every newly committed cell."""
     added = commits.groupBy(cell_key(F.col("cell")).alias("cell_key")).agg(F.count("*").alias("n"))

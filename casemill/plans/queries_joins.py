@@ -290,6 +290,37 @@ def experiment_metrics(spark, sf):
     return out.select("variant", "trials", *[F.round(c, 6).alias(c) for c in ("pass_rate", "score", "false_positive_count")])
 
 
+@query(
+    "experiment_comparison",
+    """WITH g AS (SELECT 'v' || (o_orderkey % 3) AS variant, o_orderstatus = 'F' AS passed, (o_orderkey % 100) / 100.0 AS score,
+      CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey % 7 END AS fps, o_totalprice AS cost FROM orders),
+    m AS (SELECT variant, count(*) AS trials, avg(passed::INT) AS passed, avg(score)::DOUBLE AS score, avg(fps) AS fps, avg(cost) AS cost FROM g GROUP BY 1),
+    l AS (SELECT variant, trials, unnest(['pass_rate', 'score', 'false_positives', 'cost', 'absent']) AS metric,
+      unnest([1, 1, -1, -1, 1]) AS sign, unnest([passed, score, fps, cost, NULL]) AS value FROM m)
+    SELECT l.metric, l.variant, round(l.value, 6) AS value, round(b.value, 6) AS baseline_value,
+      CASE WHEN l.value IS NULL THEN 'unknown' WHEN l.sign * (l.value - b.value) > 0 THEN 'better' WHEN l.value = b.value THEN 'equal' ELSE 'worse' END AS outcome
+    FROM l JOIN l b ON b.metric = l.metric AND b.variant = 'v0' WHERE l.variant <> 'v0'""",
+)
+def experiment_comparison(spark, sf):
+    """Metrics named by pointers into nested grades: escaped names, array positions, names of digits, absent ones."""
+    key = F.col("o_orderkey")
+    grade = F.struct(
+        F.struct((F.col("o_orderstatus") == "F").alias("pass/fail"), (key % 100 / 100).cast("string").alias("a~b")).alias("payload"),
+        F.array(F.struct(F.lit(0).alias("x")), F.struct(F.when(key % 5 != 0, key % 7).alias("x"))).alias("checks"),
+        F.struct(F.col("o_totalprice").alias("0")).alias("cost"),
+    )
+    definitions = spark.createDataFrame(
+        [
+            ("pass_rate", "/payload/pass~1fail", "higher"), ("score", "/payload/a~0b", "higher"), ("false_positives", "/checks/1/x", "lower"),
+            ("cost", "/cost/0", "lower"), ("absent", "/checks/7/x", "higher"),
+        ],
+        "metric string, pointer string, direction string",
+    )
+    grades = A.table(spark, sf, "orders").select(F.concat(F.lit("v"), (key % 3).cast("string")).alias("variant"), F.to_json(grade).alias("grade"))
+    out = M.compare_variants(M.pointer_metrics(grades, definitions), "v0")
+    return out.select("metric", "variant", F.round("value", 6).alias("value"), F.round("baseline_value", 6).alias("baseline_value"), "outcome")
+
+
 # ------------------------------------------------------------------ grading
 
 
@@ -445,6 +476,24 @@ def novel_vectors(spark, sf):
     )
 
 
+@query(
+    "approximate_neighbours",
+    "SELECT count(*) AS vectors, true AS recall_is_nine_tenths, true AS compared_are_fewer FROM embeddings",
+)
+def approximate_neighbours(spark, sf):
+    """Recall of the approximate search against the exact one over all vectors, and the comparisons both make."""
+    vectors = A.vectors(spark, sf)
+    near = lambda exact, name: nearest_distance(vectors, vectors, skip_self=True, exact=exact, counted=True).select(
+        "id", F.col("nn_distance").alias(name), F.col("compared").alias(f"{name}_n")
+    )
+    both = near(True, "whole").join(near(False, "part"), "id")
+    hit = F.coalesce(F.abs(F.col("part") - F.col("whole")) < 1e-9, F.col("whole").isNull())
+    return both.agg(
+        F.count("*").alias("vectors"), (F.avg(hit.cast("int")) >= 0.9).alias("recall_is_nine_tenths"),
+        (F.sum("part_n") < 0.75 * F.sum("whole_n")).alias("compared_are_fewer"),
+    )
+
+
 _SLOTS = """w AS (SELECT doc_id, md5(token) AS h FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '\\s+')) AS token FROM documents) WHERE token <> ''),
   s AS (SELECT doc_id, CAST(('0x' || h[1:8]) AS BIGINT) % 128 AS bucket, CASE WHEN CAST(('0x' || h[9:10]) AS BIGINT) % 2 = 0 THEN 1 ELSE -1 END AS sign FROM w),
   c AS (SELECT doc_id, bucket, sum(sign) AS weight FROM s GROUP BY ALL)"""
