@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,14 +49,49 @@ def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` to a new folder below spark.checkpoint.dir and read it back.
 
     Cuts the lineage like a checkpoint does, in columns: later reads take only what they need, and a lost
-    executor costs one read. The folder stays until the checkpoint folder is cleaned.
+    executor costs one read. The folder stays until the checkpoint folder is cleaned, or the ``scratch`` it is in ends.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}"
+    for folders in _SCRATCH.get()[-1:]:
+        folders.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Folders written in the scratch blocks that are open, innermost last.
+_SCRATCH: ContextVar[tuple[list[str], ...]] = ContextVar("scratch", default=())
+
+
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A block whose stored tables are deleted when it ends, but for those stored with the function it gives.
+
+    What is needed afterwards must be stored with that function: it belongs to the block around this one, if any.
+    """
+    outer = _SCRATCH.get()
+    folders: list[str] = []
+    token = _SCRATCH.set((*outer, folders))
+    sessions: list[SparkSession] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        inner = _SCRATCH.set(outer)
+        try:
+            sessions.append(df.sparkSession)
+            return stored(df)
+        finally:
+            _SCRATCH.reset(inner)
+
+    try:
+        yield keep
+    finally:
+        _SCRATCH.reset(token)
+        spark = sessions[0] if sessions else SparkSession.getActiveSession()
+        for folder in folders if spark is not None else ():
+            place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def most_frequent(counts: DataFrame, room: int) -> DataFrame:
     """The rows of ``counts`` whose n reaches the least power of two that lets at most ``room`` rows through.
 
