@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from casemill import schemas
 from casemill.operators import project as P
-from casemill.operators.metrics import merge_coverage, select_cases
+from casemill.operators.metrics import compare_variants, merge_coverage, pointer, pointer_metrics, select_cases
 from casemill.plans.reports import perf_report, run_report
 from casemill.sources import artifacts as A
 from casemill.sources import cases as K
 from casemill.sources import headlines as H
+from casemill.sources import lines
 from casemill.streaming import streams as T
 
 STAGE = {"run_id": "r", "role": "audit_design", "stage_kind": "design_audit", "verdict": "accept", "route_code": "accept", "latency_ms": 5}
@@ -336,3 +337,39 @@ def test_small_helpers(spark):
     assert spark.range(1).select(S.round4(F.lit(0.82505)), S.round4(F.lit(2 / 3))).first()[1] == 0.6667
     lines = embedding_text(candidates(spark, candidate())).first()["embedding_text"].split("\n")
     assert json.loads(lines[0])["prompt"] == CASE["prompt"] and lines[-1] == "billing" and json.loads(lines[3]) == {"name": "tracing"}
+
+
+def test_stream_follows_files_that_grow(spark, tmp_path):
+    root, log = tmp_path / "logs", tmp_path / "logs" / "r1" / "stage_records.jsonl"
+    line = lambda n: json.dumps({"role": f"role {n} é", "latency_ms": n}) + "\n"
+    write_lines(root / "r2" / "stage_records.jsonl", [line(9).strip(), "", line(10).strip()])
+    log.parent.mkdir(parents=True)
+    log.write_text(line(1) + line(2)[:7])
+
+    def drain():
+        writer = T.stream_artifact(spark, str(root), "stage_records", split=16).writeStream.format("parquet")
+        writer = writer.option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/state")
+        writer.trigger(availableNow=True).start().awaitTermination()
+        return sorted((r["run_id"], r["latency_ms"]) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+
+    assert drain() == [("r1", 1), ("r2", 9), ("r2", 10)]
+    log.write_text(line(1) + line(2) + line(3))
+    (root / "stage_records" / "run_id=r3").mkdir(parents=True)
+    (root / "stage_records" / "run_id=r3" / "part-0.json").write_text(line(4))
+    assert drain() == [("r1", 1), ("r1", 2), ("r1", 3), ("r2", 9), ("r2", 10), ("r3", 4)]
+    with pytest.raises(ValueError):
+        lines.LineStream({"path": str(root), "kind": "x"}).partitions({"f": 9}, {"f": 5})
+
+
+def test_pointers_escape_and_reach_into_arrays(spark):
+    grades = spark.createDataFrame(
+        [("a", json.dumps({"x/y": {"~": [1, {"0": True}]}, "0": "2.5"})), ("a", "not json"), ("b", json.dumps({"0": 4}))], "variant string, grade string"
+    )
+    rows = [("deep", "/x~1y/~0/1/0", "higher"), ("name", "/0", "lower"), ("none", "/x~1y/~0/01", "higher")]
+    found = pointer_metrics(grades, spark.createDataFrame(rows, "metric string, pointer string, direction string"))
+    got = {(r["variant"], r["metric"]): (r["trials"], r["n"], r["value"]) for r in found.collect()}
+    assert got["a", "deep"] == (2, 1, 1.0) and got["a", "name"] == (2, 1, 2.5) and got["b", "name"] == (1, 1, 4.0) and got["a", "none"] == (2, 0, None)
+    outcomes = {r["metric"]: (r["change"], r["outcome"]) for r in compare_variants(found, "a").collect()}
+    assert outcomes == {"deep": (None, "unknown"), "name": (-1.5, "worse"), "none": (None, "unknown")}
+    with pytest.raises(ValueError):
+        pointer(F.col("v"), "no/slash")
