@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from casemill import fixed
 from casemill.functions.scalars import contains_any, field, is_json_object
-from casemill.operators.document_schema import compile_schema, schema_errors
+from casemill.operators.document_schema import compile_schema, schema_errors, violations
 from casemill.operators.joins import divergence_label, paired_variants
 
 
@@ -126,12 +126,8 @@ def _command() -> Column:
     return F.try_variant_get(F.try_parse_json("arguments"), "$.command", "string")
 
 
-def trace_violations(events: DataFrame, trials: DataFrame | None = None) -> DataFrame:
-    """(trial, line_no, violation) of tool calls that touch hidden material or read records directly.
-
-    With ``trials``, a trial without any event is a violation of its own (line 0).
-    """
-    calls = events.where(F.col("event_type") == "tool_call_end")
+def _trespasses() -> Column:
+    """What a tool call touches that it must not, as an array of texts; empty for other events."""
     arguments = F.coalesce("arguments", F.lit("{}"))
     command = F.coalesce(_command(), F.lit(""))
     direct = F.lit(False)
@@ -153,7 +149,15 @@ def trace_violations(events: DataFrame, trials: DataFrame | None = None) -> Data
             ),
         )
     )
-    rows = calls.select("trial", "line_no", F.explode(found).alias("violation"))
+    return F.when(F.col("event_type") == "tool_call_end", found).otherwise(F.array().cast("array<string>"))
+
+
+def trace_violations(events: DataFrame, trials: DataFrame | None = None) -> DataFrame:
+    """(trial, line_no, violation) of tool calls that touch hidden material or read records directly.
+
+    With ``trials``, a trial without any event is a violation of its own (line 0).
+    """
+    rows = events.select("trial", "line_no", F.explode(_trespasses()).alias("violation"))
     if trials is None:
         return rows
     silent = trials.select("trial").join(events.select("trial").distinct(), "trial", "left_anti")
@@ -210,54 +214,64 @@ def variant_artifact(trials: DataFrame, events: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ trials
 
 
+def _log_facts(events: DataFrame) -> DataFrame:
+    """(trial, exposure, trespasses, one flag per required command): a log in as many rows as it has exposure commands.
+
+    One pass over the events; they combine before the shuffle, so a log with a third of all events stays small.
+    """
+    used = (F.col("event_type") == "tool_call_end") & (F.col("tool_name") == "Bash") & F.contains(_command(), F.lit(fixed.RISK_TOOL_PATH))
+    calls = events.select(
+        "trial", F.size(_trespasses()).alias("trespasses"), F.when(used, F.concat(F.lit(" "), _command(), F.lit(" "))).alias("command")
+    )
+    calls = calls.withColumn("exposure", F.when(F.contains("command", F.lit(" calculate_exposure ")), F.col("command")))
+    did = lambda text: F.coalesce(F.bool_or(F.contains("command", F.lit(text))), F.lit(False))
+    return calls.groupBy("trial", "exposure").agg(
+        F.sum("trespasses").alias("trespasses"),
+        did(" read_headline_pack").alias("read_headlines"),
+        did(" read_record ").alias("read_record"),
+        did(" submit_risk_scan ").alias("submitted"),
+    )
+
+
 def audit_trials(trials: DataFrame, oracles: DataFrame, events: DataFrame, response_schema: dict | None = None) -> DataFrame:
     """Failures of experiment trials: runtime, schema, tool path, exposure target, expected outcome.
 
-    ``oracles`` is (case_id, zero_alert_run, true_alerts typed).
+    ``trials`` has one row a trial; ``oracles`` is (case_id, zero_alert_run, true_alerts typed). A response is judged
+    inside its row, logs are read once, and all that is known of a trial meets in one grouping by trial. Trials of a
+    case without an oracle are left out, as are events of unknown trials; a trial without events has one violation.
     """
-    command = F.concat(F.lit(" "), "command", F.lit(" "))
-    calls = tool_calls(events)
+    unreadable = ~is_json_object(F.try_parse_json("response"))
+    if response_schema:
+        unreadable = unreadable | (F.size(violations(F.col("response"), compile_schema(response_schema))) > 0)
     target = F.get(F.get("true_alerts", F.lit(0))["hidden_dependency_path"], F.lit(0))
-    targets = trials.select("trial", "case_id").join(oracles.select("case_id", target.alias("entity")), "case_id")
-    used = (
-        calls.join(targets.select("trial", "entity"), "trial")
-        .groupBy("trial")
-        .agg(
-            *[F.bool_or(F.contains(command, F.lit(f" {c}"))).alias(c) for c in ("read_headline_pack",)],
-            F.bool_or(F.contains(command, F.lit(" read_record "))).alias("read_record"),
-            F.bool_or(F.contains(command, F.lit(" submit_risk_scan "))).alias("submit_risk_scan"),
-            F.bool_or(F.contains(command, F.lit(" calculate_exposure "))).alias("calculate_exposure"),
-            F.bool_or(F.contains(command, F.lit(" calculate_exposure ")) & F.contains("command", F.col("entity"))).alias("hit_target"),
-        )
-    )
-    broken = (
-        schema_errors(trials.select("trial", "response"), "response", compile_schema(response_schema), "trial")
-        .select("trial").distinct().withColumn("broken", F.lit(True))
-        if response_schema
-        else trials.select("trial", F.lit(False).alias("broken")).where(F.lit(False))
+    hidden = oracles.select("case_id", F.coalesce("zero_alert_run", F.lit(False)).alias("zero"), target.alias("entity"))
+    stated = trials.select(
+        "trial", "case_id", "variant", "passed",
+        F.coalesce((F.col("exit_status") != "0") | F.col("error").isNotNull(), F.lit(False)).alias("crashed"),
+        F.coalesce(unreadable, F.lit(True)).alias("unreadable"),
+    ).join(hidden, "case_id")
+    known = stated.columns
+    yes = lambda c: F.coalesce(F.bool_or(c), F.lit(False))
+    met = stated.join(_log_facts(events), "trial", "left").groupBy(*known).agg(
+        F.coalesce(F.sum("trespasses"), F.lit(1)).alias("violations"),
+        yes("read_headlines").alias("read_headlines"),
+        yes("read_record").alias("read_record"),
+        yes("submitted").alias("submitted"),
+        yes(F.col("exposure").isNotNull()).alias("exposed"),
+        yes(F.contains("exposure", F.col("entity"))).alias("hit_target"),
     )
-    violated = trace_violations(events, trials).groupBy("trial").agg(F.count("*").alias("violations"))
-    joined = (
-        trials.join(oracles.select("case_id", F.coalesce("zero_alert_run", F.lit(False)).alias("zero"), target.alias("entity")), "case_id")
-        .join(used, "trial", "left")
-        .join(broken, "trial", "left")
-        .join(violated, "trial", "left")
-    )
-    did = lambda c: F.coalesce(F.col(c), F.lit(False))
-    first = F.col("variant") == "evidence_first"
-    baseline = F.col("variant") == "baseline"
-    unreadable = ~is_json_object(F.try_parse_json("response"))
+    first, baseline = F.col("variant") == "evidence_first", F.col("variant") == "baseline"
     rules = [
-        ((F.col("exit_status") != "0") | F.col("error").isNotNull(), F.lit("agent runtime failed")),
-        (F.col("violations").isNotNull(), F.concat(F.lit("trace access violations: "), F.col("violations").cast("string"))),
-        (did("broken") | F.coalesce(unreadable, F.lit(True)), F.lit("final response is not schema-valid")),
+        (F.col("crashed"), F.lit("agent runtime failed")),
+        (F.col("violations") > 0, F.concat(F.lit("trace access violations: "), F.col("violations").cast("string"))),
+        (F.col("unreadable"), F.lit("final response is not schema-valid")),
         (
-            ~(did("read_headline_pack") & did("read_record") & did("submit_risk_scan")),
+            ~(F.col("read_headlines") & F.col("read_record") & F.col("submitted")),
             F.lit("trace does not use required workspace API/read/submit path"),
         ),
-        (first & ~did("calculate_exposure"), F.lit("evidence-first trace did not call calculate_exposure")),
+        (first & ~F.col("exposed"), F.lit("evidence-first trace did not call calculate_exposure")),
         (
-            first & F.col("entity").isNotNull() & ~did("hit_target"),
+            first & F.col("entity").isNotNull() & ~F.col("hit_target"),
             F.concat(F.lit("evidence-first exposure call did not target expected dependency "), "entity"),
         ),
         (first & ~F.col("passed"), F.lit("evidence-first did not pass hidden oracle")),
@@ -268,7 +282,7 @@ def audit_trials(trials: DataFrame, oracles: DataFrame, events: DataFrame, respo
     ]
     found = F.array_compact(F.array(*[F.when(F.coalesce(bad, F.lit(False)), why) for bad, why in rules]))
     label = F.concat_ws(":", "case_id", "variant")
-    return joined.select(label.alias("scope"), F.explode(found).alias("failure"))
+    return met.select(label.alias("scope"), F.explode(found).alias("failure"))
 
 
 def verify_experiment(

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemill import schemas
+from casemill import fixed, schemas
 from casemill.functions.scalars import strings
 from casemill.session import spread
 
@@ -489,3 +489,81 @@ def trace_events(spark: SparkSession, sf: str) -> DataFrame:
         body.alias("arguments"),
         F.col("text").alias("output_text"),
     )
+
+
+# ------------------------------------------------------------------ an experiment: customers are cases, orders trials, line items logs
+
+
+def _case_id(key: str) -> Column:
+    return F.concat(F.lit("case-"), F.col(key).cast("string"))
+
+
+def experiment_cases(spark: SparkSession, sf: str) -> DataFrame:
+    """(case_id, benchmark_case): one in eight lacks its prompt."""
+    c = table(spark, sf, "customer")
+    prompt = F.to_json(F.struct(F.col("c_name").alias("prompt")))
+    return c.select(_case_id("c_custkey").alias("case_id"), F.when(F.col("c_custkey") % 8 == 3, F.lit("{}")).otherwise(prompt).alias("benchmark_case"))
+
+
+def experiment_tasks(spark: SparkSession, sf: str) -> DataFrame:
+    """(case_id): one in nine customers has no task, one in nine has two."""
+    k = F.col("c_custkey") % 9
+    times = F.when(k == 5, 0).when(k == 6, 2).otherwise(1)
+    c = table(spark, sf, "customer").select("c_custkey", F.explode(F.array_repeat(F.lit(1), times)))
+    return c.select(_case_id("c_custkey").alias("case_id"))
+
+
+def experiment_oracles(spark: SparkSession, sf: str) -> DataFrame:
+    """(case_id, oracle JSON, zero_alert_run, true_alerts): every fourth case expects no alert."""
+    k = F.col("c_custkey")
+    alert = F.concat(F.lit('{"hidden_dependency_path":["E-'), (k % 3).cast("string"), F.lit('","asm"]}'))
+    text = F.when(k % 4 == 0, F.lit('{"true_alerts":[],"zero_alert_run":true,"note":"no current exposure"}')).otherwise(
+        F.concat(F.lit('{"true_alerts":['), alert, F.lit('],"zero_alert_run":false}'))
+    )
+    typed = F.from_json("oracle", f"zero_alert_run boolean, true_alerts array<{schemas.EXPECTED_ALERT.simpleString()}>")
+    rows = table(spark, sf, "customer").select(_case_id("c_custkey").alias("case_id"), text.alias("oracle"))
+    return rows.withColumn("typed", typed).select("case_id", "oracle", "typed.*")
+
+
+def experiment_files(spark: SparkSession, sf: str) -> DataFrame:
+    """(case_id, path, content): every required file of every case, with five kinds of fault by customer key."""
+    kind = F.col("c_custkey") % 10
+    required = fixed.REQUIRED_WORKSPACE_FILES
+    extra = F.when(kind == 3, F.array(F.lit("evaluation/notes.md"))).otherwise(strings())
+    paths = F.concat(F.array(*[F.lit(p) for p in required]), extra)
+    c = table(spark, sf, "customer").where(kind != 1).select("c_custkey", F.explode(paths).alias("path"))
+    heads = lambda n: F.lit("".join(f"## H{i:02d}\nnews\n\n" for i in range(1, n + 1)))
+    pack = F.when(kind == 4, heads(2)).when(kind == 5, F.concat(heads(8), F.lit("SO-7731 late"))).otherwise(heads(8))
+    content = F.when(F.col("path") == "events/headline-pack.md", pack).otherwise(F.lit("text"))
+    lacking = (kind == 2) & (F.col("path") == required[0])
+    return c.where(~lacking).select(_case_id("c_custkey").alias("case_id"), "path", content.alias("content"))
+
+
+def experiment_trials(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    answer = F.when(k % 17 == 0, F.lit("no JSON")).when(k % 19 == 0, F.lit('{"scan":1}')).otherwise(F.lit('{"scan":{"alerts":[]}}'))
+    return table(spark, sf, "orders").select(
+        k.alias("trial"), _case_id("o_custkey").alias("case_id"),
+        F.when(k % 2 == 0, F.lit("baseline")).otherwise(F.lit("evidence_first")).alias("variant"),
+        F.when(k % 11 == 0, F.lit("1")).otherwise(F.lit("0")).alias("exit_status"), (F.col("o_orderstatus") == "F").alias("passed"),
+        F.col("o_totalprice").alias("score"), answer.alias("response"), F.when(k % 13 == 0, F.lit("timed out")).alias("error"),
+    )
+
+
+def experiment_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items as log lines of their order: risk-tool calls, and now and then a call that reads what it must not."""
+    part = F.col("l_partkey")
+    kind, odd = (F.col("l_linenumber") + F.col("l_orderkey") % 3) % 6, part % 10 == 0
+    tool = f"python3 {fixed.RISK_TOOL_PATH} "
+    command = (
+        F.when(kind == 3, F.concat(F.lit(tool + "calculate_exposure --entity-id E-"), (part % 3).cast("string")))
+        .when((kind == 4) & odd, F.lit("cat records/orders.yaml"))
+        .when((kind == 5) & odd, F.lit("ls hidden"))
+        .otherwise(choose(kind, {0: tool + "read_headline_pack", 1: tool + "read_record records/bom.yaml", 2: tool + "submit_risk_scan out.json"}, "ls"))
+    )
+    return table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("trial"), F.col("l_linenumber").alias("line_no"),
+        F.when(part % 13 == 0, F.lit("message")).otherwise(F.lit("tool_call_end")).alias("event_type"),
+        F.when(F.col("l_suppkey") % 20 == 0, F.lit("Grep")).otherwise(F.lit("Bash")).alias("tool_name"),
+        F.to_json(F.struct(command.alias("command"))).alias("arguments"), F.lit("").alias("output_text"),
+    )

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from casemill import schemas
+from casemill import fixed, schemas
 from casemill.operators import audit as U
 from casemill.operators import checks as C
 from casemill.operators import project as P
@@ -250,3 +250,46 @@ def payload_candidates(spark, sf):
         "id", F.variant_get(case, "$.prompt", "string").alias("prompt"), F.concat_ws("|", "cell.case_type", "cell.difficulty", "cell.scenario").alias("cell"),
         F.size("judge_artifact.known_limits").alias("limits"), F.lit(1).cast("bigint").alias("copies"),
     )
+
+
+PROMPT_SCHEMA = {"type": "object", "required": ["prompt"], "properties": {"prompt": {"type": "string"}}}
+SCAN_SCHEMA = {"type": "object", "required": ["scan"], "properties": {"scan": {"type": "object"}}}
+
+
+@query(
+    "experiment_failures",
+    f"""WITH c AS (SELECT c_custkey AS k, 'case-' || c_custkey AS scope FROM customer),
+    e AS (SELECT l_orderkey AS trial, (l_linenumber + l_orderkey % 3) % 6 AS c, l_partkey % 3 AS x, l_partkey % 10 = 0 AS odd, l_suppkey % 20 = 0 AS grep
+      FROM lineitem WHERE l_partkey % 13 <> 0),
+    log AS (SELECT trial, count(*) FILTER ((c = 1 AND grep) OR (c IN (4, 5) AND odd)) AS v, count(DISTINCT c) FILTER (c < 3 AND NOT grep) AS steps,
+      bool_or(c = 3 AND NOT grep) AS asked, bool_or(c = 3 AND NOT grep AND x = 0) AS x0, bool_or(c = 3 AND NOT grep AND x = 1) AS x1,
+      bool_or(c = 3 AND NOT grep AND x = 2) AS x2 FROM e GROUP BY 1),
+    t AS (SELECT o_orderkey AS n, 'case-' || o_custkey || CASE WHEN o_orderkey % 2 = 0 THEN ':baseline' ELSE ':evidence_first' END AS scope,
+        o_orderkey % 2 = 0 AS base, o_orderstatus = 'F' AS passed, o_custkey % 4 = 0 AS zero, o_custkey % 3 AS x,
+        CASE WHEN trial IS NOT NULL THEN v WHEN o_orderkey IN (SELECT l_orderkey FROM lineitem) THEN 0 ELSE 1 END AS v, coalesce(steps, 0) AS steps,
+        coalesce(asked, false) AS asked, coalesce(CASE o_custkey % 3 WHEN 0 THEN x0 WHEN 1 THEN x1 ELSE x2 END, false) AS hit
+      FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN log ON trial = o_orderkey)
+    SELECT 'case_schema' AS section, scope, 'violates domain schema: : ''prompt'' is a required property' AS failure FROM c WHERE k % 8 = 3
+    UNION ALL SELECT 'corpus', scope, 'task rows contain duplicate ids' FROM c WHERE k % 9 = 6
+    UNION ALL SELECT 'corpus', scope, 'task rows and hidden oracles differ' FROM c WHERE k % 9 = 5
+    UNION ALL SELECT 'workspace', scope, CASE k % 10 WHEN 1 THEN 'workspace missing'
+      WHEN 2 THEN 'missing public workspace file {fixed.REQUIRED_WORKSPACE_FILES[0]}'
+      WHEN 3 THEN 'hidden/evaluation file leaked into workspace evaluation/notes.md' WHEN 4 THEN 'headline pack has 2 items, expected 8-12'
+      ELSE 'headline pack leaks internal ids SO-7731' END FROM c WHERE k % 10 BETWEEN 1 AND 5
+    UNION ALL SELECT 'run', 'run', 'run has ' || a || ' trials, expected ' || b FROM (SELECT (SELECT count(*) FROM orders) AS a, (SELECT 2 * count(*) FROM c) AS b) WHERE a <> b
+    UNION ALL SELECT 'trial', scope, 'agent runtime failed' FROM t WHERE n % 11 = 0 OR n % 13 = 0
+    UNION ALL SELECT 'trial', scope, 'trace access violations: ' || v FROM t WHERE v > 0
+    UNION ALL SELECT 'trial', scope, 'final response is not schema-valid' FROM t WHERE n % 17 = 0 OR n % 19 = 0
+    UNION ALL SELECT 'trial', scope, 'trace does not use required workspace API/read/submit path' FROM t WHERE steps < 3
+    UNION ALL SELECT 'trial', scope, 'evidence-first trace did not call calculate_exposure' FROM t WHERE NOT base AND NOT asked
+    UNION ALL SELECT 'trial', scope, 'evidence-first exposure call did not target expected dependency E-' || x FROM t WHERE NOT base AND NOT zero AND NOT hit
+    UNION ALL SELECT 'trial', scope, 'evidence-first did not pass hidden oracle' FROM t WHERE NOT base AND NOT passed
+    UNION ALL SELECT 'trial', scope, 'baseline pass=' || passed || ' expected ' || zero FROM t WHERE base AND passed <> zero""",
+)
+def experiment_failures(spark, sf):
+    """Every failure of an experiment whose cases are customers, trials orders and logs line items."""
+    oracles = A.experiment_oracles(spark, sf)
+    return U.verify_experiment(
+        A.experiment_cases(spark, sf), A.experiment_tasks(spark, sf), oracles, A.experiment_files(spark, sf), PROMPT_SCHEMA,
+        A.experiment_trials(spark, sf), A.experiment_events(spark, sf), oracles, SCAN_SCHEMA,
+    )

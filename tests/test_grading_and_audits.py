@@ -293,6 +293,24 @@ def test_clean_experiment_verifies_and_faults_surface(spark):
     }
 
 
+def test_trials_meet_their_logs_once(spark):
+    trials, events, typed = trial_frames(spark)
+    schema = {"type": "object", "required": ["scan"], "properties": {"scan": {"type": "object"}}}
+    odd = trials.withColumn("response", F.when(F.col("trial") == 0, F.lit(None)).when(F.col("trial") == 2, F.lit('{"scan":1}')).otherwise(F.col("response")))
+    # a log of many repeated calls, one of none, and events of a trial nobody knows
+    more = events.where("trial <> 4").unionByName(events.where("trial = 3").withColumn("x", F.explode(F.sequence(F.lit(1), F.lit(50)))).drop("x"))
+    stray = events.where("trial = 1").withColumn("trial", F.lit(99))
+    found = {(r["scope"], r["failure"]) for r in U.audit_trials(odd, typed, more.unionByName(stray), schema).collect()}
+    assert found == {
+        ("k1:baseline", "final response is not schema-valid"),
+        ("k2:baseline", "final response is not schema-valid"),
+        ("k3:baseline", "trace access violations: 1"),
+        ("k3:baseline", "trace does not use required workspace API/read/submit path"),
+    }
+    assert U.audit_trials(trials.limit(0), typed, events).count() == 0
+    assert U.audit_trials(trials, typed.where("case_id = 'k1'"), events.limit(0)).select("scope").distinct().count() == 2
+
+
 def test_demo_artifact_pairs_variants(spark):
     trials, events, _ = trial_frames(spark)
     row = U.demo_artifact(trials, "k1").first()
