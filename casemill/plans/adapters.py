@@ -222,6 +222,44 @@ def candidates(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def executable_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    """``candidates`` that bring a workspace; some declare another test command or hold a control character."""
+    payload = F.when(F.col("ord") % 41 == 0, F.lit('{"commands":{"test":"pytest"}}')).otherwise(F.lit('{"commands":{"test":"pytest -q"}}'))
+    artifact = F.struct(F.lit(fixed.WORKSPACE_KIND).alias("kind"), payload.alias("payload"))
+    source = F.col("provenance")["source"]
+    marked = F.when(F.col("ord") % 43 == 0, F.concat(source, F.lit("\x07"))).otherwise(source)
+    rows = candidates(spark, sf).withColumn("provenance", F.create_map(F.lit("source"), marked))
+    return rows.withColumn("agent_artifact", F.col("agent_artifact").withField("environment_artifact", artifact))
+
+
+def executable_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page as the first file of the candidate with its number, beside a module and, for most, a test."""
+    p = table(spark, sf, "pages")
+    key = F.col("page_id")
+    path = F.regexp_extract("url", r"^https?://[^/]+/([^?#]*)", 1)
+    path = F.when(key % 17 == 0, F.concat(F.lit("../"), path)).otherwise(path)
+    note = choose(key % 30, {4: " Root cause: the cache", 11: " see Starter Code, the intended fix", 19: " BUG: off"}, "")
+    content = F.when(key % 13 == 0, F.lit("# TODO")).otherwise(F.concat("html", note))
+    entry = lambda path, content: F.struct(path.alias("path"), content.alias("content"))
+    listed = F.array(entry(path, content), entry(F.lit("src/main.py"), F.lit("x = 1")), entry(F.lit("tests/test_main.py"), F.lit("assert x == 2")))
+    kept = F.slice(listed, 1, F.when(key % 6 == 0, 2).otherwise(3))
+    rows = p.select(F.concat(F.lit("cand-"), key.cast("string")).alias("candidate_id"), F.posexplode(kept).alias("ord", "file"))
+    return rows.select("candidate_id", "ord", "file.path", "file.content")
+
+
+def executable_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Recorded test runs of three in four candidates, with up to four failing files."""
+    d = table(spark, sf, "documents").where(F.col("doc_id") % 4 != 1)
+    lines = F.transform(
+        F.slice(F.sequence(F.lit(1), F.lit(5)), 1, (F.col("n_chars") % 5).cast("int")),
+        lambda i: F.concat(F.lit("FAILED tests/test_"), i.cast("string"), F.lit(".py::test_a - assert 1")),
+    )
+    return d.select(
+        F.concat(F.lit("cand-"), F.col("doc_id").cast("string")).alias("candidate_id"), (F.col("doc_id") % 3).cast("int").alias("returncode"),
+        F.array_join(lines, "\n").alias("stdout"), F.lit("").alias("stderr"), (F.col("doc_id") % 9 == 0).alias("timed_out"),
+    )
+
+
 def corpus(spark: SparkSession, sf: str) -> DataFrame:
     """Committed rows with the facts the run metrics look at."""
     d = table(spark, sf, "documents")

@@ -9,7 +9,7 @@ from casemill.operators import project as P
 from casemill.operators import workspace as W
 from casemill.plans import adapters as A
 from casemill.plans.batch import BatchInputs, run_batch, validate_candidates
-from casemill.plans.queries_checks import _V3, _V5, _V6, DOMAIN
+from casemill.plans.queries_checks import _V3, _V5, _V5_ROUTE, _V6, _V7, DOMAIN
 from casemill.sources import cases as K
 from casemill.sources.domain import Domain
 
@@ -252,6 +252,75 @@ def payload_candidates(spark, sf):
     )
 
 
+OUTPUT_SCHEMA = {
+    "type": "object",
+    "required": ["agent_artifact", "judge_artifact"],
+    "properties": {"ability_z": {"type": "object", "required": ["name"]}},
+}
+CODE_DOMAIN = Domain(
+    **{
+        **DOMAIN.__dict__,
+        "output_schema": OUTPUT_SCHEMA,
+        "case_schema": CASE_SCHEMA,
+        "rules": {**DOMAIN.rules, "execute_workspace_tests": True},
+    }
+)
+
+
+def _marker(column):
+    return "CASE " + " ".join(f"WHEN contains({column}, '{text}') THEN '{code}'" for code, text in fixed.LEAK_MARKERS) + " END"
+
+
+_EXECUTABLE = f"""p AS (SELECT page_id, CASE WHEN page_id % 17 = 0 THEN '../' ELSE '' END || regexp_extract(url, '^https?://[^/]+/([^?#]*)', 1) AS path,
+      CASE WHEN page_id % 13 = 0 THEN '# TODO' ELSE html || CASE page_id % 30 WHEN 4 THEN ' Root cause: the cache'
+        WHEN 11 THEN ' see Starter Code, the intended fix' WHEN 19 THEN ' BUG: off' ELSE '' END END AS content FROM pages),
+    w AS (SELECT page_id, {_marker("lower(content)")} AS leak, CASE WHEN page_id % 6 = 0 THEN 'missing_workspace' WHEN trim(path) = '' THEN 'invalid_workspace_file'
+        WHEN starts_with(path, '/') OR contains(path, '..') THEN 'invalid_workspace_path' WHEN trim(content) = '' THEN 'invalid_workspace_file'
+        WHEN lower(trim(content)) = '# todo' OR regexp_matches(lower(content), 'implementation omitted|content omitted|placeholder file|todo: implement|replace with actual')
+          THEN 'placeholder_workspace_file' END AS code FROM p),
+    j AS (SELECT doc_id, n_chars, text, {_marker("lower(text)")} AS told, leak, {_V3} AS v3, {_V5} AS v5, {_V6} AS v6,
+        coalesce({_V7}, CASE WHEN n_chars % 19 <> 0 AND doc_id % 41 = 0 THEN 'runtime_contract_mismatch' END) AS v7,
+        CASE WHEN page_id IS NULL THEN 'missing_workspace' WHEN code IS NOT NULL THEN code
+          WHEN n_chars % 23 = 0 OR n_chars % 19 = 0 OR n_chars % 4 = 0 OR doc_id % 4 = 1 THEN NULL
+          WHEN doc_id % 9 = 0 THEN 'workspace_test_timeout' WHEN doc_id % 3 = 1 AND n_chars % 5 > 2 THEN 'workspace_test_command_failed'
+          WHEN doc_id % 3 = 1 THEN NULL WHEN doc_id % 3 = 0 THEN 'workspace_tests_do_not_reproduce_failure'
+          ELSE 'workspace_test_command_failed' END AS environment
+      FROM documents LEFT JOIN w ON page_id = doc_id),
+    k AS (SELECT doc_id, unnest(['text_hygiene', 'output_schema', 'benchmark_case_schema', 'environment_artifact', 'runtime_requirements', 'answer_leakage',
+        'taxonomy_cell', 'benchmark_contract', 'benchmark_oracle']) AS check_id, unnest(range(9)) AS check_ord,
+      unnest([CASE WHEN doc_id % 43 = 0 THEN 'malformed_text' END, CASE WHEN n_chars % 29 = 0 THEN 'schema_violation' END,
+        CASE WHEN length(text) < 120 THEN 'schema_violation' END, environment, v7, coalesce(told, leak), v3, v5, v6]) AS code,
+      unnest(['reject_schema', 'reject_schema', 'reject_schema', 'reject_schema', 'reject_schema', 'reject_leakage', 'reject_coverage_mismatch',
+        {_V5_ROUTE}, 'reject_criteria_mismatch']) AS route FROM j)"""
+
+
+@query(
+    "executable_checks",
+    f"""WITH {_EXECUTABLE} SELECT 'cand-' || doc_id AS candidate_id, CAST(check_ord AS INT) AS check_ord, check_id, code IS NULL AS passed,
+      CASE WHEN code IS NULL THEN 'accept' ELSE route END AS route_code, coalesce(code, 'none') AS subcode FROM k""",
+)
+def executable_checks(spark, sf):
+    """All nine checks of an executable domain: one row per candidate and check, with pages as files and recorded runs."""
+    checks = validate_candidates(
+        A.executable_candidates(spark, sf), A.executable_files(spark, sf), CODE_DOMAIN, A.executable_runs(spark, sf)
+    )
+    return checks.select("candidate_id", "check_ord", "check_id", "passed", "route_code", F.coalesce("subcode", F.lit("none")).alias("subcode"))
+
+
+@query(
+    "executable_verdicts",
+    f"""WITH {_EXECUTABLE}, f AS (SELECT doc_id, arg_min(code, check_ord) FILTER (code IS NOT NULL) AS code, arg_min(route, check_ord) FILTER (code IS NOT NULL) AS route
+      FROM k GROUP BY 1) SELECT 'cand-' || doc_id AS candidate_id, CASE WHEN code IS NULL THEN 'accept' ELSE 'reject' END AS verdict,
+      coalesce(route, 'accept') AS route_code, coalesce(code, '') AS subcodes FROM f""",
+)
+def executable_verdicts(spark, sf):
+    """The verdict on every executable candidate: the first failing one of its nine checks."""
+    checks = validate_candidates(
+        A.executable_candidates(spark, sf), A.executable_files(spark, sf), CODE_DOMAIN, A.executable_runs(spark, sf)
+    )
+    return C.deterministic_verdict(checks).select("candidate_id", "verdict", "route_code", F.array_join("subcodes", ",").alias("subcodes"))
+
+
 PROMPT_SCHEMA = {"type": "object", "required": ["prompt"], "properties": {"prompt": {"type": "string"}}}
 SCAN_SCHEMA = {"type": "object", "required": ["scan"], "properties": {"scan": {"type": "object"}}}
 
