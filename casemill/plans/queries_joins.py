@@ -758,6 +758,26 @@ def streamed_dedup(spark, sf):
     return checked.groupBy("content_hash").agg(F.count("*").alias("kept"), F.bool_and(F.col("content_hash") == F.col("_hash")).alias("one_of_its_rows"))
 
 
+@query("streamed_curation", ORACLES["novel_vectors"])
+def streamed_curation(spark, sf):
+    """The verdicts of ``novel_vectors`` by a stream over three parts of the vectors, the last batch of which is repeated."""
+    root = f"{ensure_checkpoint_dir(spark)}/curation-{uuid.uuid4().hex}"
+    cell = F.struct(F.lit("t").alias("case_type"), F.lit(1).alias("difficulty"), F.lit("s").alias("scenario"))
+    vectors = A.vectors(spark, sf).withColumn("cell", cell)
+    last = vectors.agg(F.max("ord")).first()[0] or 0
+    for part in range(3):
+        low, high = (last + 1) * part // 3, (last + 1) * (part + 1) // 3
+        vectors.where((F.col("ord") >= low) & (F.col("ord") < high)).write.mode("append").parquet(f"{root}/in")
+        source = spark.readStream.schema(vectors.schema).parquet(f"{root}/in")
+        writer = streams.stream_curate(source, f"{root}/out", "vectors", 0.55).option("checkpointLocation", f"{root}/state")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    streams.curate_batch(vectors.where(F.col("ord") >= low), 2, f"{root}/out", "vectors", 0.55)
+    out = spark.read.parquet(f"{root}/out/verdicts")
+    return out.select(
+        "id", "verdict", F.array_join("subcodes", ",").alias("subcodes"), F.coalesce(F.round("nn_distance", 6), F.lit(-1.0)).alias("nn_distance")
+    )
+
+
 @query("streamed_board", f"WITH {_BOARD}")
 def streamed_board(spark, sf):
     out = _drained(streams.stream_node_status(A.board_events_from(_stream_events(spark, sf))), "update", spark)

@@ -248,22 +248,38 @@ def append_index(df: DataFrame, root: str, domain_id: str, batch: str | None = N
     """Append accepted vectors (embedding_ref, candidate_id, vector) to a domain's index.
 
     With a ``batch`` name the write replaces that batch's own folder, so repeating a batch after a
-    lost task or a restarted stream cannot add its vectors twice.
+    lost task or a restarted stream cannot add its vectors twice. Rows are partitioned by ``pivot``, the
+    group of a vector; -1, also where the column is missing, is no group and must always be read.
     """
-    rows = df.select("embedding_ref", "candidate_id", F.col("vector").cast("array<double>").alias("vector"))
+    pivot = F.col("pivot") if "pivot" in df.columns else F.lit(-1)
+    rows = df.select("embedding_ref", "candidate_id", F.col("vector").cast("array<double>").alias("vector"), pivot.cast("int").alias("pivot"))
     base = f"{root}/domain_id={domain_id}"
     if batch is None:
-        rows.write.mode("append").parquet(f"{base}/batch=open")
+        rows.write.mode("append").partitionBy("pivot").parquet(f"{base}/batch=open")
     else:
-        rows.write.mode("overwrite").parquet(f"{base}/batch={batch}")
+        rows.write.mode("overwrite").partitionBy("pivot").parquet(f"{base}/batch={batch}")
 
 
 def read_index(spark: SparkSession, root: str, domain_id: str) -> DataFrame:
     path = f"{root}/domain_id={domain_id}"
-    schema = "embedding_ref string, candidate_id string, vector array<double>"
-    if not path_exists(spark, f"{path}/batch=*"):
+    schema = "embedding_ref string, candidate_id string, vector array<double>, batch string, pivot int"
+    if not path_exists(spark, f"{path}/batch=*/pivot=*"):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema + ", batch string").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def index_pivots(spark: SparkSession, root: str, domain_id: str) -> list[list[float]] | None:
+    """The vectors that group a domain's index, of which there is a bounded number; None before they are chosen."""
+    path = f"{root}/domain_id={domain_id}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        return None
+    rows = spark.read.schema("pivot int, vector array<double>").parquet(path).orderBy("pivot").collect()
+    return [r["vector"] for r in rows]
+
+
+def write_index_pivots(spark: SparkSession, pivots: list[list[float]], root: str, domain_id: str) -> None:
+    rows = spark.createDataFrame(list(enumerate(pivots)), "pivot int, vector array<double>")
+    rows.write.mode("overwrite").parquet(f"{root}/domain_id={domain_id}")
 
 
 def coverage_snapshot(spark: SparkSession, root: str, domain_id: str, before: int | None = None) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from casemill import fixed, schemas
 from casemill.functions.scalars import cell_key
 from casemill.operators.curate import curate, index_rows
 from casemill.operators.metrics import merge_coverage
+from casemill.operators.neighbors import choose_pivots, nearest_distance, nearest_pivot, norm, reached_pivots, vector_width
 from casemill.session import checkpointed
 from casemill.sources import artifacts, lines
 
@@ -219,20 +222,51 @@ def stream_dedup(designs: DataFrame, time_col: str = "ts", watermark: str = "1 h
 # ------------------------------------------------------------------ curation
 
 
+def _pivots(rows: DataFrame, root: str, domain_id: str) -> np.ndarray:
+    """The pivots of a domain's index: chosen from the first batch that has vectors, then for good, so that groups stay."""
+    spark = rows.sparkSession
+    kept = artifacts.index_pivots(spark, root, domain_id)
+    if kept is None:
+        live = rows.where(norm(F.col("vector")) > 0)
+        chosen, _ = choose_pivots(live, vector_width(live))
+        if not len(chosen):
+            return chosen
+        artifacts.write_index_pivots(spark, chosen.tolist(), root, domain_id)
+        kept = chosen.tolist()
+    return np.array(kept)
+
+
 def curate_batch(batch: DataFrame, batch_id: int, root: str, domain_id: str, threshold: float) -> None:
     """Curate one micro-batch against everything earlier batches accepted.
 
+    The stored index is partitioned by the nearest pivot of a vector. A batch reads the partitions its vectors reach
+    within the threshold, which decide, and for the distances of what it accepts those that could hold something nearer
+    than the nearest found. The rest is pruned before it is opened, and results are those of the whole index.
+
     Every write of a batch lands in folders named after its id and replaces them, and the index and
-    ledger it reads are those of earlier batches, so replaying a batch changes nothing.
+    ledger it reads are those of earlier batches, so replaying a batch changes nothing. Pivots that a batch
+    chose before it failed are kept.
     """
     spark = batch.sparkSession
-    index = artifacts.read_index(spark, f"{root}/index", domain_id)
-    if "batch" in index.columns:
-        # vectors stored outside any batch ("open") count for every batch
-        earlier = F.coalesce(F.expr("try_cast(batch AS bigint)") < batch_id, F.lit(True))
-        index = index.where(earlier).select("embedding_ref", "candidate_id", "vector")
-    curated = checkpointed(curate(batch.select("id", "ord", "vector"), index, threshold))
-    artifacts.append_index(index_rows(curated, f"batch-{batch_id}"), f"{root}/index", domain_id, batch=str(batch_id))
+    kinds = {"id": "string", "ord": "bigint", "vector": "array<double>"}
+    rows = checkpointed(batch.select(*[F.col(c).cast(kind).alias(c) for c, kind in kinds.items()]))
+    pivots = _pivots(rows, f"{root}/pivots", domain_id)
+    # vectors stored outside any batch ("open") count for every batch
+    index = artifacts.read_index(spark, f"{root}/index", domain_id).where(F.coalesce(F.expr("try_cast(batch AS bigint)") < batch_id, F.lit(True)))
+    group = lambda numbers: index.where(F.col("pivot").isin(numbers)).select("embedding_ref", "candidate_id", "vector")
+    near = [-1, *reached_pivots(rows.withColumn("within", F.lit(math.acos(1.0 - threshold))), pivots)]
+    curated = checkpointed(curate(rows, group(near), threshold))
+    taken = curated.where(F.col("verdict") == "accept").select("id", "ord", "vector", "nn_distance")
+    reach = F.coalesce(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), 1.0 - F.col("nn_distance")))), F.lit(math.pi))
+    more = sorted(set(reached_pivots(taken.withColumn("within", reach), pivots)) - set(near))
+    if more:
+        members = group(more).select(F.concat(F.lit("stored:"), "candidate_id").alias("id"), F.lit(-1).cast("bigint").alias("ord"), "vector")
+        other = nearest_distance(taken, members).select("id", F.col("nn_distance").alias("other"))
+        least = F.least("nn_distance", "other").alias("nn_distance")
+        columns = [least if c == "nn_distance" else c for c in curated.columns]
+        curated = checkpointed(curated.join(other, "id", "left").select(*columns))
+    fresh = index_rows(curated, f"batch-{batch_id}").withColumn("pivot", nearest_pivot(F.col("vector"), pivots))
+    artifacts.append_index(fresh, f"{root}/index", domain_id, batch=str(batch_id))
     verdicts = curated.drop("vector")
     verdicts.write.mode("overwrite").parquet(f"{root}/verdicts/batch={batch_id}")
     commits = batch.join(curated.where(F.col("verdict") == "accept").select("id"), "id", "left_semi").select("cell")

@@ -301,6 +301,45 @@ def test_streamed_curation_runs_as_a_query(spark, tmp_path):
     assert A.read_index(spark, f"{tmp_path}/out/index", "dom").count() == 1
 
 
+def test_batches_reach_only_groups_that_can_hold_a_near_vector(spark, tmp_path):
+    import random
+
+    import numpy as np
+
+    from casemill.operators import neighbors as N
+    from casemill.operators.curate import curate
+
+    draw = random.Random(5)
+    centres = [[draw.gauss(0, 1) for _ in range(16)] for _ in range(6)]
+    near = lambda c, spread: [x + draw.gauss(0, spread) for x in c]
+    rows = [(f"v{n}", n, near(centres[n % 6], 0.2)) for n in range(90)] + [("z", 90, [0.0] * 16), ("short", 91, centres[1][:9])]
+    vectors = spark.createDataFrame(rows, "id string, ord bigint, vector array<double>")
+    pivots = N.unit_rows(centres, 16)
+    within = 0.2
+    placed = {r["id"]: r["p"] for r in vectors.select("id", N.nearest_pivot(F.col("vector"), pivots).alias("p")).collect()}
+    assert placed["v7"] == 1 and placed["z"] == -1
+    units = N.unit_rows([v for _, _, v in rows], 16)
+    for probe in (7, 8, 91):
+        got = N.reached_pivots(vectors.where(F.col("ord") == probe).withColumn("within", F.lit(within)), pivots)
+        angle = np.arccos(np.clip(units @ units[probe], -1, 1))
+        must = {placed[rows[i][0]] for i in range(90) if angle[i] <= within}
+        assert must <= set(got)
+    assert N.reached_pivots(vectors.where("id = 'v7'").withColumn("within", F.lit(within)), pivots) == [1]
+    assert N.reached_pivots(vectors.where("id = 'z'").withColumn("within", F.lit(0.0)), pivots) == list(range(6))
+    assert N.reached_pivots(vectors.limit(0).withColumn("within", F.lit(0.0)), pivots) == []
+
+    root = f"{tmp_path}/out"
+    cell = F.struct(F.lit("t").alias("case_type"), F.lit(1).alias("difficulty"), F.lit("s").alias("scenario"))
+    for n, (low, high) in enumerate(((0, 40), (40, 92))):
+        T.curate_batch(vectors.where((F.col("ord") >= low) & (F.col("ord") < high)).withColumn("cell", cell), n, root, "dom", 0.08)
+    columns = ("id", "verdict", "nn_distance")
+    told = lambda df: {r["id"]: (r["verdict"], r["nn_distance"] and round(r["nn_distance"], 9)) for r in df.select(*columns).collect()}
+    assert told(spark.read.parquet(f"{root}/verdicts")) == told(curate(vectors, threshold=0.08))
+    stored = A.read_index(spark, f"{root}/index", "dom")
+    assert stored.select("pivot").distinct().count() > 2 and stored.where("pivot = -1").count() == 1
+    assert stored.count() == spark.read.parquet(f"{root}/verdicts").where("verdict = 'accept'").count()
+
+
 def test_board_follows_starts_and_results(spark):
     shape = "run_id string, ord bigint, stage string, stage_event string, role string, verdict string, provider string"
     rows = [
