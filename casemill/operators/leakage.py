@@ -9,6 +9,7 @@ from casemill import fixed, schemas
 from casemill.functions.documents import json_nodes
 from casemill.functions.scalars import WHITESPACE, field
 from casemill.operators.checks import RULE
+from casemill.session import checkpointed
 
 
 def candidate_texts(cands: DataFrame, files: DataFrame | None = None) -> DataFrame:
@@ -155,8 +156,8 @@ def passage_hits(texts: DataFrame, passages: DataFrame) -> DataFrame:
 
     words = F.split(F.lower(F.col("text")), WHITESPACE)
     tokens = texts.select("id", F.explode(F.array_distinct(F.concat(words, _pairs_of(words)))).alias("token"))
-    # one row per (text, known key): narrow, map-side filtered when the key list is small
-    known = tokens.join(options.select("token").distinct(), "token", "left_semi")
+    # one row per (text, known key), written once: counted for the rarest keys, then joined to them
+    known = checkpointed(tokens.join(options.select("token").distinct(), "token", "left_semi"))
     frequency = known.groupBy("token").agg(F.count("*").alias("texts"))
     rarest = (
         options.join(frequency, "token")
@@ -172,9 +173,9 @@ def passage_hits(texts: DataFrame, passages: DataFrame) -> DataFrame:
         ).otherwise(F.array().cast("array<string>"))
         pieces = own.select("token").distinct().select("token", F.explode(F.array_distinct(F.flatten(F.array(*[cut(n) for n in sizes])))).alias("piece"))
         by_piece = pieces.join(short, "piece").select("token", "passage_id")
-        found = tokens.join(rarest, "token").select("id", "passage_id").unionByName(own.join(by_piece, "token").select("id", "passage_id"))
+        found = known.join(rarest, "token").select("id", "passage_id").unionByName(own.join(by_piece, "token").select("id", "passage_id"))
     else:
-        found = tokens.join(rarest, "token").select("id", "passage_id")
+        found = known.join(rarest, "token").select("id", "passage_id")
     verified = (
         found.distinct()
         .join(texts.select("id", F.lower("text").alias("text")), "id")
