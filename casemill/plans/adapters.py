@@ -150,10 +150,10 @@ def designs(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def candidates(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents as candidates: what the rules look at varies with the document's length and id."""
+def candidates(spark: SparkSession, sf: str, turn: int = 0) -> DataFrame:
+    """Documents as candidates: what the rules look at varies with the document's length plus ``turn``, and its id."""
     d = spread(table(spark, sf, "documents"))
-    n = F.col("n_chars")
+    n = F.col("n_chars") + turn
     listed = lambda text, count: F.array_repeat(F.lit(text), count)
     criterion = lambda when: F.when(when, F.lit("")).otherwise(F.lit("criterion"))
     judge = F.struct(

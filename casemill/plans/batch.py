@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, fields, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -100,7 +101,7 @@ class BatchInputs:
     exec_results: DataFrame | None = None
     index: DataFrame | None = None
     coverage: DataFrame | None = None
-    target_n: int = 5
+    target_n: int | None = 5  # None: no target, the whole queue is curated
     meta: DataFrame | None = None  # (artifact_id, model and revision columns) for the stage records
 
 
@@ -288,3 +289,44 @@ def run_batch(inputs: BatchInputs, domain: Domain) -> BatchOutputs:
         validation=reduce(DataFrame.unionByName, [*det_rows, *gate_rows, curation_rows]),
         coverage=merge_coverage(snapshot, corpus),
     )
+
+
+def run_batches(first: BatchInputs, domain: Domain, regenerate: Callable[[DataFrame, int], BatchInputs]) -> BatchOutputs:
+    """``first`` and the batches that follow from it, until nothing is to be regenerated or the target is met.
+
+    ``regenerate(open_rows, turn)`` gets the decision rows of the last batch that send a candidate back to generation, with
+    their guidance, and gives the inputs of batch number ``turn``: candidates under ids of their own and what providers say
+    about them. Their designs, run id, index, coverage and target are set here, as is the retry index, one more than that of
+    the design's rejected candidate; candidates of designs that are not open are left out. So every batch works on what
+    the last one rejected and on nothing else, and routing ends a design after the domain's generation retries whatever
+    ``regenerate`` gives. A design for which nothing comes stays open. An empty first batch gives empty tables.
+
+    Outputs are those of all batches stacked; coverage is the ledger after the last and envelopes are the first's designs.
+    """
+    outputs, inputs, left = [], first, first.target_n
+    index = None if first.index is None else first.index.select("candidate_id", "vector")
+    for turn in range(1, domain.max_generation_retries + 2):
+        out = run_batch(inputs, domain)
+        out = replace(out, index_rows=checkpointed(out.index_rows), coverage=checkpointed(out.coverage))
+        outputs.append(out)
+        if left is not None:
+            left -= out.index_rows.count()
+        open_rows = out.decisions.where((F.col("verdict") == "reject") & ~F.col("terminal") & (F.col("next_stage") == "generation"))
+        open_rows = checkpointed(open_rows.where(F.col("candidate_id").isNotNull()))
+        if (left is not None and left <= 0) or open_rows.isEmpty():
+            break
+        taken = out.index_rows.select("candidate_id", "vector")
+        index = taken if index is None else index.unionByName(taken)
+        again = open_rows.groupBy("design_id").agg((F.max("retry_index") + 1).cast("int").alias("retry_index"))
+        inputs = regenerate(open_rows, turn)
+        inputs = replace(
+            inputs,
+            run_id=first.run_id,
+            designs=first.designs.join(again.select(F.col("design_id").alias("id")), "id", "left_semi").select(*first.designs.columns),
+            candidates=inputs.candidates.drop("retry_index").join(again, "design_id"),
+            index=index,
+            coverage=out.coverage,
+            target_n=left,
+        )
+    stacked = {f.name: reduce(DataFrame.unionByName, [getattr(out, f.name) for out in outputs]) for f in fields(BatchOutputs)}
+    return BatchOutputs(**stacked | {"coverage": outputs[-1].coverage, "envelopes": outputs[0].envelopes})

@@ -1,5 +1,8 @@
 """Registered queries: whole-candidate validation, case sets, prompts, views and audits."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casemill import fixed, schemas
@@ -8,7 +11,7 @@ from casemill.operators import checks as C
 from casemill.operators import project as P
 from casemill.operators import workspace as W
 from casemill.plans import adapters as A
-from casemill.plans.batch import BatchInputs, run_batch, validate_candidates
+from casemill.plans.batch import BatchInputs, run_batch, run_batches, validate_candidates
 from casemill.plans.queries_checks import _V3, _V5, _V5_ROUTE, _V6, _V7, DOMAIN
 from casemill.sources import cases as K
 from casemill.sources.domain import Domain
@@ -90,6 +93,62 @@ def batch_outcomes(spark, sf):
     return ends.groupBy(F.regexp_replace("candidate_id", "-rev$", "").alias("candidate_id")).agg(F.count("*").alias("outcomes"), F.min(stage).alias("stage"))
 
 
+def _code(turn):
+    """SQL: the first failing rule of a document's candidate in batch number ``turn``."""
+    return f"""coalesce(CASE WHEN length(text) < 120 THEN 'schema_violation' END, {_V3}, {_V5}, {_V6})""".replace("n_chars", f"(n_chars + {turn})")
+
+
+@query(
+    "regenerated_batches",
+    f"""WITH j AS (SELECT *, sha256(text) AS hash, {_V3.replace("WHEN source", "WHEN 1 + n_chars % 5 > 4 THEN 'unknown_difficulty' WHEN source")} AS bad
+      FROM documents),
+    k AS (SELECT hash, min(doc_id) FILTER (bad IS NULL) AS kept FROM j GROUP BY 1),
+    t AS (SELECT j.*, r, 'cand-' || doc_id || CASE WHEN r > 0 THEN '-try' || r ELSE '' END AS cand, coalesce({_code("r")},
+        CASE WHEN (doc_id + r) % 7 = 3 THEN 'provider_error' WHEN (doc_id + r) % 5 = 0 THEN 'adversary_nuke' END) AS code
+      FROM j JOIN k USING (hash), range(3) AS turns(r) WHERE doc_id = kept),
+    a AS (SELECT * FROM (SELECT *, coalesce(min(r) FILTER (code IS NULL) OVER (PARTITION BY doc_id), 2) AS last FROM t) WHERE r <= last)
+    SELECT 'corpus' AS output, 'run-all-committed-' || cand AS id, 'design-' || doc_id AS detail, CAST(r AS BIGINT) AS n FROM a WHERE code IS NULL
+    UNION ALL SELECT 'index', sha256('{{"candidate_id":"' || cand || '","run_id":"run-all"}}'), cand, 1 FROM a WHERE code IS NULL
+    UNION ALL SELECT 'ledger', lang || '|' || (1 + n_chars % 5) || '|' || source, '', count(*) FROM a WHERE code IS NULL GROUP BY 2
+    UNION ALL SELECT 'snapshots', cand, 'design-' || doc_id || ' ' || hash, r FROM a
+    UNION ALL SELECT 'rejections', cand, code || CASE WHEN r = 2 THEN ' ends' ELSE '' END, r FROM a WHERE code IS NOT NULL
+    UNION ALL SELECT 'rejections', unnest(['cand-' || doc_id, 'design-' || doc_id]),
+      CASE WHEN doc_id > kept THEN 'duplicate_design' ELSE bad END || ' ends', 0 FROM j JOIN k USING (hash) WHERE doc_id IS DISTINCT FROM kept""",
+)
+def regenerated_batches(spark, sf):
+    """Corpus, index, ledger, snapshots and rejections of a run whose rejected candidates are regenerated until they end."""
+    domain = Domain(**{**TEXT_DOMAIN.__dict__, "novelty_threshold": 1e-9})
+    designs = A.designs(spark, sf)
+    verdict = lambda ids, kind: ids.select(
+        "candidate_id", F.lit(kind).alias("check_kind"), F.lit("accept").alias("verdict"), F.lit("accept").alias("route_code"),
+        F.array().cast("array<string>").alias("subcodes"),
+    )
+
+    def batch(turn):
+        made = A.candidates(spark, sf, turn)
+        made = made.withColumn("id", F.concat("id", F.lit(f"-try{turn}"))) if turn else made
+        ids = made.select(F.col("id").alias("candidate_id"), (F.col("ord") + turn).alias("at"))
+        reports = ids.where("at % 7 <> 3").select("candidate_id", F.when(F.col("at") % 5 == 0, "nuke").otherwise("pass").alias("revision_disposition"))
+        return BatchInputs(
+            "run-all", designs, made, spark.createDataFrame([], schemas.FILES), reports, verdict(ids, "quality"), verdict(ids, "rubric"), target_n=None,
+        )
+
+    out = run_batches(batch(0), domain, lambda _, turn: batch(turn))
+    row = lambda df, output, id, detail, n: df.select(
+        F.lit(output).alias("output"), id.alias("id"), detail.alias("detail"), n.cast("bigint").alias("n")
+    )
+    ends = F.when(F.col("terminal"), " ends").otherwise("")
+    hashed = F.get_json_object("candidate", "$.content_hash")
+    tables = [
+        row(out.corpus, "corpus", F.col("committed_id"), F.col("design_id"), F.col("retry_index")),
+        row(out.index_rows, "index", F.col("embedding_ref"), F.col("candidate_id"), F.lit(1)),
+        row(out.coverage, "ledger", F.col("cell_key"), F.lit(""), F.col("n")),
+        row(out.snapshots, "snapshots", F.col("candidate_id"), F.concat_ws(" ", "design_id", hashed), F.col("retry_index")),
+        row(out.rejections, "rejections", F.coalesce("candidate_id", "design_id"), F.concat(F.array_join("subcodes", ","), ends), F.col("retry_index")),
+    ]
+    return reduce(DataFrame.unionByName, tables)
+
+
 @query(
     "instruction_designs",
     """SELECT 'run-' || doc_id || '-instruction-design' AS id, 'en|3|src0' AS cell, text AS design_intent, text AS first_pressure,

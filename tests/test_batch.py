@@ -4,7 +4,7 @@ from fixtures import DOMAIN, candidate, candidates, files
 from test_checks import FAILED, design
 
 from casemill import schemas
-from casemill.plans.batch import BatchInputs, run_batch
+from casemill.plans.batch import BatchInputs, run_batch, run_batches
 from casemill.operators.joins import join_gates
 from casemill.operators.route import route
 
@@ -92,3 +92,44 @@ def test_one_pass_over_a_batch(spark):
     assert out.envelopes.count() == len(designs)
     kinds = {r["check_kind"]: r["n"] for r in out.validation.groupBy("check_kind").count().withColumnRenamed("count", "n").collect()}
     assert kinds["deterministic"] == 12 and kinds["quality"] == 5 and kinds["curation"] >= 3
+
+
+def test_rejected_candidates_go_round_until_they_end(spark):
+    def inputs(names, target, **prompts):
+        rows = []
+        for i, n in enumerate(names):
+            design_name, word = n.split("-")[0], prompts.get(n.replace("-", "_"), n)
+            row = candidate(n, i, design=f"d-{design_name}", case={"prompt": f"Case {word}: find why the {word} ledger drifts from its journal and repair it."})
+            if word == "leak":
+                row = candidate(n, i, design=f"d-{design_name}", case={"prompt": "The root cause: a sign. Please repair the ledger now."})
+            body = json.loads(row["agent_artifact"]["benchmark_case"])
+            body["setup"] = " ".join(f"{word}{j}" for j in range(400))
+            row["agent_artifact"]["benchmark_case"] = json.dumps(body)
+            rows.append(row)
+        ids = [(n,) for n in names]
+        accept = lambda kind: spark.createDataFrame([(n, kind, "accept", "accept", []) for n, in ids], VERDICT)
+        return BatchInputs(
+            "run", spark.createDataFrame([design(f"d-{n}", i) for i, n in enumerate(["good", "mended", "copied", "hopeless"])], schemas.DESIGNS),
+            candidates(spark, *rows), files(spark, *names), spark.createDataFrame([(n, "pass") for n in names], "candidate_id string, revision_disposition string"),
+            accept("quality"), accept("rubric"), exec_results=spark.createDataFrame([(n, *FAILED[0][1:]) for n in names], schemas.EXEC_RESULTS), target_n=target,
+        )
+
+    first = lambda target: inputs(["good", "mended", "copied", "hopeless"], target, mended="leak", copied="leak", hopeless="leak")
+    asked = []
+
+    def regenerate(open_rows, turn):
+        asked.append(sorted(r["design_id"] for r in open_rows.collect()))
+        # "good" is not open: what comes for it is left out
+        return inputs([f"{n}-{turn}" for n in ("good", "mended", "copied", "hopeless")], None, copied_1="good", **{f"hopeless_{turn}": "leak"})
+
+    out = run_batches(first(None), DOMAIN, regenerate)
+    assert asked == [["d-copied", "d-hopeless", "d-mended"], ["d-hopeless"]]
+    assert {r["id"]: r["retry_index"] for r in out.corpus.collect()} == {"good": 0, "mended-1": 1}
+    assert sorted(r["candidate_id"] for r in out.index_rows.collect()) == ["good", "mended-1"]
+    ends = {r["candidate_id"]: (r["route_code"], r["retry_index"]) for r in out.rejections.where("terminal").collect()}
+    assert ends == {"copied-1": ("reject_duplicate", 1), "hopeless-2": ("drop_retry_exhausted", 2)}
+    assert out.coverage.first()["n"] == 2 and out.envelopes.count() == 4 and out.snapshots.count() == 4 + 3 + 1
+
+    asked.clear()
+    out = run_batches(first(1), DOMAIN, regenerate)
+    assert asked == [] and [r["id"] for r in out.corpus.collect()] == ["good"]
