@@ -59,6 +59,34 @@ def test_segments_stop_early_only_on_proof():
             assert sorted((-s, i) for a, i, s in got if a == q) == want
 
 
+def test_large_components_are_exact(spark, shared, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    monkeypatch.setattr(topk, "QUERIES", 4)
+    monkeypatch.setattr(topk, "TOGETHER", 2)
+    pick = np.random.default_rng(5)
+    rows = [(i, (pick.normal(0, 1, 8) * 100_000).tolist()) for i in range(100)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(frame, frame.where("vec_id % 3 = 0"), 10).collect()
+    assert sorted(map(tuple, got)) == brute_top(rows, {i for i in range(0, 100, 3)}, 10)
+    huge = spark.createDataFrame([(0, [1e17]), (1, [1e17]), (2, [-1e17]), (3, [1.0])], "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in topk.top_k(huge, huge.where("vec_id = 0")).orderBy("rank").collect()]
+    assert got == [(0, 1, 1, 2**63 - 1), (0, 2, 3, 2**63 - 1), (0, 3, 2, -(2**63))]
+
+
+def test_postings_without_weight_or_chance_are_not_read():
+    pick = np.random.default_rng(6)
+    vectors = pick.integers(-40, 40, (500, 32)) * (pick.random((500, 32)) < 0.2)
+    vectors[:20, :4] += 3000
+    queries_ = np.zeros((3, 32), dtype=np.int64)
+    queries_[:, :4] = pick.integers(500, 900, (3, 4))
+    work = {}
+    got = topk.search_block(np.arange(1000, 1003), queries_, np.arange(500), vectors, 5, work)
+    for q in range(3):
+        want = sorted((-int(s), i) for i, s in enumerate(vectors @ queries_[q]))[:5]
+        assert sorted((-s, i) for a, i, s in got if a == 1000 + q) == want
+    assert work["read"] * 4 < work["saved"]
+
+
 # ---------------------------------------------------------------- urls
 
 URLS = [
