@@ -6,24 +6,25 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from casemill.llm.common import LOWER, UPPER, most_frequent, stored
+from casemill.llm.common import LOWER, UPPER, packed, stored, unpacked
 
 #: (action, host, path prefix)
 Rule = tuple[str, str, str]
-#: Words of the unigram model, feature buckets of the classifier and the weight of one seed word's pretended pages.
-WORDS, BUCKETS, SEED_PAGES = 50_000, 2**16, 50
+#: Feature buckets of the classifier and the weight of one seed word's pretended pages.
+BUCKETS, SEED_PAGES = 2**16, 50
 #: Words that mark hosts to block; they teach the classifier like SEED_PAGES blocked pages each.
 SEEDS = ("adult", "bet", "bets", "betting", "casino", "gambling", "poker", "porn", "sex", "spam", "viagra", "warez", "xxx")
 LONGEST = 24
+_RUNS = T.ArrayType(T.StructType([T.StructField("place", T.StringType()), T.StructField("run", T.StringType())]))
 _PART = re.compile("[a-z]+|[0-9]+")
-_MARKUP = re.compile(r"<(script|style)\b.*?</\1>|<[^>]*>", re.DOTALL)
+_OPEN = re.compile(r"<(?:(script|style)\b)?")
 _WORDS = re.compile("(?<![a-z])[a-z]{2,%d}(?![a-z])" % LONGEST)
 
 
@@ -53,24 +54,42 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 # ---------------------------------------------------------------- words
 
 
-def unigrams(texts: DataFrame, text_col: str, words: int = WORDS) -> dict[str, float]:
-    """Log probabilities of the most frequent words of two letters or more in a text column without its markup.
+def without_markup(html: str) -> str:
+    """Lower-cased ``html`` with a space for every tag and every script or style element, in one pass.
 
-    All texts are counted, a batch at a time; the model holds ``words`` words at most, which bounds it.
+    An element that never closes is a tag like any other, a tag that never closes is text.
     """
+    out, at, unclosed = [], 0, set()
+    while (tag := _OPEN.search(html, at)) is not None:
+        start, name = tag.start(), tag.group(1)
+        stop = -1
+        if name and name not in unclosed:
+            stop = html.find(f"</{name}>", tag.end())
+            if stop < 0:
+                unclosed.add(name)  # nor will it close for a later one
+            else:
+                stop += len(name) + 2
+        if stop < 0:
+            stop = html.find(">", start)
+        if stop < 0:
+            break
+        out += [html[at:start], " "]
+        at = stop + 1
+    return "".join([*out, html[at:]])
+
+
+def unigrams(texts: DataFrame, text_col: str) -> DataFrame:
+    """(word, n) of every word of two letters or more in a text column without its markup, all texts counted."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = Counter()
             for text in batch["text"]:
-                found.update(_WORDS.findall(_MARKUP.sub(" ", (text or "").lower())))
+                found.update(_WORDS.findall(without_markup((text or "").lower())))
             yield pd.DataFrame({"word": list(found), "n": list(found.values())}).astype({"word": str, "n": "int64"})
 
     counted = texts.select(F.col(text_col).alias("text")).mapInPandas(count, "word string, n long")
-    counts = stored(counted.groupBy("word").agg(F.sum("n").alias("n")))
-    rows = most_frequent(counts, words).collect()
-    total = sum(r["n"] for r in rows) or 1
-    return {r["word"]: math.log(r["n"] / total) for r in rows}
+    return stored(counted.groupBy("word").agg(F.sum("n").alias("n")))
 
 
 def segment(text: str, model: dict[str, float]) -> list[str]:
@@ -91,23 +110,46 @@ def segment(text: str, model: dict[str, float]) -> list[str]:
     return out[::-1]
 
 
-def tokens(host: Column, path: Column, model: dict[str, float]) -> Column:
-    """Words of host and path, marked by where they stand; a number gives its length."""
+@F.pandas_udf(_RUNS)
+def _runs(hosts: pd.Series, paths: pd.Series) -> pd.Series:
+    """Runs of letters or digits in hosts (place h) and paths (place p)."""
+    return pd.Series([[("h", r) for r in _PART.findall(h)] + [("p", r) for r in _PART.findall(p.lower())] for h, p in zip(hosts, paths)])
 
-    @F.pandas_udf("array<string>")
-    def of(hosts: pd.Series, paths: pd.Series) -> pd.Series:
-        @lru_cache(maxsize=100_000)
-        def words(part: str) -> tuple[str, ...]:
-            out = []
-            for run in _PART.findall(part):
-                out += [f"#{len(run)}"] if run[0].isdigit() else segment(run, model)
-            return tuple(out)
 
-        return pd.Series(
-            [["h:" + w for label in h.split(".") for w in words(label)] + ["p:" + w for w in words(p.lower())] for h, p in zip(hosts, paths)]
-        )
+def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(run, piece): what may be a word of a run."""
+    for batch in batches:
+        for run in batch["run"]:
+            found = {run[a : a + n] for n in range(2, LONGEST + 1) for a in range(len(run) - n + 1)}
+            yield pd.DataFrame({"run": run, "piece": sorted(found)}, dtype=str)
+
+
+def tokens(split: DataFrame, words: DataFrame) -> DataFrame:
+    """(at, tokens) of rows (at, host, path): words of host and path, marked by where they stand; a number gives its length.
+
+    Every distinct run of letters is split once, by the counts of those of its pieces that are in ``words`` (word, n).
+    No vocabulary travels: the counts come by a join. A run that a third of all urls have is one row on that side,
+    and the skew join splits the other. Rows without a run are not in the result.
+    """
+    each = split.select("at", F.posexplode(_runs("host", "path")).alias("position", "part")).select("at", "position", "part.*")
+    digits = F.rlike("run", F.lit("^[0-9]"))
+    runs = each.where(~digits).select("run").distinct()
+    total = float(words.agg(F.sum("n")).first()[0] or 1)
+    known = runs.mapInPandas(_pieces, "run string, piece string").join(words, F.col("piece") == F.col("word"))
+    counted = known.groupBy("run").agg(F.collect_list(F.struct("word", "n")).alias("known"))
+
+    @F.pandas_udf("array<string>")
+    def parts(run: pd.Series, found: pd.Series) -> pd.Series:
+        models = [{} if f is None else {x["word"]: math.log(x["n"] / total) for x in f} for f in found]
+        return pd.Series([segment(r, m) for r, m in zip(run, models)])
 
-    return of(host, path)
+    cut = runs.join(counted, "run", "left").select("run", parts("run", "known").alias("words"))
+    number = F.array(F.concat(F.lit("#"), F.length("run").cast("string")))
+    marked = each.join(cut, "run", "left").select(
+        "at", "position", F.transform(F.when(digits, number).otherwise(F.col("words")), lambda w: F.concat("place", F.lit(":"), w)).alias("marked")
+    )
+    in_order = F.array_sort(F.collect_list(F.struct("position", "marked")))
+    return marked.groupBy("at").agg(F.flatten(F.transform(in_order, lambda x: x["marked"])).alias("tokens"))
 
 
 # ---------------------------------------------------------------- the classifier
@@ -145,17 +187,16 @@ def judge(pages: DataFrame, rules: Sequence[Rule], url_col: str = "url", text_co
     rule fits and the prior decides. Repeated rows are judged alike; an empty table gives an empty result; columns
     named like the new ones are replaced.
 
-    The word model counts all texts and the classifier all ruled pages. What travels to the tasks is bounded: WORDS
-    words and one weight per bucket. Nothing is joined, so a host with a third of all pages needs no care.
+    The word model counts all texts and the classifier learns from all ruled pages. What travels to the tasks is one weight
+    per bucket; counts of words come by a join, whatever their number.
     """
-    model = unigrams(pages, text_col)
-    new = ("host", "path", "rule", "action", "tokens", "buckets", "odds", "verdict")
-    kept = [c for c in pages.columns if c not in (text_col, *new)]
-    split = pages.select(*kept, host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
-    split = split.withColumn("tokens", tokens(F.col("host"), F.col("path"), model))
-    ruled = split.withColumn("_rule", matching_rule(F.col("host"), F.col("path"), rules))
-    ruled = ruled.select("*", "_rule.rule", "_rule.action", F.transform("tokens", _bucket).alias("buckets")).drop("_rule")
-    ruled = stored(ruled)
+    words = unigrams(pages, text_col)
+    host, path = host_of(F.col(url_col)), path_of(F.col(url_col))
+    split = packed(pages, host=host, path=path).withColumn("row", F.col("row").dropFields(*[c for c in pages.columns if c.lower() == text_col.lower()]))
+    split = stored(split.withColumn("at", F.monotonically_increasing_id()))  # numbers are kept with the rows
+    ruled = split.join(tokens(split, words), "at", "left").withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>")))
+    fits = matching_rule(F.col("host"), F.col("path"), rules)
+    ruled = stored(ruled.withColumn("fits", fits).select("row", "host", "path", "fits.rule", "fits.action", "tokens", F.transform("tokens", _bucket).alias("buckets")))
     prior, weights = bayes_weights(ruled.where("action is not null"), seeds)
 
     @F.pandas_udf("double")
@@ -163,4 +204,5 @@ def judge(pages: DataFrame, rules: Sequence[Rule], url_col: str = "url", text_co
         return buckets.map(lambda b: prior + float(weights[np.asarray(b, dtype=np.int64)].sum()))
 
     decided = F.coalesce("action", F.when(F.col("odds") > 0, "block").otherwise("allow"))
-    return ruled.withColumn("odds", score("buckets")).withColumn("verdict", decided).drop("action", "buckets")
+    judged = ruled.withColumn("odds", score("buckets")).withColumn("verdict", decided)
+    return unpacked(judged, ("host", "path", "rule", "tokens", "odds", "verdict"))

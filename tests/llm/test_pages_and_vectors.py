@@ -1,11 +1,14 @@
 """Top-k search, URL filters and HTML extraction against brute force, and their odd inputs."""
 
-import time
 import math
 import random
+import re
+import time
+from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from casemill.llm import html_crf, queries, topk, url_filter
@@ -135,6 +138,51 @@ def test_segmentation_is_the_best_split():
     assert url_filter.segment("", model) == []
 
 
+_TAGS = re.compile(r"<(script|style)\b.*?</\1>|<[^>]*>", re.DOTALL)
+
+
+def test_markup_is_removed_in_one_pass():
+    pick = random.Random(8)
+    for _ in range(3000):
+        text = "".join(pick.choice(["<", ">", "<script", "</script>", "<style ", "</style>", "scripts", " ", "ab", "<p>", "</"]) for _ in range(pick.randint(0, 12)))
+        assert url_filter.without_markup(text) == _TAGS.sub(" ", text), text
+    began = time.perf_counter()
+    for text in ("<" * 2_000_000, "<script " * 250_000, "<style>" * 250_000, "<script x>" * 250_000):
+        url_filter.without_markup(text)
+    assert time.perf_counter() - began < 20
+
+
+def test_verdicts_match_a_plain_bayes(spark, shared):
+    """Tokens, odds and verdicts of all pages from whole word counts, without buckets of Spark."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html")
+    pages = pages.unionByName(spark.createDataFrame([(-1, None, "casino"), (-2, "x://a", None), (-3, "x://", "")], pages.schema))
+    rows = pages.collect()
+    got = {r.page_id: r for r in url_filter.judge(pages.withColumn("TOKENS", F.lit(1)).withColumn("At", F.lit(2)), queries.URL_RULES).collect()}
+    counts = Counter()
+    for r in rows:
+        counts.update(re.findall("(?<![a-z])[a-z]{2,24}(?![a-z])", _TAGS.sub(" ", (r.html or "").lower())))
+    model = {w: math.log(n / sum(counts.values())) for w, n in counts.items()}
+
+    def words(run):
+        return [f"#{len(run)}"] if run[0].isdigit() else url_filter.segment(run, model)
+
+    tokens = {i: [f"{p}:{w}" for p, t in (("h", r.host), ("p", r.path.lower())) for run in re.findall("[a-z]+|[0-9]+", t) for w in words(run)] for i, r in got.items()}
+    assert {i: r.tokens for i, r in got.items()} == tokens and len(got) == len(rows)
+    bucket = lambda t: xxhash.xxh64_intdigest(t.encode(), seed=42) % url_filter.BUCKETS
+    ruled = {i: r.verdict for i, r in got.items() if r.rule}
+    taught = {c: Counter(bucket(t) for i, v in ruled.items() if v == c for t in tokens[i]) for c in ("allow", "block")}
+    taught["block"].update({bucket("h:" + s): url_filter.SEED_PAGES for s in url_filter.SEEDS})
+    size = {c: sum(n.values()) + url_filter.BUCKETS for c, n in taught.items()}
+    prior = math.log((1 + list(ruled.values()).count("block")) / (1 + list(ruled.values()).count("allow")))
+    for i, r in got.items():
+        odds = prior + sum(
+            math.log((taught["block"][b] + 1) / size["block"]) - math.log((taught["allow"][b] + 1) / size["allow"]) for b in map(bucket, tokens[i])
+        )
+        assert r.odds == pytest.approx(odds)
+        assert r.rule or r.verdict == ("block" if odds > 0 else "allow")
+        assert r.At == 2
+
+
 # ---------------------------------------------------------------- pages
 
 
