@@ -244,8 +244,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     total = docs.agg(F.sum(F.octet_length(text_or_empty(text_col)))).first()[0] or 0
     batches, shards = max(LEAST, total // BATCH_BYTES), max(LEAST, total // SHARD_BYTES)
+    null_text = F.when(F.col(id_col).isNull(), text_or_empty(text_col))  # null ids are dealt by their texts, not into one batch
     rows = docs.select(
-        F.pmod(F.xxhash64(id_col), F.lit(batches)).cast("int").alias("batch"),
+        F.pmod(F.xxhash64(F.col(id_col), null_text), F.lit(batches)).cast("int").alias("batch"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)).cast("long")).alias("_id"),
         F.col(id_col).isNull().alias("_null"),
         text_or_empty(text_col).cast("binary").alias("_text"),

@@ -72,6 +72,15 @@ def test_passages_match_brute_force(docs, sample):
     assert removed(sample) == brute_removed(rows, 50)
 
 
+def test_null_ids_are_spread_over_batches(docs):
+    pick = random.Random(4)
+    words = lambda n: "".join(pick.choice("abcdefgh ") for _ in range(n))
+    shared = [words(70) for _ in range(5)]
+    rows = [(None, words(60) + pick.choice(shared) + words(60)) for _ in range(300)]
+    rows += [(i, words(60) + pick.choice(shared) + words(60)) for i in range(100)] + [(7, rows[0][1]), (None, rows[0][1]), (None, None)]
+    assert removed(docs(*rows)) == brute_removed(rows, 50)
+
+
 def test_passages_of_few_letters_match_brute_force(docs):
     pick = random.Random(5)
     rows = [(i, "".join(pick.choice("ab") for _ in range(pick.randint(0, 90)))) for i in range(40)] + [(50, "a" * 300), (51, "ab" * 200), (52, "a" * 60)]
