@@ -185,7 +185,7 @@ def asked_windows(
 ) -> list[tuple]:
     """What batch ``number`` sends to the shards: (shard, batch, blob, sizes, ranks, starts, ids).
 
-    ``keys``: its shared anchors in order. Stretches of an anchor go to the anchor's shard, their bytes in blob; windows of
+    ``keys``: its shared anchors in order. Stretches of an anchor go to the anchor's shard, their bytes compressed in blob; windows of
     ``crowded`` anchors go one by one to the shards of their hashes, no sizes and both halves of the hashes in blob.
     What the batch settles itself has no blob.
     """
@@ -213,7 +213,7 @@ def asked_windows(
     for shard, entries in sent.items():
         ranks = np.array([e[0] for e in entries], dtype=np.int32)
         out.append(
-            (shard, number, b"".join(e[2] for e in entries), np.array([len(e[2]) for e in entries], dtype=np.int32), ranks, np.array([e[1] for e in entries], dtype=np.int32), ids[ranks])
+            (shard, number, pa.compress(b"".join(e[2] for e in entries), "zstd", asbytes=True), np.array([len(e[2]) for e in entries], dtype=np.int32), ranks, np.array([e[1] for e in entries], dtype=np.int32), ids[ranks])
         )
     if crowd:
         sizes = np.array([len(e[2]) for e in crowd], dtype=np.int64)
@@ -321,8 +321,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             ids = np.concatenate([_array(x, "i8") for x in asked["ids"]])
             ranks = np.concatenate([_array(x, "i4") for x in asked["ranks"]])
             starts = np.concatenate([_array(x, "i4") for x in asked["starts"]])
+            blob = b"".join(
+                pa.decompress(x, int(_array(n, "i4").sum(dtype=np.int64)), "zstd", asbytes=True) for x, n in zip(asked["blob"], asked["sizes"])
+            )
             owner = np.repeat(asked["batch"].to_numpy(), [len(x) // 4 for x in asked["sizes"]])
-            stretch, offset, repeated = repeated_windows(b"".join(asked["blob"]), sizes, ids, length)
+            stretch, offset, repeated = repeated_windows(blob, sizes, ids, length)
             stretch, offset = stretch[repeated], offset[repeated]
             if len(stretch):
                 first = np.flatnonzero(np.concatenate([[True], (stretch[1:] != stretch[:-1]) | (offset[1:] != offset[:-1] + 1)]))
