@@ -1,6 +1,7 @@
 """Registered queries: joins, exposure, grading, curation, embeddings, streams."""
 
 import os
+import re
 import uuid
 
 from pyspark.sql import functions as F
@@ -709,8 +710,10 @@ def _stream_events(spark, sf):
 
 
 def _stream_table(spark, sf, name):
+    """A stream of a table, which may be one file or a folder of them. A stream's path is a folder or, as here, a pattern."""
     schema = A.table(spark, sf, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    folder = re.sub(r"([\\{}\[\]*?])", r"\\\1", sf)
+    return spark.readStream.schema(schema).parquet(f"{folder}/{name}.parque[t]")
 
 
 def _drained(stream, mode, spark):

@@ -412,3 +412,38 @@ def test_pointers_escape_and_reach_into_arrays(spark):
     assert outcomes == {"deep": (None, "unknown"), "name": (-1.5, "worse"), "none": (None, "unknown")}
     with pytest.raises(ValueError):
         pointer(F.col("v"), "no/slash")
+
+
+def test_a_stream_reads_a_table_in_a_folder_of_files(spark, tmp_path):
+    from casemill.plans.queries_joins import QUERIES
+
+    spark.sparkContext.setCheckpointDir(str(tmp_path / "shared"))
+    rows = [(i, f"text {i % 7}", "en", "src0", 6) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(3).write.parquet(f"{tmp_path}/t/documents.parquet")
+    got = QUERIES["streamed_dedup"](spark, f"{tmp_path}/t").collect()
+    assert len(got) == 7 and all(r.kept == 1 and r.one_of_its_rows for r in got)
+
+
+def test_small_splits_share_tasks(tmp_path):
+    for name in "ab":
+        (tmp_path / f"{name}.jsonl").write_bytes(b'{"x": 1}\n' * 9000)
+    tasks = lines.LineReader({"path": str(tmp_path), "split": "64"}).partitions()
+    parts = [p for t in tasks for p in t.parts]
+    assert len(parts) > 2000 and len(tasks) <= lines.TASKS + 2
+    assert [(p.file, p.low) for p in parts] == sorted((p.file, p.low) for p in parts)
+    rows = [r for t in tasks for b in lines.LineReader({"path": str(tmp_path)}).read(t) for r in b.to_pylist()]
+    assert len(rows) == 18000 and len({(r["file"], r["at"]) for r in rows}) == 18000
+
+
+def test_inputs_of_few_splits_are_spread(spark):
+    from casemill.session import spread
+
+    before = spark.conf.get("spark.casemill.spread")
+    spark.conf.unset("spark.casemill.spread")
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        assert spread(spark.range(100).coalesce(1), 4).rdd.getNumPartitions() == 4 * cores
+        assert spread(spark.range(0, 100, 1, 4 * cores + 1), 4).rdd.getNumPartitions() == 4 * cores + 1
+    finally:
+        spark.conf.set("spark.casemill.spread", before)
