@@ -16,8 +16,10 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 
 NAME = "casemill_lines"
 SCHEMA = "file string, at long, line_no long, raw string"
-#: Bytes of a file that one task reads, rows of an Arrow batch, and the step in which a file's end is searched for a line's end.
+#: Bytes of a split of a file, rows of an Arrow batch, and the step in which a file's end is searched for a line's end.
 SPLIT, ROWS, STEP = 2**25, 2**13, 2**16
+#: Small splits are dealt to about this many tasks, of SPLIT bytes at most, however many they are.
+TASKS = 64
 
 
 @dataclass
@@ -30,6 +32,13 @@ class LineRange(InputPartition):
     first_line: int | None = None
 
 
+@dataclass
+class LineRanges(InputPartition):
+    """The splits that one task reads, one after the other."""
+
+    parts: list[LineRange]
+
+
 def file_system(path: str) -> tuple[files.FileSystem, str]:
     """The file system of a path or URI and the path in it."""
     if "://" in path and not path.startswith("file:"):
@@ -74,22 +83,23 @@ def _read_lines(system: files.FileSystem, part: LineRange) -> Iterator[tuple[int
             at += len(line)
 
 
-def _batches(root: str, part: LineRange) -> Iterator[pa.RecordBatch]:
+def _batches(root: str, parts: list[LineRange]) -> Iterator[pa.RecordBatch]:
     system, _ = file_system(root)
     names = ["file", "at", "line_no", "raw"]
-    rows: list[tuple[int, int | None, str]] = []
+    rows: list[tuple[str, int, int | None, str]] = []
 
     def batch() -> pa.RecordBatch:
-        at, number, raw = zip(*rows)
-        columns = [pa.array([part.file] * len(rows)), pa.array(at, pa.int64()), pa.array(number, pa.int64()), pa.array(raw, pa.string())]
+        file, at, number, raw = zip(*rows)
+        columns = [pa.array(file, pa.string()), pa.array(at, pa.int64()), pa.array(number, pa.int64()), pa.array(raw, pa.string())]
         return pa.RecordBatch.from_arrays(columns, names)
 
-    for n, (at, line) in enumerate(_read_lines(system, part)):
-        number = None if part.first_line is None else part.first_line + n
-        rows.append((at, number, line.rstrip(b"\r\n").decode("utf-8", "replace")))
-        if len(rows) == ROWS:
-            yield batch()
-            rows.clear()
+    for part in parts:
+        for n, (at, line) in enumerate(_read_lines(system, part) if part.file else ()):
+            number = None if part.first_line is None else part.first_line + n
+            rows.append((part.file, at, number, line.rstrip(b"\r\n").decode("utf-8", "replace")))
+            if len(rows) == ROWS:
+                yield batch()
+                rows.clear()
     if rows:
         yield batch()
 
@@ -98,6 +108,19 @@ def _ranges(file: str, low: int, high: int, split: int) -> list[LineRange]:
     return [LineRange(file, at, min(high, at + split)) for at in range(low, high, split)]
 
 
+def _dealt(parts: list[LineRange], split: int) -> list[LineRanges]:
+    """The splits, in order, as the tasks that read them."""
+    size = max(split, min(SPLIT, sum(p.high - p.low for p in parts) // TASKS))
+    tasks, held = [LineRanges([])], 0
+    for part in parts:
+        if held and held + part.high - part.low > size:
+            tasks.append(LineRanges([]))
+            held = 0
+        tasks[-1].parts.append(part)
+        held += part.high - part.low
+    return tasks
+
+
 class LineReader(DataSourceReader):
     """Batch read. ``numbers``: the number of every split's first line, as ``line_numbers`` counts them."""
 
@@ -105,14 +128,14 @@ class LineReader(DataSourceReader):
         self.path, self.split = options["path"], int(options.get("split", SPLIT))
         self.numbers = json.loads(options.get("numbers", "null"))
 
-    def partitions(self) -> list[LineRange]:
+    def partitions(self) -> list[LineRanges]:
         parts = [r for file, size in sorted(log_files(self.path).items()) for r in _ranges(file, 0, size, self.split)]
         for part in parts if self.numbers is not None else ():
             part.first_line = self.numbers[part.file][part.low // self.split]
-        return parts or [LineRange("", 0, 0)]
+        return _dealt(parts, self.split)
 
-    def read(self, partition: LineRange) -> Iterator[pa.RecordBatch]:
-        return _batches(self.path, partition) if partition.file else iter(())
+    def read(self, partition: LineRanges) -> Iterator[pa.RecordBatch]:
+        return _batches(self.path, partition.parts)
 
 
 class LineStream(DataSourceStreamReader):
@@ -162,7 +185,7 @@ class LineStream(DataSourceStreamReader):
         return parts or [LineRange("", 0, 0)]
 
     def read(self, partition: LineRange) -> Iterator[pa.RecordBatch]:
-        return _batches(self.root, partition) if partition.file else iter(())
+        return _batches(self.root, [partition])
 
 
 class LineSource(DataSource):
