@@ -13,7 +13,6 @@ from casemill.functions.scalars import (
     field,
     has_marker,
     invented_record,
-    is_json_array,
     is_json_object,
     let,
     overlaps,
@@ -32,41 +31,44 @@ NO_ALERTS = "array<" + schemas.ALERT.simpleString() + ">"
 # ------------------------------------------------------------------ reading submitted scans
 
 
-def _has_keys(v: Column, keys: list[str]) -> Column:
+def _object(v: Column) -> Column:
+    """An object (VARIANT) as a map of its fields, each copied out once; null for any other value."""
+    return F.try_variant_get(v, "$", "map<string, variant>")
+
+
+def _has_keys(fields: Column, keys: list[str]) -> Column:
     ok = F.lit(True)
     for key in keys:
-        ok = ok & field(v, f"$.{key}").isNotNull()
+        ok = ok & F.map_contains_key(fields, key)
     return ok
 
 
+def _is_list(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "array<variant>").isNotNull()
+
+
 def scan_schema_valid(scan: Column) -> Column:
     """Structure of a submitted scan (VARIANT): required keys, and lists and objects where expected."""
-
-    def alert_ok(a: Column) -> Column:
-        exposure, citations = field(a, "$.business_exposure"), field(a, "$.citations")
-        return F.coalesce(
-            is_json_object(a)
-            & _has_keys(a, fixed.ALERT_REQUIRED_KEYS)
-            & is_json_object(exposure)
-            & _has_keys(exposure, fixed.EXPOSURE_REQUIRED_KEYS)
-            & is_json_object(citations)
-            & is_json_array(field(citations, "$.headlines"))
-            & is_json_array(field(citations, "$.records"))
-            & is_json_array(field(a, "$.source_headlines"))
-            & is_json_array(field(a, "$.enterprise_path"))
-            & is_json_array(field(a, "$.uncertainty")),
-            F.lit(False),
+    get = lambda fields, key: F.try_element_at(fields, F.lit(key))
+
+    def alert_ok(alert: Column) -> Column:
+        def ok(a: Column) -> Column:
+            exposure = let(_object(get(a, "business_exposure")), lambda e: F.coalesce(_has_keys(e, fixed.EXPOSURE_REQUIRED_KEYS), F.lit(False)))
+            cited = let(_object(get(a, "citations")), lambda c: _is_list(get(c, "headlines")) & _is_list(get(c, "records")))
+            lists = _is_list(get(a, "source_headlines")) & _is_list(get(a, "enterprise_path")) & _is_list(get(a, "uncertainty"))
+            return _has_keys(a, fixed.ALERT_REQUIRED_KEYS) & exposure & cited & lists
+
+        return F.coalesce(let(_object(alert), ok), F.lit(False))
+
+    def ok(fields: Column) -> Column:
+        alerts = F.try_variant_get(get(fields, "alerts"), "$", "array<variant>")
+        return (
+            _has_keys(fields, fixed.SCAN_REQUIRED_KEYS)
+            & F.try_variant_get(get(fields, "result"), "$", "string").isin("alerts_found", "no_alert")
+            & F.forall(alerts, alert_ok)
         )
 
-    alerts = F.try_variant_get(scan, "$.alerts", "array<variant>")
-    return F.coalesce(
-        is_json_object(scan)
-        & _has_keys(scan, fixed.SCAN_REQUIRED_KEYS)
-        & F.try_variant_get(scan, "$.result", "string").isin("alerts_found", "no_alert")
-        & is_json_array(field(scan, "$.alerts"))
-        & F.forall(alerts, alert_ok),
-        F.lit(False),
-    )
+    return F.coalesce(let(_object(scan), ok), F.lit(False))
 
 
 def _alert(a: Column) -> Column:

@@ -321,3 +321,22 @@ def test_demo_artifact_pairs_variants(spark):
     assert (per_trial["risk_tool_calls"], per_trial["exposure_calls"], per_trial["submit_calls"]) == (4, 1, 1)
     silent = U.trace_violations(events.where("trial > 0"), trials)
     assert [tuple(r) for r in silent.collect()] == [(0, 0, "missing events log")]
+
+
+def test_workspace_audits_broadcast_no_file_table(spark):
+    from casemill.operators.audit import audit_workspaces
+
+    cases = spark.createDataFrame([("a",), ("b",), (None,)], "case_id string")
+    files = spark.createDataFrame([("a", "events/headline-pack.md", "x")], "case_id string, path string, content string")
+    found = audit_workspaces(cases, files)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(str(r.scope) for r in found.where("failure = 'workspace missing'").collect()) == ["None", "b"]
+
+
+def test_scans_of_wrong_kinds_are_invalid(spark):
+    from casemill.operators.grade import parse_scans
+
+    alert = {k: [] for k in ("source_headlines", "enterprise_path", "uncertainty")}
+    rows = ["null", "[]", '{"scan":[]}', '{"scan":{}}', '{"scan":{"alerts":{}}}', '{"scan":{"result":"no_alert","alerts":"x"}}', json.dumps({"scan": {"alerts": [alert]}})]
+    df = spark.createDataFrame([(str(i), r) for i, r in enumerate(rows)] + [("n", None)], "case_id string, raw string")
+    assert not any(r.schema_valid for r in parse_scans(df).collect())
