@@ -194,3 +194,29 @@ def test_scan_structure(spark):
     df = spark.createDataFrame([(k, json.dumps(v[0])) for k, v in docs.items()], "id string, j string")
     got = {r["id"]: r["ok"] for r in df.select("id", scan_schema_valid(F.parse_json("j")).alias("ok")).collect()}
     assert got == {k: v[1] for k, v in docs.items()}
+
+
+def test_long_texts_are_python_objects_a_few_at_a_time():
+    import json
+
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    from casemill.functions import documents as D
+
+    alive, most = 0, 0
+
+    class Text(str):
+        def __new__(cls, text):
+            nonlocal alive, most
+            alive += 1
+            most = max(most, alive)
+            return super().__new__(cls, text)
+
+        def __del__(self):
+            nonlocal alive
+            alive -= 1
+
+    texts = pa.array([json.dumps({"b": i, "a": "x"}) for i in range(1000)] + [None])
+    out = D._each(T.StringType(), lambda t: t and Text(json.dumps(json.loads(t), sort_keys=True)), texts)
+    assert most <= 2 * D.SLICE and out.to_pylist() == [json.dumps({"a": "x", "b": i}) for i in range(1000)] + [None]
