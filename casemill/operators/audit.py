@@ -60,10 +60,15 @@ def audit_case_schema(cases: DataFrame, schema: dict, case_col: str = "benchmark
     return failures(first, F.col("case_id"), why)
 
 
+def _many(df: DataFrame) -> DataFrame:
+    """A join's right side that must not pass the driver: Catalyst takes rows made from few bytes for few and broadcasts them."""
+    return df.hint("merge")
+
+
 def missing_workspace_files(cases: DataFrame, files: DataFrame, required: list[str] | None = None) -> DataFrame:
     """(case_id, path) of required files a case's workspace lacks."""
     wanted = F.array(*[F.lit(p) for p in (required or fixed.REQUIRED_WORKSPACE_FILES)])
-    return cases.select("case_id", F.explode(wanted).alias("path")).join(files.select("case_id", "path"), ["case_id", "path"], "left_anti")
+    return cases.select("case_id", F.explode(wanted).alias("path")).join(_many(files.select("case_id", "path")), ["case_id", "path"], "left_anti")
 
 
 def leaked_files(files: DataFrame) -> DataFrame:
@@ -85,8 +90,8 @@ def internal_ids(text: Column) -> Column:
 
 def audit_workspaces(cases: DataFrame, files: DataFrame) -> DataFrame:
     """Failures in workspace file tables: missing and leaked files, headline count, internal ids."""
-    present = cases.join(files, "case_id", "left_semi")
-    absent = failures(cases.join(files, "case_id", "left_anti"), F.col("case_id"), "workspace missing")
+    present = cases.join(_many(files), "case_id", "left_semi")
+    absent = failures(cases.join(_many(files), "case_id", "left_anti"), F.col("case_id"), "workspace missing")
     lacking = missing_workspace_files(present, files)
     missing = failures(lacking, F.col("case_id"), F.concat(F.lit("missing public workspace file "), "path"))
     leaked = failures(leaked_files(files), F.col("case_id"), F.concat(F.lit("hidden/evaluation file leaked into workspace "), "path"))
@@ -249,7 +254,7 @@ def audit_trials(trials: DataFrame, oracles: DataFrame, events: DataFrame, respo
         "trial", "case_id", "variant", "passed",
         F.coalesce((F.col("exit_status") != "0") | F.col("error").isNotNull(), F.lit(False)).alias("crashed"),
         F.coalesce(unreadable, F.lit(True)).alias("unreadable"),
-    ).join(hidden, "case_id")
+    ).join(_many(hidden), "case_id")
     known = stated.columns
     yes = lambda c: F.coalesce(F.bool_or(c), F.lit(False))
     met = stated.join(_log_facts(events), "trial", "left").groupBy(*known).agg(
