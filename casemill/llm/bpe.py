@@ -2,7 +2,6 @@
 
 import base64
 import heapq
-import struct
 from array import array
 from collections.abc import Iterable
 
@@ -15,9 +14,12 @@ from pyspark.sql import functions as F
 
 from casemill.llm.common import most_frequent, packed, stored, unpacked
 
-#: Bits of a token id and of a position in a folded word; NONE is the rank of what does not merge, above all others.
-ID, ROOM = 17, 20
+#: Bits of a token id and of a position in a folded word. In a state the rank stands above both, in the table of merges the left
+#: token's id above that. NONE is the rank of what does not merge, above all others, ALONE is it in a rank's place.
+ID, ROOM = 17, 12
+RANK, OWNER = ID + ROOM, ID + ROOM + ID
 NONE = 2**ID - 1
+ALONE = NONE << RANK
 #: Words kept in the word map: this many at most, of at most so many bytes each, so its size is bounded.
 MAP_WORDS, MAP_WORD_BYTES = 2**18, 32
 #: Longer words are merged by a heap, since a fold over arrays copies them once per merge.
@@ -86,42 +88,69 @@ def _find(key: Column, slots: Column, keys: Column, bits: int) -> tuple[Column,
     return F.get(keys, a) == key, a, F.get(keys, b) == key, b
 
 
+def _laid(rows: dict[int, np.ndarray], width: int) -> np.ndarray:
+    """Where each row of a sparse matrix starts in one array so that no two entries share a place, longest rows first.
+
+    ``rows``: the columns, below ``width``, in order. A row that is not given starts at 0. The search goes on where the
+    last one ended and starts anew for every power of two of lengths.
+    """
+    starts, held, at, size = np.zeros(width, np.int64), np.zeros(8 * width, bool), 0, 0
+    for row in sorted(rows, key=lambda r: -len(rows[r])):
+        columns = rows[row]
+        step = 256 if len(columns) < 64 else 4096
+        if len(columns).bit_length() != size:
+            at, size = 0, len(columns).bit_length()
+        while True:
+            if at + step + width > len(held):
+                held = np.concatenate([held, np.zeros(len(held) + step, bool)])
+            taken = held[at + columns[0] : at + columns[0] + step].copy()
+            for column in columns[1:12].tolist():
+                taken |= held[at + column : at + column + step]
+            fits = np.flatnonzero(~taken) + at
+            for column in columns[12:].tolist():
+                if not len(fits):
+                    break
+                fits = fits[~held[fits + column]]
+            if len(fits):
+                break
+            at += step
+        at = starts[row] = int(fits[0])
+        held[at + columns] = True
+    return starts
+
+
 class RankMap:
     """The vocabulary as constants: pieces by id, ids of single bytes, and the ranked merges.
 
-    A merge of the tokens a and b makes the piece of both, whose rank is its id. Every pair of tokens that merges
-    stands in a two-slot hash table as (a, b, rank) in one long.
+    A merge of the tokens a and b makes the piece of both, whose rank is its id. The merges are the entries of a sparse
+    matrix with a row for every a, laid into one array: (a, rank) stands where the row of a starts, b places further.
     """
 
     def __init__(self, spark: SparkSession, ranks: dict[bytes, int]):
         pieces = sorted(ranks, key=ranks.__getitem__)
         if [ranks[p] for p in pieces] != list(range(len(pieces))) or len(pieces) >= NONE:
             raise ValueError("ranks must be 0 .. n-1")
-        pairs = array("q")
+        merges: dict[int, dict[int, int]] = {}
         for piece, rank in ranks.items():
             for cut in range(1, len(piece)):
                 a, b = ranks.get(piece[:cut]), ranks.get(piece[cut:])
                 if a is not None and b is not None:
-                    pairs.append((a << ID | b) << ID | rank)
-        self.bits = max(8, len(pairs).bit_length() + 1)
-        slots = _slots((struct.pack("<q", pair >> ID) for pair in pairs), self.bits)
-        packed = np.array(pairs or [-1], dtype=np.int64)
-        self.pairs = _constant(spark, pa.array(np.where(slots < 0, -1, packed[np.maximum(slots, 0)]), pa.int64()))
+                    merges.setdefault(a, {})[b] = rank
+        starts = _laid({a: np.array(sorted(row)) for a, row in merges.items()}, len(pieces))
+        table = np.full(int(starts.max()) + len(pieces), NONE << OWNER, np.int64)
+        for a, row in merges.items():
+            table[starts[a] + np.array(list(row))] = a << OWNER | np.array(list(row.values()), np.int64) << RANK
+        self.starts = _constant(spark, pa.array(starts.astype(np.int32)))
+        self.merges = _constant(spark, pa.array(table))
         self.bytes = _constant(spark, pa.array([ranks[bytes([b])] for b in range(256)], pa.int64()))
         self.texts = _constant(spark, pa.array(pieces, pa.binary())).cast("array<string>")
 
     def rank(self, a: Column, b: Column) -> Column:
-        """The rank of merging two tokens, NONE if they don't merge."""
-        mask = _long((1 << self.bits) - 1)
-
-        def found(key: Column) -> Column:
-            h = F.xxhash64(key)
-            one = F.get(self.pairs, h.bitwiseAND(mask))
-            two = F.get(self.pairs, F.shiftrightunsigned(h, 24).bitwiseAND(mask) + _long(1 << self.bits))
-            low = _long(NONE)
-            return F.when(F.shiftright(one, ID) == key, one.bitwiseAND(low)).when(F.shiftright(two, ID) == key, two.bitwiseAND(low)).otherwise(low)
+        """The rank of merging two tokens in its place in a state, ALONE if they don't merge or b is null.
 
-        return _let(F.shiftleft(a, ID) + b, found)
+        Without a's own number the entry is the rank; what another number leaves is above all ranks.
+        """
+        return F.least(F.get(self.merges, F.get(self.starts, a) + b).bitwiseXOR(F.shiftleft(a, OWNER)), _long(ALONE))
 
 
 def _long(value: int) -> Column:
@@ -133,42 +162,38 @@ def _let(value: Column, body) -> Column:
 
 
 def fold_word(word: Column, ranks: RankMap) -> Column:
-    """Token ids of one word: its bytes, then the lowest-ranked leftmost pair merged again and again.
+    """Token ids of one word of up to 2**ROOM bytes: its bytes, then the lowest-ranked leftmost pair merged again and again.
 
     The state is the array of tokens, each one long: the rank of merging it with the next token, its position, its id.
     The least of them is the next merge. A merge makes the token whose id is that rank, takes the next token out and
     looks up only the two pairs it makes.
     """
     data = F.decode(word.cast("binary"), "ISO-8859-1")  # one character per byte
-    n = F.octet_length(word)
-    place = ID + ROOM
-    alone, below, at, own = _long(NONE << place), _long((1 << place) - 1), _long(((1 << ROOM) - 1) << ID), _long(NONE)
-    singles = F.transform(F.sequence(F.lit(1), n), lambda i: F.get(ranks.bytes, F.ascii(F.substring(data, i, F.lit(1)))))
+    below, at, own = _long((1 << RANK) - 1), _long(((1 << ROOM) - 1) << ID), _long(NONE)
+    singles = F.transform(F.split(data, ""), lambda c: F.get(ranks.bytes, F.ascii(c)))
 
     def paired(token: Column, i: Column, tokens: Column) -> Column:
-        rank = F.when(i < n - 1, F.shiftleft(ranks.rank(token, F.get(tokens, i + 1)), place)).otherwise(alone)
-        return rank + F.shiftleft(i.cast("bigint"), ID) + token
+        return ranks.rank(token, F.get(tokens, i + 1)).bitwiseOR(F.shiftleft(i.cast("bigint"), ID)).bitwiseOR(token)
 
     def merged(state: Column, least: Column, i: Column) -> Column:
-        new, after = F.shiftright(least, place), F.get(state, i + 2)
-        rank = F.when(after.isNull(), alone).otherwise(F.shiftleft(ranks.rank(new, after.bitwiseAND(own)), place))
+        """``i`` is the place before the least, -1 at the first."""
+        new = F.shiftright(least, RANK)
+        token = ranks.rank(new, F.get(state, i + 3).bitwiseAND(own)).bitwiseOR(least.bitwiseAND(at)).bitwiseOR(new)
 
-        def turn(token: Column, j: Column) -> Column:
-            before = F.shiftleft(ranks.rank(token.bitwiseAND(own), new), place) + token.bitwiseAND(below)
-            return (
-                F.when((j < i - 1) | (j > i + 1), token).when(j == i, rank + least.bitwiseAND(at) + new).when(j > i, _long(-1)).otherwise(before)
-            )
+        def turn(old: Column, j: Column) -> Column:
+            before = ranks.rank(old.bitwiseAND(own), new).bitwiseOR(old.bitwiseAND(below))
+            return F.when(j < i, old).when(j > i + 2, old).when(j == i, before).when(j == i + 1, token).otherwise(_long(-1))
 
-        return F.filter(F.transform(state, turn), lambda token: token >= 0)
+        return F.filter(F.transform(state, turn), lambda old: old >= 0)
 
     def step(state: Column, _: Column) -> Column:
         return _let(
             F.array_min(state),
-            lambda least: F.when(least < alone, _let(F.array_position(state, least).cast("int") - 1, lambda i: merged(state, least, i))).otherwise(state),
+            lambda least: F.when(least < _long(ALONE), _let(F.array_position(state, least).cast("int") - 2, lambda i: merged(state, least, i))).otherwise(state),
         )
 
     first = _let(singles, lambda tokens: F.transform(tokens, lambda token, i: paired(token, i, tokens)))
-    turns = F.sequence(F.lit(1), F.greatest(F.lit(1), n - 1))
+    turns = F.sequence(F.lit(1), F.greatest(F.lit(1), F.octet_length(word) - 1))
     return F.aggregate(turns, first, step, lambda state: F.transform(state, lambda token: token.bitwiseAND(own).cast("int")))
 
 
@@ -226,10 +251,11 @@ def encode(
     words = words_of(F.col("whole"), pattern)
     counts = stored(rows.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n")))
     size = F.octet_length("word")
-    short = most_frequent(counts.where(size <= MAP_WORD_BYTES), map_words)
-    known = short.select("word", fold_word(F.col("word"), rank_map).alias("ids")).toArrow()
-    known = known.sort_by("word")
-    bits = max(8, known.num_rows.bit_length() + 1)
+    short = most_frequent(counts.where(size <= MAP_WORD_BYTES), map_words, 16)
+    known = short.select("word", "n", fold_word(F.col("word"), rank_map).alias("ids")).toArrow()
+    # a key laid later stands in its first slot: the most frequent words are found at the first look
+    known = known.sort_by([("n", "ascending"), ("word", "ascending")])
+    bits = (known.num_rows * 5 // 4).bit_length() if known.num_rows > 2**16 else max(8, known.num_rows.bit_length() + 1)
     keys, ids = (known[name].combine_chunks() for name in ("word", "ids"))
     table = _slots((k.as_py().encode() for k in keys), bits)
     names = [_variable(spark, values) for values in (pa.array(table, pa.int32()), keys, ids)]
@@ -249,6 +275,7 @@ def encode(
         return out
 
     plain = lambda d: d.select("row", F.flatten(F.transform(words, in_place)).alias("ids"))
+    fold_bytes = min(fold_bytes, 2**ROOM)
     if counts.where(size > fold_bytes).isEmpty():
         return built(plain(rows))
 

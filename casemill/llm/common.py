@@ -92,20 +92,21 @@ def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def most_frequent(counts: DataFrame, room: int) -> DataFrame:
-    """The rows of ``counts`` whose n reaches the least power of two that lets at most ``room`` rows through.
+def most_frequent(counts: DataFrame, room: int, steps: int = 1) -> DataFrame:
+    """The rows of ``counts`` whose n reaches the least level that lets at most ``room`` rows through.
 
-    Ties of one power go together, so this needs no order over all rows: one aggregate of 64 rows decides.
+    Levels are powers of two, each parted into ``steps``. Ties of one level go together, so this needs no order over
+    all rows: one aggregate of 64 rows a step decides.
     """
-    power = F.floor(F.log2("n")).cast("int")
-    bins = counts.groupBy(power.alias("bin")).agg(F.count("*").alias("rows")).collect()
+    level = F.floor(F.log2("n") * F.lit(steps)).cast("int")
+    bins = counts.groupBy(level.alias("bin")).agg(F.count("*").alias("rows")).collect()
     least = 0
     for row in sorted(bins, key=lambda r: -r["bin"]):
         if row["rows"] > room:
-            least = 2 ** (row["bin"] + 1)
+            least = row["bin"] + 1
             break
         room -= row["rows"]
-    return counts.where(F.col("n") >= least)
+    return counts.where(level >= least)
 
 
 def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:

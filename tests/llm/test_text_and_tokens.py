@@ -4,12 +4,14 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
 from casemill.llm import bpe, mixing, quality, secret_scan
+from casemill.llm.common import most_frequent
 
 # ---------------------------------------------------------------- mixing
 
@@ -98,6 +100,25 @@ def test_tokens_of_nothing(docs, ranks):
     assert bpe.encode(docs(), ranks, public_tokenizers.PATTERN).collect() == []
 
 
+def test_a_merge_is_looked_up_at_one_place(spark, ranks):
+    rows = {7: np.arange(0, 300, 2), 3: np.array([1, 5]), 9: np.array([0]), 11: np.array([299])}
+    starts = bpe._laid(rows, 300)
+    places = [int(starts[row]) + int(column) for row, columns in rows.items() for column in columns]
+    assert len(set(places)) == len(places)
+    rank_map = bpe.RankMap(spark, ranks)
+    frame = spark.createDataFrame([(w,) for w in ("a", " thlyndthonesin", "aaaaaaa", "\u4e2d\u6587é")], "word string")
+    folded = frame.select("word", bpe.fold_word(F.col("word"), rank_map).alias("ids"))
+    assert "hash" not in folded._jdf.queryExecution().analyzed().toString()
+    plain = tiktoken.Encoding("own", pat_str="(?s).+", mergeable_ranks=ranks, special_tokens={})
+    assert all(list(r.ids) == plain.encode_ordinary(r.word) for r in folded.collect())
+
+
+def test_the_word_map_fills_its_room(spark):
+    counts = spark.createDataFrame([(i, 8 + i % 8) for i in range(80)], "word long, n long")
+    assert {r.n for r in most_frequent(counts, 35, 16).collect()} == {13, 14, 15}
+    assert most_frequent(counts, 80, 16).count() == 80 and most_frequent(counts, 9, 16).count() == 0
+
+
 def test_heap_and_fold_agree(ranks):
     plain = tiktoken.Encoding("own", pat_str="(?s).+", mergeable_ranks=ranks, special_tokens={})
     pick = random.Random(4)
