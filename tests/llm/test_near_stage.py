@@ -108,3 +108,10 @@ def test_long_unlike_texts_with_a_common_passage_do_not_meet(spark, docs, monkey
     out = NEAR(spark, docs(*rows), "")
     assert sorted(r.doc_id for r in out.collect()) == [0, 1, 2, 3, 4, 5, 6, 7]
     assert seen[1] == 0  # 43 pairs by 1,024 parities alone
+
+
+def test_rows_that_repeat_id_and_text_stay_once(spark, docs):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(4, text, "b"), (4, text, "a"), (4, text, "a"), (6, text + " x"), (None, "alone"), (None, "alone"), (7, "one two three four five six")]
+    out = NEAR(spark, docs(*rows), "").collect()
+    assert sorted((str(r.doc_id), r.text[:5], r.source) for r in out) == [("4", "w0 w1", "a"), ("7", "one t", "src0"), ("None", "alone", "src0")]
